@@ -1,0 +1,48 @@
+"""Joining a large table with a table that has one row per key, whatever the key skew."""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A key counts as hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys and
+# the part of the lookup table broadcast for them is bounded whatever the data.
+HOT_SHARE = 1 / 2000
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
+
+
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", limit: int | None = None
+) -> DataFrame:
+    """Join ``facts`` with ``lookup`` (unique on ``key``), ``how`` being inner or left.
+
+    If the lookup table is estimated to fit Spark's own broadcast limit, this is a plain join and
+    Spark broadcasts it. Beyond the limit the facts are shuffled by key, where one hot key would fill
+    one task, so hot keys are found with a pre-aggregated count and only their few lookup rows are
+    broadcast; every other key takes the shuffled join. Rows with a NULL key match nothing and stay
+    out of the shuffle.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be inner or left, not {how}")
+    if limit is None:
+        limit = broadcast_limit(facts.sparkSession)
+    if 0 <= estimated_bytes(lookup) <= limit:
+        return facts.join(lookup, key, how)
+
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    floor = facts.agg((F.count(F.lit(1)) * F.lit(HOT_SHARE)).alias("_floor")).scalar()
+    hot_keys = counts.filter(F.col("_n") > floor).select(key, F.lit(True).alias("_hot"))
+    marked = facts.join(F.broadcast(hot_keys), key, "left")
+    is_apart = F.col("_hot").isNotNull() | F.col(key).isNull()
+    hot_lookup = lookup.join(F.broadcast(hot_keys.select(key)), key, "left_semi")
+    hot = marked.filter(is_apart).drop("_hot").join(F.broadcast(hot_lookup), key, how)
+    cold = marked.filter(~is_apart).drop("_hot").join(lookup, key, how)
+    return hot.unionByName(cold)
