@@ -1,0 +1,18 @@
+"""Spreading work over the cores."""
+
+from pyspark.sql import DataFrame
+
+
+def fill_cores(df: DataFrame, key: str) -> DataFrame:
+    """Spread the rows by key if reading them gives fewer tasks than there are cores.
+
+    For heavy work per row, such as splitting texts, over a few large files. A table of many files is
+    left where it is read: moving all its text would cost more than it brings.
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df  # has shuffles of its own
+    tasks = plan.execute().getNumPartitions()
+    if tasks >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)

@@ -1,7 +1,8 @@
 """The library of analytic questions over the clean model.
 
 Two rules hold throughout: link tables are aggregated before a dimension is joined, and a result is cut
-to its top rows before anything wide is looked up. Ties are broken by id, country or patent_id.
+to its top rows before anything wide is looked up. A result of at most k rows is put in order with a
+second top-k, which needs no range shuffle. Ties are broken by id, country or patent_id.
 
 Where a question counts distinct (country, patent) pairs, repeated inventor links do not matter, so
 ``links`` may be given without removing duplicates; that saves a shuffle.
@@ -50,18 +51,20 @@ def _top_linked(links: DataFrame, dimension: DataFrame, key: str, k: int) -> Dat
 
 
 def top_inventors(patent_inventor: DataFrame, inventors: DataFrame, k: int = 20) -> DataFrame:
-    return (
-        _top_linked(patent_inventor, inventors, "inventor_id", k)
-        .select("inventor_id", "name", "country", "patent_count")
-        .orderBy(*ordering("-patent_count", "inventor_id"))
+    named = _top_linked(patent_inventor, inventors, "inventor_id", k)
+    return top_k(
+        named.select("inventor_id", "name", "country", "patent_count"),
+        ["-patent_count", "inventor_id"],
+        k,
     )
 
 
 def top_companies(patent_company: DataFrame, companies: DataFrame, k: int = 20) -> DataFrame:
-    return (
-        _top_linked(patent_company, companies, "company_id", k)
-        .select("company_id", "name", "assignee_type", "patent_count")
-        .orderBy(*ordering("-patent_count", "company_id"))
+    named = _top_linked(patent_company, companies, "company_id", k)
+    return top_k(
+        named.select("company_id", "name", "assignee_type", "patent_count"),
+        ["-patent_count", "company_id"],
+        k,
     )
 
 
@@ -206,11 +209,8 @@ def join_preview(
         .groupBy("patent_id")
         .agg(_comma_list("name").alias("company_names"))
     )
-    return (
-        latest.join(people, "patent_id", "left")
-        .join(owners, "patent_id", "left")
-        .orderBy(*ordering("-year", "patent_id"))
-    )
+    whole = latest.join(people, "patent_id", "left").join(owners, "patent_id", "left")
+    return top_k(whole, ["-year", "patent_id"], k)
 
 
 # ---- technology sections ----------------------------------------------------------------------

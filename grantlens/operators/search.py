@@ -10,9 +10,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantlens.functions.layout import fill_cores
 from grantlens.functions.ranking import first_per_key, ordering, top_k, top_n_per_group
 from grantlens.functions.stem import stem_words
-from grantlens.functions.text import MIN_QUERY_LENGTH, file_slug, normalize_query, tokens
+from grantlens.functions.text import (
+    MIN_QUERY_LENGTH,
+    file_slug,
+    fold_case,
+    normalize_query,
+    raw_words,
+)
 from grantlens.schema import DAYS_PER_YEAR
 
 # The usual BM25 parameters and the least weight of a term.
@@ -43,24 +50,45 @@ class SearchIndex:
 # ---- index ------------------------------------------------------------------------------------
 
 
-def token_arrays(docs: DataFrame, tokenizer: str) -> DataFrame:
-    words = F.concat(tokens(F.col("title"), tokenizer), tokens(F.col("abstract"), tokenizer))
-    return docs.select("patent_id", words.alias("words")).select(
-        "patent_id", "words", F.size("words").alias("doc_len")
+def doc_lengths(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
+    """Words per document; counting needs no case folding and keeps no words."""
+    texts = [F.size(raw_words(F.col(c), tokenizer)) for c in ("title", "abstract")]
+    return docs.select("patent_id", (texts[0] + texts[1]).alias("doc_len"))
+
+
+def _words(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(patent_id, doc_len, term), one row per word of title and abstract.
+
+    The outer explode is on purpose: for a plain one Spark infers a filter on the array and moves it
+    to the scan, which splits every text a second time.
+    """
+    words = F.concat(raw_words(F.col("title"), tokenizer), raw_words(F.col("abstract"), tokenizer))
+    return (
+        docs.select("patent_id", words.alias("words"))
+        .select("patent_id", F.size("words").alias("doc_len"), F.explode_outer("words").alias("word"))
+        .filter(F.col("word").isNotNull())
+        .select("patent_id", "doc_len", fold_case(F.col("word"), tokenizer).alias("term"))
     )
 
 
 def tokenize(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
     """(patent_id, term, tf) over title and abstract together."""
-    words = token_arrays(docs, tokenizer).select("patent_id", F.explode("words").alias("term"))
+    words = _words(fill_cores(docs, "patent_id"), tokenizer)
     return words.groupBy("patent_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def vocabulary(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
+    """The distinct words of all documents."""
+    return _words(fill_cores(docs, "patent_id"), tokenizer).select("term").distinct()
+
+
 def make_postings(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -> DataFrame:
-    words = token_arrays(docs, tokenizer).select(
-        "patent_id", "doc_len", F.explode("words").alias("term")
+    """(term, patent_id, tf, doc_len)."""
+    counted = (
+        _words(docs, tokenizer)
+        .groupBy("patent_id", "doc_len", "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
     )
-    counted = words.groupBy("patent_id", "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
     if stem:
         counted = (
             stem_words(counted, "term")
@@ -91,7 +119,7 @@ def build_index(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -
     """
     spread = docs.select("patent_id", "title", "abstract").repartition("patent_id")
     postings = make_postings(spread, stem, tokenizer)
-    documents = token_arrays(docs, tokenizer).select("patent_id", "doc_len")
+    documents = doc_lengths(spread, tokenizer)
     return SearchIndex(
         postings, documents, term_counts(postings), corpus_counts(documents), stem, tokenizer
     )
@@ -100,8 +128,9 @@ def build_index(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -
 def scan_index(docs: DataFrame, tokenizer: str = "ascii") -> SearchIndex:
     """An index that is never stored: a search's term filter reaches down to the tokens, so only the
     words asked for are counted and shuffled."""
+    docs = fill_cores(docs.select("patent_id", "title", "abstract"), "patent_id")
     postings = make_postings(docs, tokenizer=tokenizer)
-    documents = token_arrays(docs, tokenizer).select("patent_id", "doc_len")
+    documents = doc_lengths(docs, tokenizer)
     return SearchIndex(
         postings, documents, term_counts(postings), corpus_counts(documents), False, tokenizer
     )
@@ -148,9 +177,7 @@ def maintain_index(index: SearchIndex, changes: DataFrame) -> SearchIndex:
     last = first_per_key(changes, ["patent_id"], ["-seq"])
     changed = last.select("patent_id")
     added = make_postings(last.filter(~F.col("is_delete")), index.stemmed, index.tokenizer)
-    new_documents = token_arrays(last.filter(~F.col("is_delete")), index.tokenizer).select(
-        "patent_id", "doc_len"
-    )
+    new_documents = doc_lengths(last.filter(~F.col("is_delete")), index.tokenizer)
     old_postings = index.postings.select("term", "patent_id", "tf", "doc_len")
     removed = old_postings.join(changed, "patent_id", "left_semi")
     postings = old_postings.join(changed, "patent_id", "left_anti").unionByName(added)
@@ -175,7 +202,9 @@ def maintain_index(index: SearchIndex, changes: DataFrame) -> SearchIndex:
 
 
 def as_queries(spark: SparkSession, texts: list[str]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(texts)), "query_id int, query string")
+    """(query_id, query) from given texts, as a constant the optimizer knows to be small."""
+    rows = [F.struct(F.lit(i).alias("query_id"), F.lit(q).alias("query")) for i, q in enumerate(texts)]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def normalize_queries(queries: DataFrame) -> DataFrame:
@@ -184,59 +213,64 @@ def normalize_queries(queries: DataFrame) -> DataFrame:
     return clean.filter(F.col("clean").isNotNull())
 
 
-def _parts(text: Column, word: str) -> Column:
-    return F.split(text, f" {word} ")
-
+def _spaced(queries: DataFrame) -> DataFrame:
+    """Two spaces between words, so that neighbouring operators do not share one."""
+    words = F.regexp_replace(F.trim("clean"), r"\s+", "  ")
+    return normalize_queries(queries).withColumn("text", F.concat(F.lit(" "), words, F.lit(" ")))
 
-def _query_parts(queries: DataFrame) -> DataFrame:
-    """One row per group of words between operators.
 
-    NOT binds tightest, then AND, then OR; words side by side form a group. So a query is a list of
-    alternatives, each a list of clauses, each a wanted group (part 0) and unwanted ones.
-    """
-    spaced = F.concat(F.lit(" "), F.regexp_replace(F.trim("clean"), r"\s+", "  "), F.lit(" "))
-    return (
-        normalize_queries(queries)
-        .select("query_id", "query", F.posexplode(_parts(spaced, "OR")).alias("alt", "alt_text"))
-        .select("*", _parts(F.col("alt_text"), "AND").alias("clauses"))
-        .select("*", F.posexplode("clauses").alias("clause", "clause_text"))
-        .select(
-            "query_id",
-            "query",
-            "alt",
-            "clause",
-            F.size("clauses").alias("n_clauses"),
-            F.posexplode(_parts(F.col("clause_text"), "NOT")).alias("part", "words"),
-        )
-    )
+def _lacks_a_side() -> Column:
+    return F.exists(F.split("text", " (?:OR|AND|NOT) "), lambda part: F.trim(part) == "")
 
 
 def malformed_queries(queries: DataFrame) -> DataFrame:
     """Queries with an operator that lacks a side; the title scan answers them instead."""
-    empty = F.trim("words") == ""
-    return (
-        _query_parts(queries).filter(empty).select("query_id", "query").distinct()
-    )
+    return _spaced(queries).filter(_lacks_a_side()).select("query_id", "query")
 
 
 def query_terms(queries: DataFrame, stem: bool = False, tokenizer: str = "ascii") -> DataFrame:
-    """The terms of the well-formed queries, one row per (group, term), with group sizes."""
-    parts = _query_parts(queries)
-    sound = parts.join(malformed_queries(queries), "query_id", "left_anti")
+    """The terms of the well-formed queries, one row per (group, term).
+
+    NOT binds tightest, then AND, then OR; words side by side form a group. So a query is a list of
+    alternatives, each a list of clauses, each a wanted group (part 0) and unwanted ones. All of it is
+    projections of the query text.
+    """
     group = ["query_id", "alt", "clause", "n_clauses", "part"]
-    words = sound.select(*group, F.explode(tokens(F.col("words"), tokenizer)).alias("term"))
+    parts = (
+        _spaced(queries)
+        .filter(~_lacks_a_side())
+        .select("query_id", F.posexplode(F.split("text", " OR ")).alias("alt", "text"))
+        .select("query_id", "alt", F.split("text", " AND ").alias("clauses"))
+        .select("*", F.posexplode("clauses").alias("clause", "text"))
+        .withColumn("n_clauses", F.size("clauses"))
+        .select("*", F.posexplode(F.split("text", " NOT ")).alias("part", "words"))
+        .select(
+            *group,
+            F.transform(
+                raw_words(F.col("words"), tokenizer), lambda word: fold_case(word, tokenizer)
+            ).alias("words"),
+        )
+    )
     if stem:
-        words = stem_words(words, "term").drop("term").withColumnRenamed("stem", "term")
-    repeated = words.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("times"))
-    sizes = repeated.groupBy(*group).agg(F.count(F.lit(1)).alias("n_terms"))
-    return repeated.join(sizes, group)
+        stems = stem_words(parts.select(*group, F.explode("words").alias("word")), "word")
+        parts = stems.groupBy(*group).agg(F.collect_list("stem").alias("words"))
+    return parts.select(
+        *group, "words", F.explode(F.array_distinct("words")).alias("term")
+    ).select(
+        *group,
+        "term",
+        F.size(F.array_distinct("words")).cast("bigint").alias("n_terms"),
+        F.size(F.filter("words", lambda word: word == F.col("term"))).alias("times"),
+    )
 
 
 def _term_weights(index: SearchIndex, wanted: DataFrame, stats: Column) -> DataFrame:
     df = F.col("n_docs")
     idf = F.log((stats["n_docs"] - df + 0.5) / (df + 0.5))
-    known = index.terms.join(wanted, "term", "left_semi")
-    return known.select("term", F.greatest(idf, F.lit(MIN_IDF)).alias("idf"))
+    # Reading n_hits as well keeps this branch equal to the one that finds the hits, so that over an
+    # index that is not stored Spark counts the words once and reuses that shuffle.
+    weight = F.when(F.col("n_hits") > 0, F.greatest(idf, F.lit(MIN_IDF)))
+    return index.terms.join(wanted, "term", "left_semi").select("term", weight.alias("idf"))
 
 
 def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
@@ -249,7 +283,7 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
     inside those partitions, and the final cut keeps k rows per query before its shuffle.
     """
     terms = query_terms(queries, index.stemmed, index.tokenizer)
-    wanted = terms.select("term").distinct()
+    wanted = terms.select("term")
     n_docs, n_tokens = F.col("n_docs"), F.col("n_tokens")
     stats = index.corpus.select(
         F.struct(n_docs, (n_tokens.cast("double") / n_docs).alias("avg_len"))

@@ -629,7 +629,7 @@ def s_tokenize(t):
 @register
 def s_stem(t):
     """The stem of every word of the documents."""
-    words = search.tokenize(t.search_docs).select("term").distinct()
+    words = search.vocabulary(t.search_docs)
     return stem_words(words, "term")
 
 
