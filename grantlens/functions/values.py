@@ -61,24 +61,33 @@ def assignee_type(organisation: Column) -> Column:
     return F.when(_organisation(organisation).isNotNull(), "organisation").otherwise("individual")
 
 
+# Sections as bits of a number, so that a set of sections can be built by a plain hash aggregate.
+_LETTERS = "".join(SECTIONS)
+_BITS = {letter: 1 << i for i, letter in enumerate(SECTIONS)}
+
+
 def section_letter(text: Column) -> Column:
-    """First letter in upper case if it is a known section, else NULL."""
-    letter = F.substring(F.upper(F.trim(text)), 1, 1)
-    return F.when(letter.isin(SECTIONS), letter)
+    """First letter in upper case, known section or not."""
+    return F.substring(F.upper(F.trim(text)), 1, 1)
 
 
-def section_bit(section: Column) -> Column:
-    """One bit per section, so a set of sections is a number that a plain hash aggregate can build."""
-    bits = F.create_map(*[F.lit(x) for i, s in enumerate(SECTIONS) for x in (s, 1 << i)])
-    return F.element_at(bits, section)
+def section_bit(letter: Column) -> Column:
+    """NULL for anything but a known section letter."""
+    at = F.instr(F.lit(_LETTERS), letter)
+    return F.when((letter != "") & (at > 0), F.call_function("shiftleft", F.lit(1), at - 1))
 
 
-def sections_of(bits: Column) -> Column:
-    """The sorted array of sections in a bit set."""
-    pairs = F.array(
-        *[F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(s)) for i, s in enumerate(SECTIONS)]
+def each_section() -> Column:
+    """To be exploded: every section with its bit."""
+    return F.array(
+        *[F.struct(F.lit(s).alias("cpc_section"), F.lit(b).alias("bit")) for s, b in _BITS.items()]
     )
-    return F.array_compact(pairs)
+
+
+def section_json(bits: Column) -> Column:
+    """The sorted sections of a bit set as JSON array text."""
+    letters = [F.when(bits.bitwiseAND(F.lit(b)) != 0, s) for s, b in _BITS.items()]
+    return F.concat(F.lit('["'), F.concat_ws('","', *letters), F.lit('"]'))
 
 
 def known_country(country: Column) -> Column:

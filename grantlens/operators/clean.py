@@ -195,7 +195,9 @@ def normalize_sections(raw_cpc: DataFrame) -> DataFrame:
         .filter(F.col("patent_id").isNotNull() & F.col("bit").isNotNull())
         .groupBy("patent_id")
         .agg(F.bit_or("bit").alias("bits"))
-        .select("patent_id", F.explode(V.sections_of(F.col("bits"))).alias("cpc_section"))
+        .select("patent_id", "bits", F.inline(V.each_section()))
+        .filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+        .select("patent_id", "cpc_section")
     )
 
 
@@ -213,7 +215,7 @@ def section_lists(patent_cpc: DataFrame) -> DataFrame:
     return (
         patent_cpc.groupBy("patent_id")
         .agg(F.bit_or(V.section_bit(F.col("cpc_section"))).alias("bits"))
-        .select("patent_id", F.to_json(V.sections_of(F.col("bits"))).alias("cpc_sections"))
+        .select("patent_id", V.section_json(F.col("bits")).alias("cpc_sections"))
     )
 
 

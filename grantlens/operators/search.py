@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from grantlens.functions.layout import fill_cores
 from grantlens.functions.ranking import first_per_key, ordering, top_k, top_n_per_group
-from grantlens.functions.stem import stem_words
+from grantlens.functions.stem import stem as stem_of
 from grantlens.functions.text import (
     MIN_QUERY_LENGTH,
     file_slug,
@@ -91,8 +91,8 @@ def make_postings(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii")
     )
     if stem:
         counted = (
-            stem_words(counted, "term")
-            .groupBy("patent_id", "doc_len", F.col("stem").alias("term"))
+            counted.withColumn("term", stem_of(F.col("term")))
+            .groupBy("patent_id", "doc_len", "term")
             .agg(F.sum("tf").alias("tf"))
         )
     return counted.select("term", "patent_id", "tf", "doc_len")
@@ -252,8 +252,7 @@ def query_terms(queries: DataFrame, stem: bool = False, tokenizer: str = "ascii"
         )
     )
     if stem:
-        stems = stem_words(parts.select(*group, F.explode("words").alias("word")), "word")
-        parts = stems.groupBy(*group).agg(F.collect_list("stem").alias("words"))
+        parts = parts.withColumn("words", F.transform("words", stem_of))
     return parts.select(
         *group, "words", F.explode(F.array_distinct("words")).alias("term")
     ).select(

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from grantlens.operators.clean import normalize_sections
 from grantlens.schema import UNKNOWN_COUNTRY
@@ -15,13 +16,20 @@ from grantlens.schema import UNKNOWN_COUNTRY
 SECTION_LETTERS = "ABCDEFGHYZ"  # Z is not a section
 
 
+# Table schemas by path, so that a session looks into each file once and not in every query.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class DriverTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def _country_names(self):
         """Nation (25 rows at any scale) as one map value. A join with it would multiply the size

@@ -6,7 +6,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.functions.stem import stem_words
+from grantlens.functions.stem import stem
 from grantlens.functions.text import normalize_query
 from grantlens.operators import analytics as Q
 from grantlens.operators import checks, clean, derived, search, views
@@ -629,8 +629,7 @@ def s_tokenize(t):
 @register
 def s_stem(t):
     """The stem of every word of the documents."""
-    words = search.vocabulary(t.search_docs)
-    return stem_words(words, "term")
+    return search.vocabulary(t.search_docs).select("term", stem(F.col("term")).alias("stem"))
 
 
 @register

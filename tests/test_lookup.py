@@ -1,0 +1,50 @@
+"""The join that splits hot keys must equal the plain one."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from grantlens.functions import lookup
+from grantlens.functions.ranking import top_n_per_group
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 700))
+        .when(F.col("id") % 7 == 0, "lost")
+        .alias("key"),
+        "id",
+    )
+    names = spark.range(700).select(
+        F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").cast("string").alias("name")
+    )
+    hot = spark.range(1).select(F.lit("hot").alias("key"), F.lit("third").alias("name"))
+    return facts, names.union(hot)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_split_equals_plain(sides, rows, how):
+    facts, names = sides
+    split = lookup.lookup_join(facts, names, "key", how, limit=0)
+    plain = facts.join(names, "key", how)
+    assert split.columns == plain.columns
+    assert rows(split) == rows(plain)
+
+
+def test_split_is_only_taken_beyond_the_limit(sides):
+    facts, names = sides
+    small = lookup.lookup_join(facts, names, "key", limit=1 << 30)
+    large = lookup.lookup_join(facts, names, "key", limit=0)
+    assert "_hot" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "_hot" in large._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_top_n_is_a_prefix_of_the_order(spark):
+    frame = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 101).alias("v"), "id")
+    all_rows = top_n_per_group(frame, ["g"], ["-v", "id"], 1000).collect()
+    for n in (1, 5):
+        few = top_n_per_group(frame.repartition(7), ["g"], ["-v", "id"], n).collect()
+        for group in range(3):
+            order = sorted((-r.v, r.id) for r in all_rows if r.g == group)
+            assert sorted((-r.v, r.id) for r in few if r.g == group) == order[:n]
