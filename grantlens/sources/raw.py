@@ -46,6 +46,7 @@ def _with_bad_records(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
         .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
+        .option("columnPruning", False)  # a pruned parse does not see surplus fields
         .csv(path)
     )
     return frame, len(header) - 1
@@ -76,8 +77,10 @@ def bad_line_counts(
     """How many lines were read, too long (dropped) and short (kept)."""
     frame, fields = _with_bad_records(spark, f"{folder}/{name}{suffix}")
     bad = F.col(BAD_RECORD).isNotNull()
+    key = RAW_COLUMNS[name][0]
     return frame.agg(
-        F.count(F.lit(1)).alias("lines"),
+        # names a data column, as Spark does not read bad records alone
+        (F.count(key) + F.count_if(F.col(key).isNull())).alias("lines"),
         F.count_if(_too_long(fields)).alias("too_long"),
         F.count_if(bad & ~_too_long(fields)).alias("short"),
     )
