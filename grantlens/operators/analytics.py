@@ -250,10 +250,18 @@ def section_trends(
 def top_companies_by_section(
     patent_cpc: DataFrame, patent_company: DataFrame, companies: DataFrame, n: int = 5
 ) -> DataFrame:
-    """Ranked by id first; an id without a name then shortens its section's list."""
+    """Ranked by id first; an id without a name then shortens its section's list.
+
+    The sections enter as one bit set per patent, so that a patent with very many owners is a hot key
+    of a lookup and can be split.
+    """
+    packed = patent_cpc.groupBy("patent_id").agg(
+        F.bit_or(V.section_bit(F.col("cpc_section"))).alias("bits")
+    )
     counts = (
-        _sections(patent_cpc)
-        .join(patent_company, "patent_id")
+        lookup_join(patent_company.select("patent_id", "company_id"), packed, "patent_id")
+        .select("company_id", "bits", F.inline(V.each_section()))
+        .filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
         .groupBy("cpc_section", "company_id")
         .agg(rows().alias("patent_count"))
     )

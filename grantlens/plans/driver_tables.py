@@ -217,7 +217,9 @@ class DriverTables:
     @cached_property
     def raw_abstract(self) -> DataFrame:
         return self.table("documents").select(
-            F.col("doc_id").cast("string").alias("patent_id"), F.col("text").alias("patent_abstract")
+            F.col("doc_id").cast("string").alias("patent_id"),
+            F.lit(1).alias("seq"),
+            F.col("text").alias("patent_abstract"),
         )
 
     @cached_property

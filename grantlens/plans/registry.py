@@ -38,7 +38,7 @@ OPERATOR_SEARCHES = [
 TITLE_SEARCHES = ["OR", "AND", "NOT", "que OR"]
 PATENT_ORDER = ["seq", "title"]
 APPLICATION_ORDER = ["seq"]
-ABSTRACT_ORDER = ["patent_abstract"]
+ABSTRACT_ORDER = ["seq"]
 INVENTOR_ORDER = ["patent_id", "seq"]
 ASSIGNEE_ORDER = ["patent_id"]
 
@@ -133,7 +133,6 @@ def clean_model(t) -> dict[str, DataFrame]:
         "patent_inventor": clean.patent_inventor_links(t.raw_inventor),
         "patent_company": clean.patent_company_links(t.raw_assignee),
         "patent_cpc": clean.label_sections(sections),
-        "cpc_section_agg": clean.section_lists(sections),
     }
 
 
@@ -776,7 +775,8 @@ def v_year_range(t):
 
 @register
 def v_orphans(t):
-    return checks.orphans(clean_model(t))
+    model = clean_model(t)
+    return checks.orphans(model | {"cpc_section_agg": clean.section_lists(model["patent_cpc"])})
 
 
 @register

@@ -3,11 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.operators.clean import iso_dates
+from grantlens.operators.clean import iso_dates, section_lists
 from grantlens.schema import CLEAN_SCHEMAS
 from grantlens.sources.storage import path_exists
 
-# Year folders make year filters prune whole files; rows of a year are still split over tasks.
+# Year folders make year filters prune whole files.
 PARTITIONED_BY = {"patents": "year"}
 
 
@@ -33,7 +33,11 @@ def load_model(
 
 
 def write_model(model: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
-    """Overwrites every given table. CSV is unpartitioned and carries ISO dates as text."""
+    """Overwrites every given table. CSV is unpartitioned and carries ISO dates as text.
+
+    If the section pairs are given without the lists per patent, the lists are made from the written
+    pairs, so that the raw section file is worked through once.
+    """
     for name, frame in model.items():
         schema = CLEAN_SCHEMAS[name]
         frame = frame.select(*[F.col(f.name).cast(f.dataType) for f in schema])
@@ -44,7 +48,9 @@ def write_model(model: dict[str, DataFrame], folder: str, fmt: str = "parquet")
             writer = frame.write
             key = PARTITIONED_BY.get(name)
             if key:
-                # One shuffle by year would put the biggest year, or all undated rows, in one task.
-                frame = frame.repartition(key, F.pmod(F.xxhash64("patent_id"), F.lit(16)))
-                writer = frame.write.partitionBy(key)
+                # Few files per year, while Spark splits a year too big for one task at run time.
+                writer = frame.hint("rebalance", F.col(key)).write.partitionBy(key)
         writer.mode("overwrite").format(fmt).save(f"{folder}/{name}")
+    if "patent_cpc" in model and "cpc_section_agg" not in model:
+        written = load_model(model["patent_cpc"].sparkSession, folder, fmt)["patent_cpc"]
+        write_model({"cpc_section_agg": section_lists(written)}, folder, fmt)

@@ -6,15 +6,23 @@ from pyspark.sql import functions as F
 from grantlens.functions.ranking import ordering
 from grantlens.operators import analytics as Q
 from grantlens.operators.clean import label_sections
+from grantlens.sources.storage import written
 
 Model = dict[str, DataFrame]
 
 
-def results(model: Model, min_lag_patents: int = 500) -> dict[str, DataFrame]:
-    """Every report by file name; section reports only if the section table is there."""
+def results(
+    model: Model, min_lag_patents: int = 500, pairs: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Every report by file name; section reports only if the section table is there.
+
+    Six reports read the distinct (country, patent) ``pairs``; a job that runs them all gives them as a
+    written table.
+    """
     patents, inventors, companies = model["patents"], model["inventors"], model["companies"]
     people, owners = model["patent_inventor"], model["patent_company"]
-    pairs = Q.country_patents(people, inventors)
+    if pairs is None:
+        pairs = Q.country_patents(people, inventors)
     leaders = Q.top_inventors(people, inventors)
     found = {
         "top_inventors": leaders,
@@ -51,10 +59,14 @@ def write_csv(frame: DataFrame, path: str, one_file: bool = True) -> None:
 
 
 def write_reports(model: Model, folder: str) -> list[str]:
-    written = results(model)
-    for name, frame in written.items():
+    found = results(model, pairs=_written_pairs(model))
+    for name, frame in found.items():
         write_csv(frame, f"{folder}/{name}")
-    return list(written)
+    return list(found)
+
+
+def _written_pairs(model: Model) -> DataFrame:
+    return written(Q.country_patents(model["patent_inventor"], model["inventors"]), "pairs")
 
 
 def _entries(frame: DataFrame, order: list[str], columns: dict, limit: int | None = None):
@@ -69,13 +81,14 @@ def _entries(frame: DataFrame, order: list[str], columns: dict, limit: int | Non
     return numbered.agg(F.transform(listed, lambda x: x["entry"])).scalar()
 
 
-def report_document(model: Model) -> DataFrame:
+def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
     """One row, one column ``report``: the summary as JSON text.
 
     Each list comes from a result of at most some fifty rows and enters as a one-row subquery.
     """
     patents, inventors, companies = model["patents"], model["inventors"], model["companies"]
-    pairs = Q.country_patents(model["patent_inventor"], inventors)
+    if pairs is None:
+        pairs = Q.country_patents(model["patent_inventor"], inventors)
     leaders = Q.top_inventors(model["patent_inventor"], inventors)
     owners = Q.top_companies(model["patent_company"], companies)
     ranked = ["-patent_count", "inventor_id"]
@@ -157,7 +170,8 @@ def report_document(model: Model) -> DataFrame:
 
 
 def write_document(model: Model, path: str) -> None:
-    report_document(model).write.mode("overwrite").text(path)
+    document = report_document(model, _written_pairs(model))
+    document.write.mode("overwrite").text(path)
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
