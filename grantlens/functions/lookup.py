@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 # A key counts as hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys and
 # the part of the lookup table broadcast for them is bounded whatever the data.
-HOT_SHARE = 1 / 2000
+HOT_SHARE = 1 / 20_000
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from grantlens.functions.lookup import lookup_join
 from grantlens.operators.clean import normalize_sections
 from grantlens.schema import UNKNOWN_COUNTRY
 
@@ -133,7 +134,10 @@ class DriverTables:
                 F.lit(SECTION_LETTERS), F.lit(1) + F.col("p_size") % 10, F.lit(1)
             ).alias("letter"),
         )
-        return self.table("lineitem").join(parts, "l_partkey")
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"
+        )
+        return lookup_join(lines, parts, "l_partkey")
 
     @cached_property
     def patent_cpc(self) -> DataFrame:
@@ -231,17 +235,14 @@ class DriverTables:
             F.when(named, F.expr("substr(s_name, 10)")).alias("disambig_inventor_name_last"),
             F.col("s_nationkey").cast("string").alias("location_id"),
         )
-        return (
-            self.table("lineitem")
-            .join(people, "l_suppkey")
-            .select(
-                F.col("l_orderkey").cast("string").alias("patent_id"),
-                F.col("l_suppkey").cast("string").alias("inventor_id"),
-                F.col("l_linenumber").alias("seq"),
-                "disambig_inventor_name_first",
-                "disambig_inventor_name_last",
-                "location_id",
-            )
+        lines = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+        return lookup_join(lines, people, "l_suppkey").select(
+            F.col("l_orderkey").cast("string").alias("patent_id"),
+            F.col("l_suppkey").cast("string").alias("inventor_id"),
+            F.col("l_linenumber").alias("seq"),
+            "disambig_inventor_name_first",
+            "disambig_inventor_name_last",
+            "location_id",
         )
 
     @cached_property
@@ -257,16 +258,13 @@ class DriverTables:
                 "disambig_assignee_individual_name_last"
             ),
         )
-        return (
-            self.table("orders")
-            .join(owners, "o_custkey")
-            .select(
-                F.col("o_orderkey").cast("string").alias("patent_id"),
-                F.col("o_custkey").cast("string").alias("assignee_id"),
-                "disambig_assignee_organization",
-                "disambig_assignee_individual_name_first",
-                "disambig_assignee_individual_name_last",
-            )
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        return lookup_join(orders, owners, "o_custkey").select(
+            F.col("o_orderkey").cast("string").alias("patent_id"),
+            F.col("o_custkey").cast("string").alias("assignee_id"),
+            "disambig_assignee_organization",
+            "disambig_assignee_individual_name_first",
+            "disambig_assignee_individual_name_last",
         )
 
     @cached_property
