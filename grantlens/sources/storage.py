@@ -6,17 +6,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_base: str | None = None
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one every executor can reach.
 
     Clusters name it in spark.checkpoint.dir; only where that is unset, as in a local test, is a
-    temporary folder made and set.
+    temporary folder made.
     """
+    global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="grantlens-")
-        spark.sparkContext.setCheckpointDir(base)
-        spark.conf.set("spark.checkpoint.dir", base)
+        _local_base = _local_base or tempfile.mkdtemp(prefix="grantlens-")
+        base = _local_base
     return f"{base.rstrip('/')}/grantlens/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.sources import model as store
-from grantlens.sources import raw, reports
+from grantlens.sources import raw, reports, storage
 from grantlens.operators import checks
 
 
@@ -114,3 +114,18 @@ def test_report_csv_has_header(spark, tables, tmp_path):
 def test_inputs_present(spark, folder):
     found = checks.inputs_present(spark, {"orders": f"{folder}/orders.parquet", "no": f"{folder}/no"})
     assert sorted(tuple(r) for r in found.collect()) == [("no", False, False), ("orders", True, True)]
+
+
+def test_shared_folder_follows_the_session(spark):
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    named = storage.shared_folder(spark, "x")
+    assert named.startswith(spark.conf.get("spark.checkpoint.dir") + "/grantlens/x-")
+    first, second = storage.shared_folder(Unset, "x"), storage.shared_folder(Unset, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_written_table_is_the_frame(spark, tables, rows):
+    assert rows(storage.written(tables.companies, "companies")) == rows(tables.companies)
