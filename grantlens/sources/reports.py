@@ -1,5 +1,7 @@
 """Report sinks: one CSV per result and one nested JSON document."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,10 +60,16 @@ def write_csv(frame: DataFrame, path: str, one_file: bool = True) -> None:
     frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_reports(model: Model, folder: str) -> list[str]:
+def write_reports(model: Model, folder: str, at_once: int = 4) -> list[str]:
+    """Writes every report, a few jobs at a time, so that the short end of one leaves no core idle.
+
+    If one fails the others are still written, and then its error is raised.
+    """
     found = results(model, pairs=_written_pairs(model))
-    for name, frame in found.items():
-        write_csv(frame, f"{folder}/{name}")
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = [pool.submit(write_csv, f, f"{folder}/{name}") for name, f in found.items()]
+    for job in jobs:
+        job.result()
     return list(found)
 
 
