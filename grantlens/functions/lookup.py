@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 # A key counts as hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys and
 # the part of the lookup table broadcast for them is bounded whatever the data.
 HOT_SHARE = 1 / 20_000
+SHARES = 64  # tasks over which a key that is hot on both sides of a join is dealt out
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -19,6 +20,13 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(text[:-1]) * units[text[-1]] if text[-1] in units else int(text)
 
 
+def _hot_keys(facts: DataFrame, key: str) -> DataFrame:
+    """(key, _hot) for the at most 1 / HOT_SHARE keys with a large share of the rows."""
+    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    floor = facts.agg((F.count(F.lit(1)) * F.lit(HOT_SHARE)).alias("_floor")).scalar()
+    return counts.filter(F.col("_n") > floor).select(key, F.lit(True).alias("_hot"))
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", limit: int | None = None
 ) -> DataFrame:
@@ -37,12 +45,34 @@ def lookup_join(
     if 0 <= estimated_bytes(lookup) <= limit:
         return facts.join(lookup, key, how)
 
-    counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    floor = facts.agg((F.count(F.lit(1)) * F.lit(HOT_SHARE)).alias("_floor")).scalar()
-    hot_keys = counts.filter(F.col("_n") > floor).select(key, F.lit(True).alias("_hot"))
+    hot_keys = _hot_keys(facts, key)
     marked = facts.join(F.broadcast(hot_keys), key, "left")
     is_apart = F.col("_hot").isNotNull() | F.col(key).isNull()
     hot_lookup = lookup.join(F.broadcast(hot_keys.select(key)), key, "left_semi")
     hot = marked.filter(is_apart).drop("_hot").join(F.broadcast(hot_lookup), key, how)
     cold = marked.filter(~is_apart).drop("_hot").join(lookup, key, how)
     return hot.unionByName(cold)
+
+
+def salted_left_join(
+    left: DataFrame, right: DataFrame, key: str, spread_by: str, limit: int | None = None
+) -> DataFrame:
+    """Left join in which a key may repeat on both sides.
+
+    Beyond Spark's broadcast limit the rows of a key that is hot on the left are dealt out by a second
+    column, and only for those keys the right rows are copied once per share.
+    """
+    if limit is None:
+        limit = broadcast_limit(left.sparkSession)
+    if 0 <= estimated_bytes(right) <= limit:
+        return left.join(right, key, "left")
+    hot_keys = F.broadcast(_hot_keys(left, key))
+    is_hot = F.col("_hot").isNotNull()
+    share = F.pmod(F.xxhash64(spread_by), F.lit(SHARES)).cast("int")
+    shares = F.sequence(F.lit(0), F.when(is_hot, F.lit(SHARES - 1)).otherwise(F.lit(0)))
+    dealt = left.join(hot_keys, key, "left").withColumn(
+        "_share", F.when(is_hot, share).otherwise(F.lit(0))
+    )
+    copied = right.join(hot_keys, key, "left").withColumn("_share", F.explode(shares))
+    joined = dealt.drop("_hot").join(copied.drop("_hot"), [key, "_share"], "left")
+    return joined.drop("_share")

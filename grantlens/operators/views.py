@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame
 
+from grantlens.functions.lookup import salted_left_join
+
 
 def patent_full(patents: DataFrame, cpc_section_agg: DataFrame) -> DataFrame:
     return patents.join(cpc_section_agg, "patent_id", "left")
@@ -9,6 +11,5 @@ def patent_full(patents: DataFrame, cpc_section_agg: DataFrame) -> DataFrame:
 
 def patent_relationships(patent_inventor: DataFrame, patent_company: DataFrame) -> DataFrame:
     """One row per (inventor link, company link) pair of a patent."""
-    return patent_inventor.join(patent_company, "patent_id", "left").select(
-        "patent_id", "inventor_id", "company_id"
-    )
+    pairs = salted_left_join(patent_inventor, patent_company, "patent_id", "inventor_id")
+    return pairs.select("patent_id", "inventor_id", "company_id")

@@ -32,6 +32,15 @@ def test_split_equals_plain(sides, rows, how):
     assert rows(split) == rows(plain)
 
 
+def test_salted_equals_plain(spark, sides, rows):
+    facts, names = sides
+    several = names.union(names.withColumn("name", F.concat("name", F.lit("-b"))))
+    salted = lookup.salted_left_join(facts, several, "key", "id", limit=0)
+    plain = facts.join(several, "key", "left")
+    assert salted.columns == plain.columns
+    assert rows(salted) == rows(plain)
+
+
 def test_split_is_only_taken_beyond_the_limit(sides):
     facts, names = sides
     small = lookup.lookup_join(facts, names, "key", limit=1 << 30)
