@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from grantlens.llm import language, mixing, packing, token_shards, url_filter
+from grantlens.llm import language, minhash, mixing, packing, rotation_codes, token_shards, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -94,6 +94,11 @@ SELECT page_id, host, path, rule, coalesce(says, 'allow') AS verdict FROM fittin
 """
 
 
+@register
+def op4_minhash(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -116,3 +121,8 @@ def op9_language(spark, folder):
     trees = language.learn_trees(documents.filter(~held_out))
     found = language.predict_language(documents.select("doc_id", held_out.alias("held_out"), "text"), trees)
     return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@register
+def op1_rotation_codes(spark, folder):
+    return rotation_codes.near_vectors(table(spark, folder, "embeddings"))
