@@ -27,13 +27,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest doc_id.
-
-    Documents without words are in no group and stay. Of rows that repeat as a whole one stays.
-    """
-    found = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return one.dropDuplicates(["doc_id"])
+    """One document of each group of near-duplicates stays: that with the smallest doc_id."""
+    return minhash.one_of_each(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

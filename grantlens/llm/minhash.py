@@ -30,7 +30,7 @@ WORDS = HASHES * BITS // 64
 WORD_NAMES = [f"s{i}" for i in range(WORDS)]
 BLOCK = 2048  # classes of a band that one task compares with as many others
 BROADCAST_ROWS = 500_000
-SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"{w} long" for w in WORD_NAMES)
+SKETCH = "doc_id long, text_key binary, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"{w} long" for w in WORD_NAMES)
 
 
 def scrambled(x: np.ndarray) -> np.ndarray:
@@ -97,15 +97,20 @@ def least_agreeing(threshold: float, deviations: float = 4.5) -> int:
     return int(np.floor(HASHES * chance - deviations * np.sqrt(HASHES * chance * (1 - chance))))
 
 
+def text_key(text: Column) -> Column:
+    """What tells texts apart, to find a result's row again; null for null."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def sketch(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    names = ["doc_id", "n_shingles", "digest", "bands", *WORD_NAMES]
+    names = ["doc_id", "text_key", "n_shingles", "digest", "bands", *WORD_NAMES]
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 counts, digests, bands, packed = [], [], [], []
-                for value in part.column(1):
+                for value in part.column(2):
                     found = shingles(value.as_py())
                     counts.append(len(found))
                     digests.append(digest(found) if len(found) else None)
@@ -116,6 +121,7 @@ def sketch(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
+                        part.column(1),
                         pa.array(counts, pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
@@ -124,7 +130,8 @@ def sketch(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
                     names,
                 )
 
-    return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text)).mapInArrow(run, SKETCH)
+    columns = F.col(doc_id).cast("long").alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.col(text)
+    return documents.select(*columns).mapInArrow(run, SKETCH)
 
 
 def agreeing(left: str, right: str) -> Column:
@@ -283,13 +290,14 @@ def groups(batches, width: int):
 
 
 def near_duplicates(documents: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+    """(doc_id, n_shingles, component_id, kept, group_id, text_key) for every row.
 
     Two documents are linked if 100 * common shingles >= ``percent`` * united shingles. component_id is
     the lowest doc_id that links reach, and kept says that it is the row's own. Null texts and texts
     without a word have no shingles and are linked with nothing. A row with a null doc_id is
     compared like any other; where no row of a component has an id, component_id is null and all are kept. Rows that repeat are copies of each other.
-    Only the two named columns are read. An empty table gives no rows.
+    group_id is one number for each component, null without shingles; it means nothing beyond this result. Only the
+    two named columns are read. An empty table gives no rows.
     """
     sketches = written(sketch(documents, doc_id, text), "minhash-sketches")
     alike = sketches.filter("n_shingles > 0").groupBy("digest")
@@ -338,10 +346,36 @@ def near_duplicates(documents: DataFrame, percent: int = 75, doc_id: str = "doc_
         F.min("first_id").alias("lowest")
     )
     named = named.join(lowest, "component", "left").select(
-        F.col("digest").alias("_digest"), F.coalesce("lowest", "first_id").alias("component_id")
+        F.col("digest").alias("_digest"),
+        F.coalesce("lowest", "first_id").alias("component_id"),
+        F.coalesce("component", "node").alias("group_id"),
     )
-    result = sketches.select("doc_id", "n_shingles", "digest").join(named, F.col("digest") == F.col("_digest"), "left")
+    result = sketches.select("doc_id", "n_shingles", "digest", "text_key").join(named, F.col("digest") == F.col("_digest"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    kept = F.coalesce(F.col("doc_id") == component, component.isNull())
+    return result.select(
+        "doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), "group_id", "text_key"
+    )
+
+
+def one_of_each(documents: DataFrame, percent: int = 75, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``documents`` without near-duplicates: of each component one row with its lowest doc_id.
+
+    Of several such rows that with the lowest text key stays; rows without a word are in no component and all stay.
+    """
+    found = near_duplicates(documents, percent, doc_id, text).filter("kept")
+    rows = found.groupBy("group_id", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("_rows"))
+    grouped, single = rows.filter("group_id IS NOT NULL"), rows.filter("group_id IS NULL")
+    lowest = F.min_by(F.struct("doc_id", "text_key", "_rows"), "text_key").alias("row")
+    chosen = grouped.groupBy("group_id").agg(lowest).select("group_id", "row.*")
+    chosen = chosen.unionByName(single.select("group_id", "doc_id", "text_key", "_rows"))
+    chosen = chosen.select(
+        F.col("group_id").alias("_group"),
+        F.col("doc_id").alias("_of"),
+        F.col("text_key").alias("_key"),
+        (F.col("group_id").isNotNull() & (F.col("_rows") > 1)).alias("_repeats"),
     )
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_of")) & text_key(F.col(text)).eqNullSafe(F.col("_key"))
+    kept = documents.join(chosen, same)
+    repeated = kept.filter("_repeats").dropDuplicates(["_group"])  # rows that repeat as a whole
+    return kept.filter("NOT _repeats").unionByName(repeated).select(*[F.col(f"`{c}`") for c in documents.columns])

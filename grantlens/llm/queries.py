@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from grantlens.llm import language, minhash, mixing, packing, rotation_codes, token_shards, url_filter
+from grantlens.llm import graph_search, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter
 
 QUERIES = {}
 ORACLES = {}
@@ -126,3 +126,9 @@ def op9_language(spark, folder):
 @register
 def op1_rotation_codes(spark, folder):
     return rotation_codes.near_vectors(table(spark, folder, "embeddings"))
+
+
+@register
+def op7_graph_search(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return graph_search.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
