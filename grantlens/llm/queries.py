@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from grantlens.llm import graph_search, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter
+from grantlens.llm import graph_search, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -132,3 +132,10 @@ def op1_rotation_codes(spark, folder):
 def op7_graph_search(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return graph_search.nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+@register
+def op2_warc(spark, folder):
+    place = warc.new_folder(spark)
+    warc.write_archives(table(spark, folder, "pages"), place)
+    return warc.page_records(warc.read_chunks(spark, place))

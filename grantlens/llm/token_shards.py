@@ -21,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from grantlens.llm.files import file_system
 from grantlens.llm.word_encoder import encoded, encoder_for
 from grantlens.sources.storage import shared_folder
 
@@ -166,11 +166,6 @@ class ShardIndex:
         )
 
 
-def file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder's address, and the path on it."""
-    return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
-
-
 def write_shards(
     documents: DataFrame,
     folder: str,
