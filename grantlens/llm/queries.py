@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from grantlens.llm import graph_search, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc
+from grantlens.llm import graph_search, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc
 
 QUERIES = {}
 ORACLES = {}
@@ -139,3 +139,10 @@ def op2_warc(spark, folder):
     place = warc.new_folder(spark)
     warc.write_archives(table(spark, folder, "pages"), place)
     return warc.page_records(warc.read_chunks(spark, place))
+
+
+@register
+def op10_html_extraction(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_extraction.extract_text(pages, html_extraction.learn_chain(pages))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.col("main_chars").alias("n_chars"))
