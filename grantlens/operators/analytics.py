@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlens.functions import values as V
-from grantlens.functions.lookup import lookup_join
 from grantlens.functions.ranking import number_rows, ordering, top_k, top_n_per_group
 from grantlens.schema import MAX_YEAR, MIN_YEAR
 
@@ -29,12 +28,19 @@ def country_patents(links: DataFrame, inventors: DataFrame) -> DataFrame:
     """
     places = inventors.filter(V.known_country(F.col("country"))).select("inventor_id", "country")
     return (
-        lookup_join(links.select("patent_id", "inventor_id"), places, "inventor_id")
+        links.select("patent_id", "inventor_id")
+        .join(places, "inventor_id")
         .select("country", "patent_id")
         .distinct()
     )
 
 
+def pair_facts(pairs: DataFrame, patents: DataFrame) -> DataFrame:
+    """(country, patent) pairs with what reports ask of the patents; stored, one join serves them all."""
+    columns = [c for c in ("patent_id", "year", "grant_lag_days") if c in patents.columns]
+    return pairs.join(patents.select(columns), "patent_id")
+
+
 def _dated(patents: DataFrame, *columns: str, low: int = MIN_YEAR, high: int = MAX_YEAR):
     return patents.filter(V.in_years(F.col("year"), low, high)).select(
         "patent_id", "year", *columns
@@ -127,13 +133,13 @@ def countries_by_decade(
     n: int = 5,
     low: int = MIN_YEAR,
     high: int = MAX_YEAR,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """A patent has one filing year, so joining the distinct pairs keeps them distinct."""
-    decades = _dated(patents, low=low, high=high).select(
-        "patent_id", F.expr("CAST(year DIV 10 * 10 AS INT)").alias("decade")
-    )
+    facts = pair_facts(pairs, patents) if facts is None else facts
     counts = (
-        pairs.join(decades, "patent_id")
+        facts.filter(V.in_years(F.col("year"), low, high))
+        .select("country", F.expr("CAST(year DIV 10 * 10 AS INT)").alias("decade"))
         .groupBy("decade", "country")
         .agg(rows().alias("patents_per_decade"))
     )
@@ -143,10 +149,15 @@ def countries_by_decade(
 
 
 def country_trends(
-    pairs: DataFrame, patents: DataFrame, low: int = MIN_YEAR, high: int = MAX_YEAR
+    pairs: DataFrame,
+    patents: DataFrame,
+    low: int = MIN_YEAR,
+    high: int = MAX_YEAR,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
+    facts = pair_facts(pairs, patents) if facts is None else facts
     return (
-        pairs.join(_dated(patents, low=low, high=high), "patent_id")
+        facts.filter(V.in_years(F.col("year"), low, high))
         .groupBy("year", "country")
         .agg(rows().alias("patents"))
         .orderBy(*ordering("-year", "-patents", "country"))
@@ -235,12 +246,22 @@ def _sections(patent_cpc: DataFrame) -> DataFrame:
     return patent_cpc.filter(F.col("cpc_section").isNotNull()).select("patent_id", "cpc_section")
 
 
+def section_facts(patent_cpc: DataFrame, patents: DataFrame) -> DataFrame:
+    """Sections with what reports ask of their patents. Given stored, one join serves them all."""
+    columns = ["patent_id", "year", "filing_date", "grant_lag_days", "num_claims"]
+    return _sections(patent_cpc).join(patents.select([c for c in columns if c in patents.columns]), "patent_id")
+
+
 def section_trends(
-    patent_cpc: DataFrame, patents: DataFrame, low: int = MIN_YEAR, high: int = MAX_YEAR
+    patent_cpc: DataFrame,
+    patents: DataFrame,
+    low: int = MIN_YEAR,
+    high: int = MAX_YEAR,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
+    facts = section_facts(patent_cpc, patents) if facts is None else facts
     return (
-        _sections(patent_cpc)
-        .join(_dated(patents, low=low, high=high), "patent_id")
+        facts.filter(V.in_years(F.col("year"), low, high))
         .groupBy("year", "cpc_section")
         .agg(rows().alias("patent_count"))
         .orderBy(*ordering("-year", "-patent_count", "cpc_section"))
@@ -252,16 +273,12 @@ def top_companies_by_section(
 ) -> DataFrame:
     """Ranked by id first; an id without a name then shortens its section's list.
 
-    The sections enter as one bit set per patent, so that a patent with very many owners is a hot key
-    of a lookup and can be split.
+    The two link tables are joined as they are: a join of two shuffled tables is one whose hot keys Spark
+    splits at run time.
     """
-    packed = patent_cpc.groupBy("patent_id").agg(
-        F.bit_or(V.section_bit(F.col("cpc_section"))).alias("bits")
-    )
     counts = (
-        lookup_join(patent_company.select("patent_id", "company_id"), packed, "patent_id")
-        .select("company_id", "bits", F.inline(V.each_section()))
-        .filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+        patent_company.select("patent_id", "company_id")
+        .join(_sections(patent_cpc), "patent_id")
         .groupBy("cpc_section", "company_id")
         .agg(rows().alias("patent_count"))
     )
@@ -294,11 +311,13 @@ def recent_by_section(
     n: int = 5,
     low: int = MIN_YEAR,
     high: int = MAX_YEAR,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
     """Titles are looked up only for the patents that make the list."""
     order = ["-year", "-filing_date", "patent_id"]
-    keys = _sections(patent_cpc).join(
-        _dated(patents, "filing_date", low=low, high=high), "patent_id"
+    facts = section_facts(patent_cpc, patents) if facts is None else facts
+    keys = facts.filter(V.in_years(F.col("year"), low, high)).select(
+        "patent_id", "cpc_section", "year", "filing_date"
     )
     # at most n rows for each of the fixed sections
     listed = top_n_per_group(keys, ["cpc_section"], order, n)
@@ -324,11 +343,12 @@ def lag_measures() -> list[Column]:
     ]
 
 
-def lag_by_section(patents: DataFrame, patent_cpc: DataFrame) -> DataFrame:
-    lagged = patents.filter(F.col("grant_lag_days") > 0).select("patent_id", "grant_lag_days")
+def lag_by_section(
+    patents: DataFrame, patent_cpc: DataFrame, facts: DataFrame | None = None
+) -> DataFrame:
+    facts = section_facts(patent_cpc, patents) if facts is None else facts
     return (
-        _sections(patent_cpc)
-        .join(lagged, "patent_id")
+        facts.filter(F.col("grant_lag_days") > 0)
         .groupBy("cpc_section")
         .agg(*lag_measures())
         .orderBy(*ordering("-avg_grant_lag_days", "cpc_section"))
@@ -336,10 +356,14 @@ def lag_by_section(patents: DataFrame, patent_cpc: DataFrame) -> DataFrame:
 
 
 def lag_by_country(
-    pairs: DataFrame, patents: DataFrame, min_patents: int = 500, k: int = 40
+    pairs: DataFrame,
+    patents: DataFrame,
+    min_patents: int = 500,
+    k: int = 40,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
-    lagged = patents.filter(F.col("grant_lag_days") > 0).select("patent_id", "grant_lag_days")
-    counts = pairs.join(lagged, "patent_id").groupBy("country").agg(*lag_measures())
+    facts = pair_facts(pairs, patents) if facts is None else facts
+    counts = facts.filter(F.col("grant_lag_days") > 0).groupBy("country").agg(*lag_measures())
     return top_k(
         counts.filter(F.col("patent_count") >= min_patents), ["-patent_count", "country"], k
     )
@@ -364,11 +388,12 @@ def claims_per_year(patents: DataFrame, low: int = MIN_YEAR, high: int = MAX_YEA
     )
 
 
-def claims_by_section(patents: DataFrame, patent_cpc: DataFrame) -> DataFrame:
-    claimed = patents.filter(F.col("num_claims") > 0).select("patent_id", "num_claims")
+def claims_by_section(
+    patents: DataFrame, patent_cpc: DataFrame, facts: DataFrame | None = None
+) -> DataFrame:
+    facts = section_facts(patent_cpc, patents) if facts is None else facts
     return (
-        _sections(patent_cpc)
-        .join(claimed, "patent_id")
+        facts.filter(F.col("num_claims") > 0)
         .groupBy("cpc_section")
         .agg(
             rows().alias("patent_count"),

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grantlens.functions import values as V
-from grantlens.functions.lookup import lookup_join
 from grantlens.functions.ranking import first_per_key
 from grantlens.schema import MAX_DATE, MIN_DATE, OTHER_SECTION, SECTION_NAMES, UNKNOWN_COUNTRY
 
@@ -127,7 +126,7 @@ def inventor_names(raw_inventor: DataFrame) -> DataFrame:
 
 def inventor_countries(inventors: DataFrame, raw_location: DataFrame) -> DataFrame:
     places = raw_location.select("location_id", F.col("disambig_country").alias("country"))
-    located = lookup_join(inventors, places, "location_id", "left")
+    located = inventors.join(places, "location_id", "left")
     return located.withColumn("country", F.coalesce("country", F.lit(UNKNOWN_COUNTRY)))
 
 
@@ -230,9 +229,14 @@ def widen_sections(patent_cpc: DataFrame) -> DataFrame:
 # ---- loading ----------------------------------------------------------------------------------
 
 
+def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The batch rows whose key is not in the target; of equal keys the first in order."""
+    return first_per_key(batch, keys, order).join(target.select(*keys), keys, "left_anti")
+
+
 def insert_or_ignore(
     target: DataFrame, batch: DataFrame, keys: list[str], order: list[str]
 ) -> DataFrame:
     """Target plus the batch rows with a new key; of equal new keys the first in order is taken."""
-    fresh = first_per_key(batch, keys, order).join(target.select(*keys), keys, "left_anti")
+    fresh = new_rows(target, batch, keys, order)
     return target.unionByName(fresh.select(*target.columns))

@@ -2,7 +2,8 @@
 
 The index has four tables: ``postings`` (term, patent_id, tf, doc_len), ``documents`` (patent_id,
 doc_len), ``terms`` (term, n_docs, n_hits) and the one-row ``corpus`` (n_docs, n_tokens). The document
-length is repeated in the postings so that scoring needs no join by document.
+length is repeated in the postings so that scoring needs no join by document. Stored indexes, and keeping
+them current, are in ``grantlens.sources.index_store``.
 """
 
 from dataclasses import dataclass
@@ -10,8 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.functions.layout import fill_cores
-from grantlens.functions.ranking import first_per_key, ordering, top_k, top_n_per_group
+from grantlens.functions.ranking import top_n_per_group
 from grantlens.functions.stem import stem as stem_of
 from grantlens.functions.text import (
     MIN_QUERY_LENGTH,
@@ -24,6 +24,7 @@ from grantlens.schema import DAYS_PER_YEAR
 
 # The usual BM25 parameters and the least weight of a term.
 K1, B, MIN_IDF = 1.2, 0.75, 1e-6
+# The columns of a result table.
 RESULT_COLUMNS = [
     "patent_id",
     "title",
@@ -33,7 +34,6 @@ RESULT_COLUMNS = [
     "grant_lag_days",
     "filing_date",
 ]
-TERM_BUCKETS = 256
 
 
 @dataclass
@@ -45,6 +45,33 @@ class SearchIndex:
     stemmed: bool = False
     tokenizer: str = "ascii"
     buckets: int = 0  # of a stored index: the postings are in folders by term bucket
+    dead: DataFrame | None = None  # of a stored index: (patent_id, segment) whose postings no longer count
+
+    def live_postings(self) -> DataFrame:
+        """(term, patent_id, tf, doc_len) of everything that counts."""
+        return without_dead(self.postings, self.dead).select("term", "patent_id", "tf", "doc_len")
+
+
+def without_dead(postings: DataFrame, dead: DataFrame | None) -> DataFrame:
+    return postings if dead is None else postings.join(dead, ["patent_id", "segment"], "left_anti")
+
+
+def index_rows(index: SearchIndex) -> DataFrame:
+    """All that an index says in one table: (kind, term, patent_id, n, m) for postings (tf, doc_len), terms
+    (n_docs, n_hits), documents (1, doc_len) and the corpus (n_docs, n_tokens)."""
+    none = F.lit(None).cast("string")
+
+    def part(kind, frame, term, patent, n, m):
+        columns = [F.lit(kind).alias("kind"), term.alias("term"), patent.alias("patent_id")]
+        return frame.select(*columns, n.cast("bigint").alias("n"), m.cast("bigint").alias("m"))
+
+    col = F.col
+    return (
+        part("posting", index.live_postings(), col("term"), col("patent_id"), col("tf"), col("doc_len"))
+        .unionByName(part("term", index.terms, col("term"), none, col("n_docs"), col("n_hits")))
+        .unionByName(part("document", index.documents, none, col("patent_id"), F.lit(1), col("doc_len")))
+        .unionByName(part("corpus", index.corpus, none, none, col("n_docs"), col("n_tokens")))
+    )
 
 
 # ---- index ------------------------------------------------------------------------------------
@@ -73,13 +100,13 @@ def _words(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def tokenize(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
     """(patent_id, term, tf) over title and abstract together."""
-    words = _words(fill_cores(docs, "patent_id"), tokenizer)
+    words = _words(docs, tokenizer)
     return words.groupBy("patent_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def vocabulary(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
     """The distinct words of all documents."""
-    return _words(fill_cores(docs, "patent_id"), tokenizer).select("term").distinct()
+    return _words(docs, tokenizer).select("term").distinct()
 
 
 def make_postings(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -> DataFrame:
@@ -128,7 +155,7 @@ def build_index(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -
 def scan_index(docs: DataFrame, tokenizer: str = "ascii") -> SearchIndex:
     """An index that is never stored: a search's term filter reaches down to the tokens, so only the
     words asked for are counted and shuffled."""
-    docs = fill_cores(docs.select("patent_id", "title", "abstract"), "patent_id")
+    docs = docs.select("patent_id", "title", "abstract")
     postings = make_postings(docs, tokenizer=tokenizer)
     documents = doc_lengths(docs, tokenizer)
     return SearchIndex(
@@ -136,68 +163,11 @@ def scan_index(docs: DataFrame, tokenizer: str = "ascii") -> SearchIndex:
     )
 
 
-def _bucket(buckets: int) -> Column:
+def bucket_of(buckets: int) -> Column:
+    """The folder of a term's postings."""
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
 
 
-def write_index(index: SearchIndex, folder: str, buckets: int = TERM_BUCKETS) -> None:
-    """Postings are laid out by term bucket and sorted by term; the range is on (bucket, term,
-    patent_id), so the postings of a frequent term spread over many tasks and files."""
-    (
-        index.postings.select("*", _bucket(buckets))
-        .repartitionByRange("bucket", "term", "patent_id")
-        .sortWithinPartitions("bucket", "term", "patent_id")
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(f"{folder}/postings")
-    )
-    index.terms.write.mode("overwrite").parquet(f"{folder}/terms")
-    index.documents.write.mode("overwrite").parquet(f"{folder}/documents")
-    index.corpus.write.mode("overwrite").parquet(f"{folder}/corpus")
-
-
-def read_index(
-    spark: SparkSession,
-    folder: str,
-    stemmed: bool = False,
-    tokenizer: str = "ascii",
-    buckets: int = TERM_BUCKETS,
-) -> SearchIndex:
-    names = ["postings", "documents", "terms", "corpus"]
-    parts = [spark.read.parquet(f"{folder}/{name}") for name in names]
-    return SearchIndex(*parts, stemmed, tokenizer, buckets)
-
-
-def maintain_index(index: SearchIndex, changes: DataFrame) -> SearchIndex:
-    """The index after a set of changes (patent_id, seq, is_delete, title, abstract).
-
-    The last change of a patent counts; an update takes the old postings out and puts the new ones
-    in. Term and corpus counts move by differences, without reading the unchanged postings.
-    """
-    last = first_per_key(changes, ["patent_id"], ["-seq"])
-    changed = last.select("patent_id")
-    added = make_postings(last.filter(~F.col("is_delete")), index.stemmed, index.tokenizer)
-    new_documents = doc_lengths(last.filter(~F.col("is_delete")), index.tokenizer)
-    old_postings = index.postings.select("term", "patent_id", "tf", "doc_len")
-    removed = old_postings.join(changed, "patent_id", "left_semi")
-    postings = old_postings.join(changed, "patent_id", "left_anti").unionByName(added)
-    documents = index.documents.join(changed, "patent_id", "left_anti").unionByName(new_documents)
-    terms = (
-        index.terms.unionByName(term_counts(removed, -1))
-        .unionByName(term_counts(added))
-        .groupBy("term")
-        .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_hits").alias("n_hits"))
-        .filter(F.col("n_docs") > 0)
-    )
-    gone = index.documents.join(changed, "patent_id", "left_semi")
-    corpus = (
-        index.corpus.unionByName(corpus_counts(gone, -1))
-        .unionByName(corpus_counts(new_documents))
-        .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-    )
-    return SearchIndex(postings, documents, terms, corpus, index.stemmed, index.tokenizer)
-
-
 # ---- queries ----------------------------------------------------------------------------------
 
 
@@ -276,28 +246,28 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
     """The k best patents per query: (query_id, patent_id, score).
 
     The words of a query are wanted together, in title or abstract; AND, OR and NOT in upper case are
-    operators. The score sums BM25 over the wanted words, rounded to 6 decimals; ties go by patent_id.
+    operators. The score sums BM25 over the wanted words of every alternative that holds, rounded to 6
+    decimals; ties go by patent_id.
 
-    Hits are shuffled once, by (query, patent); the four levels of grouping that decide a match stay
-    inside those partitions, and the final cut keeps k rows per query before its shuffle.
+    The query words, one row each, are broadcast, so postings are never shuffled by term and, of a stored
+    index, only the folders of these words are read. Hits are shuffled once, by (query, patent); the levels of
+    grouping that decide a match stay inside those partitions, and the final cut keeps k rows per query
+    before its shuffle.
     """
     terms = query_terms(queries, index.stemmed, index.tokenizer)
-    wanted = terms.select("term")
     n_docs, n_tokens = F.col("n_docs"), F.col("n_tokens")
     stats = index.corpus.select(
         F.struct(n_docs, (n_tokens.cast("double") / n_docs).alias("avg_len"))
     ).scalar()
-    weighted = terms.join(_term_weights(index, wanted, stats), "term")
-    if index.buckets:  # only the folders of the words asked for are read
-        found = index.postings.join(
-            wanted.select("term", _bucket(index.buckets)), ["bucket", "term"], "left_semi"
-        )
-    else:
-        found = index.postings.join(wanted, "term", "left_semi")
+    weighted = terms.join(_term_weights(index, terms.select("term"), stats), "term")
+    keys = ["term"]
+    if index.buckets:
+        weighted, keys = weighted.withColumn("bucket", bucket_of(index.buckets)), ["bucket", "term"]
+    found = without_dead(index.postings.join(F.broadcast(weighted), keys), index.dead)
     tf, length = F.col("tf"), F.col("doc_len")
     norm = tf + K1 * (1 - B + B * length / stats["avg_len"])
     gain = F.when(F.col("part") == 0, F.col("times") * F.col("idf") * tf * (K1 + 1) / norm)
-    hits = weighted.join(found, "term").select(
+    hits = found.select(
         "query_id", "alt", "clause", "n_clauses", "part", "n_terms", "patent_id",
         F.coalesce(gain, F.lit(0.0)).alias("gain"),
     )
@@ -318,41 +288,52 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
         F.count_if("holds").alias("n_holding"), F.sum("gain").alias("gain")
     )
     matches = (
-        by_alt.groupBy("query_id", "patent_id")
-        .agg(
-            F.bool_or(F.col("n_holding") == F.col("n_clauses")).alias("holds"),
-            F.round(F.sum("gain"), 6).alias("score"),
-        )
-        .filter("holds")
-        .drop("holds")
+        by_alt.filter(F.col("n_holding") == F.col("n_clauses"))
+        .groupBy("query_id", "patent_id")
+        .agg(F.round(F.sum("gain"), 6).alias("score"))
     )
     return top_n_per_group(matches, ["query_id"], ["-score", "patent_id"], k)
 
 
 def with_facts(hits: DataFrame, patents: DataFrame) -> DataFrame:
-    """The found patents with their columns; patents are unique, hits at most k per query."""
-    return hits.join(patents, "patent_id")
+    """The found patents with their columns; patents are unique. Hits, at most k per query, are broadcast."""
+    return patents.join(F.broadcast(hits), "patent_id")
 
 
 def fallback_title(
-    patents: DataFrame, queries: list[str], k: int = 200, wildcards: bool = False
+    patents: DataFrame, queries: DataFrame, k: int = 200, wildcards: bool = False
 ) -> DataFrame:
-    """For queries the search cannot read: titles that contain the raw text, latest year first.
+    """Titles that contain a query's raw text, latest year first: the columns of patents and query_id.
 
-    Every title is tested against the given texts in one scan. ``wildcards`` lets ``%`` and ``_`` in
-    the text match anything, as a LIKE pattern does; otherwise they stand for themselves.
+    Every title is tested against all the queries in one scan; they enter as one array. A query given twice is
+    answered twice. ``wildcards`` lets ``%`` and ``_`` in the text match anything, as a LIKE pattern
+    does; otherwise they stand for themselves.
     """
-    texts = [q for q in queries if len(q.strip()) >= MIN_QUERY_LENGTH]
+    usable = queries.filter(F.length(F.trim("query")) >= MIN_QUERY_LENGTH)
+    entry = F.struct("query_id", F.lower("query").alias("text"))
+    asked = usable.agg(F.collect_list(entry).alias("asked")).scalar()
     lowered = F.lower("title")
 
-    def hit(text: str) -> Column:
+    def hit(q: Column) -> Column:
         if wildcards:
-            return F.like(lowered, F.lit(f"%{text.lower()}%"))
-        return F.contains(lowered, F.lit(text.lower()))
+            return F.like(lowered, F.concat(F.lit("%"), q["text"], F.lit("%")))
+        return F.contains(lowered, q["text"])
 
-    flags = F.array_compact(F.array(*[F.when(hit(t), F.lit(t)) for t in texts]))
-    matched = patents.withColumn("query", F.explode(flags))
-    return top_n_per_group(matched, ["query"], ["-year", "patent_id"], k)
+    # In two steps, as Spark does not take a subquery inside a function over arrays.
+    tested = patents.withColumn("_asked", asked).withColumn("_query", F.explode(F.filter("_asked", hit)))
+    matched = tested.withColumn("query_id", F.col("_query.query_id")).drop("_asked", "_query")
+    return top_n_per_group(matched, ["query_id"], ["-year", "patent_id"], k)
+
+
+def search_or_title(
+    index: SearchIndex, patents: DataFrame, queries: DataFrame, k: int = 200, wildcards: bool = False
+) -> DataFrame:
+    """(query_id, patent_id, score, found_by): ranked hits, and for queries the search cannot read the
+    patents whose title has their text, without a score."""
+    ranked = search(index, queries, k).withColumn("found_by", F.lit("text"))
+    titles = fallback_title(patents, malformed_queries(queries), k, wildcards)
+    none = F.lit(None).cast("double").alias("score")
+    return ranked.unionByName(titles.select("query_id", "patent_id", none, F.lit("title").alias("found_by")))
 
 
 # ---- declared lookups -------------------------------------------------------------------------
@@ -424,12 +405,12 @@ def first_abstracts(results: DataFrame, n: int = 10) -> DataFrame:
 
 
 def export_results(results: DataFrame, queries: DataFrame, folder: str) -> None:
-    """One folder of CSV per query, named after the query."""
-    named = results.join(queries.withColumn("file", file_slug(F.col("query"))), "query_id")
+    """One folder of CSV per query, ``query_id=.../file=...``, where file is named after the query's text."""
+    named = results.join(F.broadcast(queries.withColumn("file", file_slug(F.col("query")))), "query_id")
     (
-        named.select("file", *RESULT_COLUMNS, "patent_date", "abstract")
+        named.select("query_id", "file", *RESULT_COLUMNS, "patent_date", "abstract")
         .write.mode("overwrite")
-        .partitionBy("file")
+        .partitionBy("query_id", "file")
         .option("header", True)
         .option("escape", '"')
         .csv(folder)

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from grantlens.functions.lookup import lookup_join
 from grantlens.operators.clean import normalize_sections
 from grantlens.schema import UNKNOWN_COUNTRY
 
@@ -137,7 +136,7 @@ class DriverTables:
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"
         )
-        return lookup_join(lines, parts, "l_partkey")
+        return lines.join(parts, "l_partkey")
 
     @cached_property
     def patent_cpc(self) -> DataFrame:
@@ -236,7 +235,7 @@ class DriverTables:
             F.col("s_nationkey").cast("string").alias("location_id"),
         )
         lines = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
-        return lookup_join(lines, people, "l_suppkey").select(
+        return lines.join(people, "l_suppkey").select(
             F.col("l_orderkey").cast("string").alias("patent_id"),
             F.col("l_suppkey").cast("string").alias("inventor_id"),
             F.col("l_linenumber").alias("seq"),
@@ -259,7 +258,7 @@ class DriverTables:
             ),
         )
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return lookup_join(orders, owners, "o_custkey").select(
+        return orders.join(owners, "o_custkey").select(
             F.col("o_orderkey").cast("string").alias("patent_id"),
             F.col("o_custkey").cast("string").alias("assignee_id"),
             "disambig_assignee_organization",

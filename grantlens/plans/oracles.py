@@ -7,7 +7,6 @@ COUNT(DISTINCT), QUALIFY and correlated text functions instead of staged aggrega
 import re
 import string
 
-from grantlens.functions import stem as P
 from grantlens.plans import registry as R
 from grantlens.schema import CLEAN_SCHEMAS, SECTION_NAMES
 
@@ -526,8 +525,9 @@ CLEANING = {
                CAST(NULL AS VARCHAR) AS cpc_group, CAST(NULL AS VARCHAR) AS cpc_type
         FROM patent_cpc""",
     "cl_insert_or_ignore": """
-        SELECT patent_id, CASE WHEN patent_type = 'O' THEN title ELSE 'again ' || title END AS title,
-               patent_type FROM patents""",
+        SELECT unnest(['memory', 'stored']) AS target, patent_id,
+               CASE WHEN patent_type = 'O' THEN title ELSE 'again ' || title END AS title, patent_type
+        FROM patents""",
     "vw_patent_full": f"""
         SELECT {MODEL_COLUMNS}, abstract, cpc_sections
         FROM patents LEFT JOIN section_lists USING (patent_id)""",
@@ -575,38 +575,118 @@ REPORTS = {
     "grant_lag_by_cpc": "a1_lag_by_cpc",
     "claims_by_cpc": "a5_claims_by_cpc",
 }
-# key of the document -> (query, most entries)
+# key of the document -> (query, order, most entries, {field: expression})
+_LAG_FIELDS = {
+    "patent_count": "patent_count",
+    "avg_grant_lag_days": "CAST(avg_grant_lag_days AS BIGINT)",
+    "avg_grant_lag_years": "avg_grant_lag_years",
+}
+_SECTION_FIELDS = {"cpc_section": "cpc_section", "cpc_name": "cpc_section_name"}
 DOCUMENT_LISTS = {
-    "top_inventors": ("q1_top_inventors", 10),
-    "top_companies": ("q2_top_companies", 10),
-    "top_countries": ("x1_country_share", 10),
-    "patents_per_year": ("q4_patents_per_year", 50),
-    "top_inventor_rankings": ("x4_rankings_from_top", 20),
-    "cpc_section_distribution": ("e1_cpc_distribution", 9),
-    "grant_lag_by_cpc": ("a1_lag_by_cpc", 9),
-    "grant_lag_by_country": ("a2_lag_by_country", 20),
-    "claims_per_year": ("a3_claims_per_year", 50),
-    "claims_by_cpc": ("a5_claims_by_cpc", 9),
+    "top_inventors": (
+        "q1_top_inventors",
+        "patent_count DESC, inventor_id",
+        10,
+        {"name": "name", "patents": "patent_count", "country": "country"},
+    ),
+    "top_companies": (
+        "q2_top_companies",
+        "patent_count DESC, company_id",
+        10,
+        {"name": "name", "patents": "patent_count", "assignee_type": "assignee_type"},
+    ),
+    "top_countries": (
+        "x1_country_share",
+        "patents DESC, country",
+        10,
+        {"country": "country", "patents": "patents", "share": "share"},
+    ),
+    "patents_per_year": (
+        "q4_patents_per_year", "year", 50, {"year": "year", "patent_count": "patent_count"}
+    ),
+    "top_inventor_rankings": (
+        "x4_rankings_from_top",
+        "rank",
+        20,
+        {"rank": "rank", "name": "name", "country": "country", "patents": "patent_count"},
+    ),
+    "cpc_section_distribution": (
+        "e1_cpc_distribution",
+        "patent_count DESC, cpc_section",
+        9,
+        _SECTION_FIELDS | {"patents": "patent_count", "percentage": "percentage"},
+    ),
+    "grant_lag_by_cpc": (
+        "a1_lag_by_cpc", "avg_grant_lag_days DESC, cpc_section", 9, _SECTION_FIELDS | _LAG_FIELDS
+    ),
+    "grant_lag_by_country": (
+        "a2_lag_by_country", "patent_count DESC, country", 20, {"country": "country"} | _LAG_FIELDS
+    ),
+    "claims_per_year": (
+        "a3_claims_per_year",
+        "year",
+        50,
+        {c: c for c in ("year", "patent_count", "avg_claims")},
+    ),
+    "claims_by_cpc": (
+        "a5_claims_by_cpc",
+        "avg_claims DESC, cpc_section",
+        9,
+        _SECTION_FIELDS | {"patent_count": "patent_count", "avg_claims": "avg_claims"},
+    ),
 }
 
 
 def _document():
-    rows = [
-        f"""SELECT '{key}' AS key, (SELECT CAST(least(count(*), {most}) AS INT) FROM {a(query)})
-            AS n_items, CAST(NULL AS VARCHAR) AS content"""
-        for key, (query, most) in DOCUMENT_LISTS.items()
-    ]
+    """One row for each field of each entry of the lists, and for each plain value."""
+    parts = []
+    for key, (query, order, most, fields) in DOCUMENT_LISTS.items():
+        source = a(query)
+        if "cpc_section_name" in fields.values():
+            source = f"(SELECT *, {LABELLED} FROM {source})"
+        names = _list(list(fields)).replace("(", "[", 1)[:-1] + "]"
+        values = "[" + ", ".join(f"CAST({e} AS VARCHAR)" for e in fields.values()) + "]"
+        parts.append(
+            f"""SELECT * FROM (SELECT '{key}' AS key, place, unnest({names}) AS field, unnest({values}) AS content
+                FROM (SELECT *, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INT) AS place FROM {source})
+                WHERE place < {most}) WHERE content IS NOT NULL"""
+        )
     facts = {
         "total_patents": "CAST(total_patents AS VARCHAR)",
         "total_inventors": "CAST(total_inventors AS VARCHAR)",
         "total_companies": "CAST(total_companies AS VARCHAR)",
         "year_range": """'{"from":' || year_from || ',"to":' || year_to || '}'""",
     }
-    rows += [
-        f"SELECT '{key}', NULL, (SELECT {text} FROM {a('x3_summary')})"
-        for key, text in facts.items()
-    ]
-    return " UNION ALL ".join(rows)
+    parts += [f"SELECT '{key}', 0, '', (SELECT {text} FROM {a('x3_summary')})" for key, text in facts.items()]
+    return " UNION ALL ".join(parts)
+
+
+def _cells(queries: dict[str, str]) -> str:
+    """Every cell as text: (report, row_key of the first two columns, column, value)."""
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS report, concat_ws('|', j ->> k[1], j ->> k[2]) AS row_key,
+                unnest(k) AS "column", unnest(list_transform(k, lambda x: j ->> x)) AS value
+            FROM (SELECT to_json(t) AS j, json_keys(to_json(t)) AS k FROM {a(query)} t)"""
+        for name, query in queries.items()
+    )
+
+
+def _contents() -> str:
+    sources = CLEANED | {
+        "patents": """(SELECT c_patents.* EXCLUDE (num_claims), year AS filing_year, CAST(year(c_patents.patent_date) AS INT) AS patent_year,
+            raw_patent.patent_type, CASE WHEN regexp_matches(raw_patent.num_claims, '^[0-9]+$')
+                THEN CAST(raw_patent.num_claims AS BIGINT) END AS num_claims,
+            CAST(c_patents.patent_date - filing_date AS INT) AS grant_lag_days
+            FROM c_patents JOIN raw_patent USING (patent_id))""",
+        "patent_cpc": f"(SELECT *, {LABELLED} FROM c_patent_cpc)",
+        "cpc_section_agg": """(SELECT patent_id, '["' || string_agg(DISTINCT cpc_section, '","' ORDER BY cpc_section) || '"]'
+            AS cpc_sections FROM c_patent_cpc GROUP BY patent_id)""",
+    }
+    parts = []
+    for name, source in sources.items():
+        texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in R.MODEL_TEXT[name])
+        parts.append(f"SELECT '{name}' AS table_name, concat_ws('|', {texts}) AS content FROM {source}")
+    return " UNION ALL ".join(parts)
 
 
 def _orphans():
@@ -630,11 +710,19 @@ def _orphans():
 
 def _key_violations():
     parts = []
+    sections = "(SELECT DISTINCT patent_id FROM c_patent_cpc)"
     for name, (source, columns) in {
-        "patents": ("raw_repeats", "patent_id"),
-        "applications": ("raw_application", "patent_id"),
-        "patent_inventor": ("raw_inventor", "patent_id, inventor_id"),
-        "patent_cpc": ("raw_cpc", "patent_id, cpc_section"),
+        "patents": ("c_patents", "patent_id"),
+        "inventors": ("c_inventors", "inventor_id"),
+        "companies": ("c_companies", "company_id"),
+        "patent_inventor": ("c_patent_inventor", "patent_id, inventor_id"),
+        "patent_company": ("c_patent_company", "patent_id, company_id"),
+        "patent_cpc": ("c_patent_cpc", "patent_id, cpc_section"),
+        "cpc_section_agg": (sections, "patent_id"),
+        "raw patents": ("raw_repeats", "patent_id"),
+        "raw applications": ("raw_application", "patent_id"),
+        "raw patent_inventor": ("raw_inventor", "patent_id, inventor_id"),
+        "raw patent_cpc": ("raw_cpc", "patent_id, cpc_section"),
     }.items():
         whole = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(", "))
         groups = f"(SELECT {columns}, count(*) AS n FROM {source} WHERE {whole} GROUP BY ALL)"
@@ -660,8 +748,8 @@ INPUTS_AND_CHECKS = {
         JOIN raw_assignee USING (patent_id)""",
     "src_clean_tables": f"""
         SELECT {MODEL_COLUMNS}, CAST(length(abstract) AS INT) AS abstract_length FROM patents""",
-    "snk_clean_tables": _counts(CLEANED),
-    "snk_report_csv": _counts({name: a(query) for name, query in REPORTS.items()}),
+    "snk_clean_tables": _contents(),
+    "snk_report_csv": _cells(REPORTS),
     "snk_report_json": _document(),
     "v_inputs_present": " UNION ALL ".join(
         [
@@ -673,7 +761,9 @@ INPUTS_AND_CHECKS = {
     "v_valid_dates": """
         SELECT count(*) AS patents, count(filing_date) AS valid_filing_dates,
                count(patent_date) AS valid_grant_dates FROM c_patents""",
-    "v_row_counts": _counts({n: n for n in CLEAN_SCHEMAS if n != "cpc_section_agg"}),
+    "v_row_counts": _counts(
+        {n: n for n in CLEAN_SCHEMAS} | {"cpc_section_agg": "(SELECT DISTINCT patent_id FROM patent_cpc)"}
+    ),
     "v_year_range": """
         SELECT min(year) AS min_year, max(year) AS max_year, 'integer' AS year_type
         FROM c_patents""",
@@ -684,17 +774,23 @@ INPUTS_AND_CHECKS = {
 # ---- search -----------------------------------------------------------------------------------
 
 
-def _ranked(queries: list[tuple[str, list[str]]]) -> str:
-    """``queries``: a condition on the words of a document and the words to score, with repeats."""
+def _ranked(queries: dict[int, list[tuple[str, list[str]]]]) -> str:
+    """For each query its alternatives: a condition on the words of a document, and the words that score
+    where it holds, with repeats."""
     parts = []
-    for number, (condition, terms) in enumerate(queries):
-        score = " + ".join(f"coalesce(max(gain) FILTER (term = '{t}'), 0)" for t in terms)
+    for number, alternatives in queries.items():
+        scores = []
+        for condition, terms in alternatives:
+            gained = " + ".join(f"coalesce(max(gain) FILTER (term = '{t}'), 0)" for t in terms)
+            scores.append(f"CASE WHEN {condition} THEN {gained} ELSE 0 END")
+        holds = " OR ".join(f"({condition})" for condition, _ in alternatives)
         parts.append(
-            f"""SELECT {number} AS query_id, patent_id, round({score}, 6) AS score
-                FROM gains GROUP BY patent_id HAVING {condition}
+            f"""SELECT {number} AS query_id, patent_id, round({" + ".join(scores)}, 6) AS score
+                FROM gains GROUP BY patent_id HAVING {holds}
                 QUALIFY row_number() OVER (ORDER BY score DESC, patent_id) <= 200"""
         )
-    wanted = sorted({t for condition, _ in queries for t in re.findall(r"'(\w+)'", condition)})
+    conditions = " ".join(c for alternatives in queries.values() for c, _ in alternatives)
+    wanted = sorted(set(re.findall(r"'(\w+)'", conditions)))
     gains = f"""gains AS (
         SELECT patent_id, term,
                greatest(ln((c.n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2
@@ -712,38 +808,75 @@ def _has(*words):
     return "(" + " AND ".join(f"bool_or(term = '{w}')" for w in words) + ")"
 
 
-_PLAIN = [re.findall(r"[a-z]+", q.lower()) for q in R.SEARCHES]
-MATCH_RANK = _ranked([(_has(*words), words) for words in _PLAIN])
+def _plain(texts):
+    words = {n: re.findall(r"[a-z]+", q.lower()) for n, q in enumerate(texts)}
+    return {n: [(_has(*found), found)] for n, found in words.items()}
+
+
+MATCH_RANK = _ranked(_plain(R.SEARCHES))
+EXPORT_RANK = _ranked(_plain(q.replace("_", " ") for q in R.EXPORTS))
 BOOLEAN = _ranked(
-    [
-        (_has("then", "the"), ["then", "the"]),
-        (f"{_has('worthless')} OR {_has('que')}", ["worthless", "que"]),
-        (f"{_has('the')} AND NOT {_has('then')}", ["the"]),
-        (
-            f"({_has('the', 'and')} AND NOT {_has('que', 'la')}) OR {_has('est')}",
-            ["the", "and", "est"],
-        ),
-        (
-            f"{_has('then')} AND NOT {_has('the')} AND NOT {_has('que')} AND {_has('est')}",
-            ["then", "est"],
-        ),
-    ]
+    {
+        0: [(_has("then", "the"), ["then", "the"])],
+        1: [(_has("worthless"), ["worthless"]), (_has("que"), ["que"])],
+        2: [(f"{_has('the')} AND NOT {_has('then')}", ["the"])],
+        3: [(f"{_has('the', 'and')} AND NOT {_has('que', 'la')}", ["the", "and"]), (_has("est"), ["est"])],
+        4: [
+            (
+                f"{_has('then')} AND NOT {_has('the')} AND NOT {_has('que')} AND {_has('est')}",
+                ["then", "est"],
+            )
+        ],
+    }
 )
+_READABLE = {n: words for n, words in _plain(R.TITLE_SEARCHES).items() if R.TITLE_SEARCHES[n] == "worthless then"}
 
 
-def _found(select: str) -> str:
+def _search_or_title() -> str:
+    titles = " UNION ALL ".join(
+        f"""(SELECT {n} AS query_id, patent_id, CAST(NULL AS DOUBLE) AS score, 'title' AS found_by
+             FROM docs LEFT JOIN (SELECT patent_id, year FROM patents) p USING (patent_id)
+             WHERE contains(lower(docs.title), '{q.lower()}')
+             ORDER BY year DESC NULLS LAST, patent_id LIMIT 200)"""
+        for n, q in enumerate(R.TITLE_SEARCHES)
+        if n not in _READABLE
+    )
+    mark = "SELECT * FROM patents, docs"
+    scan = _with(mark).rsplit("\n" + mark, 1)[0] + "\n" + titles
+    return f"SELECT *, 'text' AS found_by FROM ({_ranked(_READABLE)}) UNION ALL SELECT * FROM ({scan})"
+
+
+def _found(select: str, hits: str = MATCH_RANK) -> str:
     """A statement over ``found``: the hits with their facts."""
     return (
         _with("SELECT * FROM patents, docs")
         .rsplit("\nSELECT * FROM patents, docs", 1)[0]
         + f""", found AS (
             SELECT query_id, score, d.patent_id, d.title, d.abstract, p.* EXCLUDE (patent_id, title, abstract)
-            FROM ({MATCH_RANK}) JOIN docs d USING (patent_id)
+            FROM ({hits}) JOIN docs d USING (patent_id)
             LEFT JOIN patents p ON p.patent_id = d.patent_id)
         {select}"""
     )
 
 
+# The suffix tables and measures as published, written out here on their own.
+_CONSONANTS, _VOWELS, _ONE_VOWEL = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*", "[aeiouy]"
+_M_OVER_0 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}"
+_M_IS_1 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}({_VOWELS})?$"
+_M_OVER_1 = f"^({_CONSONANTS})?{_VOWELS}{_CONSONANTS}{_VOWELS}{_CONSONANTS}"
+_WITH_VOWEL = f"^({_CONSONANTS})?{_ONE_VOWEL}"
+_CVC = f"^{_CONSONANTS}{_ONE_VOWEL}[^aeiouwxy]$"
+_STEP_2 = dict(
+    pair.split(":")
+    for pair in (
+        "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous ization:ize"
+        " ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log"
+    ).split()
+)
+_STEP_3 = dict(pair.split(":") for pair in "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:".split())
+_STEP_4 = "al ance ence er ic able ible ant ement ment ent ou ism ate iti ous ive ize ion".split()
+
+
 def _stemmer() -> str:
     """The suffix steps as a chain of subqueries over the distinct words."""
 
@@ -760,7 +893,7 @@ def _stemmer() -> str:
 
     def swap(table):
         cases = " ".join(f"WHEN '{old}' THEN b || '{new}'" for old, new in table.items())
-        return f"CASE WHEN s <> '' AND {has('b', P.MEASURE_OVER_0)} THEN CASE s {cases} END ELSE w END"
+        return f"CASE WHEN s <> '' AND {has('b', _M_OVER_0)} THEN CASE s {cases} END ELSE w END"
 
     chain = "SELECT DISTINCT term, regexp_replace(term, '^y', 'Y') AS w FROM words"
     chain = step(
@@ -772,49 +905,59 @@ def _stemmer() -> str:
     mended = f"""CASE WHEN {has("b", "(at|bl|iz)$")} THEN b || 'e'
         WHEN length(b) > 1 AND right(b, 1) = substr(b, length(b) - 1, 1)
              AND {has("b", "[^aeiouylsz]$")} THEN left(b, length(b) - 1)
-        WHEN {has("b", P.SHORT_END)} THEN b || 'e' ELSE b END"""
+        WHEN {has("b", _CVC)} THEN b || 'e' ELSE b END"""
     chain = step(
         chain,
         suffix(["eed", "ed", "ing"]),
-        f"""CASE WHEN s = 'eed' AND {has("b", P.MEASURE_OVER_0)} THEN b || 'ee'
-            WHEN s IN ('ed', 'ing') AND {has("b", P.HAS_VOWEL)} THEN {mended} ELSE w END""",
+        f"""CASE WHEN s = 'eed' AND {has("b", _M_OVER_0)} THEN b || 'ee'
+            WHEN s IN ('ed', 'ing') AND {has("b", _WITH_VOWEL)} THEN {mended} ELSE w END""",
     )
     chain = step(
         chain,
         suffix(["y"]),
-        f"CASE WHEN s = 'y' AND {has('b', P.HAS_VOWEL)} THEN b || 'i' ELSE w END",
+        f"CASE WHEN s = 'y' AND {has('b', _WITH_VOWEL)} THEN b || 'i' ELSE w END",
     )
-    chain = step(chain, suffix(P.STEP_2), swap(P.STEP_2))
-    chain = step(chain, suffix(P.STEP_3), swap(P.STEP_3))
+    chain = step(chain, suffix(_STEP_2), swap(_STEP_2))
+    chain = step(chain, suffix(_STEP_3), swap(_STEP_3))
     chain = step(
         chain,
-        suffix([*P.STEP_4, "ion"]),
-        f"""CASE WHEN s <> '' AND {has("b", P.MEASURE_OVER_1)}
+        suffix(_STEP_4),
+        f"""CASE WHEN s <> '' AND {has("b", _M_OVER_1)}
             AND (s <> 'ion' OR {has("b", "[st]$")}) THEN b ELSE w END""",
     )
     chain = step(
         chain,
         suffix(["e"]),
-        f"""CASE WHEN s = 'e' AND ({has("b", P.MEASURE_OVER_1)} OR ({has("b", P.MEASURE_IS_1)}
-            AND NOT {has("b", P.SHORT_END)})) THEN b ELSE w END""",
+        f"""CASE WHEN s = 'e' AND ({has("b", _M_OVER_1)} OR ({has("b", _M_IS_1)}
+            AND NOT {has("b", _CVC)})) THEN b ELSE w END""",
     )
     chain = step(
         chain,
         "''",
-        f"""CASE WHEN right(w, 2) = 'll' AND {has("w", P.MEASURE_OVER_1)}
+        f"""CASE WHEN right(w, 2) = 'll' AND {has("w", _M_OVER_1)}
             THEN left(w, length(w) - 1) ELSE w END""",
     )
-    return f"""SELECT term, CASE WHEN strlen(term) BETWEEN {P.MIN_BYTES} AND {P.MAX_BYTES}
+    return f"""SELECT term, CASE WHEN strlen(term) >= 3
         THEN regexp_replace(w, '^Y', 'y') ELSE term END AS stem FROM ({chain})"""
 
 
+def _index_rows(words: str, docs: str) -> str:
+    """Postings, terms, documents and corpus of (patent_id, term) words; documents may have none."""
+    return f"""SELECT * FROM (
+    WITH w AS MATERIALIZED ({words}),
+         lengths AS (SELECT patent_id, count(term) AS n FROM {docs} LEFT JOIN w USING (patent_id) GROUP BY patent_id)
+    SELECT 'posting' AS kind, term, patent_id, count(*) AS n, CAST(any_value(l.n) AS BIGINT) AS m
+    FROM w JOIN lengths l USING (patent_id) GROUP BY term, patent_id
+    UNION ALL SELECT 'term', term, NULL, count(DISTINCT patent_id), count(*) FROM w GROUP BY term
+    UNION ALL SELECT 'document', NULL, patent_id, 1, CAST(n AS BIGINT) FROM lengths
+    UNION ALL SELECT 'corpus', NULL, NULL, count(*), CAST(sum(n) AS BIGINT) FROM lengths)"""
+
+
 _CHANGED_TOKENS = ASCII_TOKENS.format("title || ' ' || abstract")
-CHANGED_TERMS = f"""
-    SELECT term, count(DISTINCT patent_id) AS n_docs, count(*) AS n_hits
-    FROM (SELECT patent_id, unnest({_CHANGED_TOKENS}) AS term FROM changed_docs)
-    GROUP BY term"""
+INDEX = _index_rows("SELECT patent_id, term FROM words", "docs")
+CHANGED_INDEX = _index_rows(f"SELECT patent_id, unnest({_CHANGED_TOKENS}) AS term FROM changed_docs", "changed_docs")
 _SLUGS = " ".join(
-    f"WHEN {i} THEN 'search_' || left('{q.replace(' ', '_')}', 40)" for i, q in enumerate(R.SEARCHES)
+    f"WHEN {i} THEN 'search_' || left('{q.replace(' ', '_')}', 40)" for i, q in enumerate(R.EXPORTS)
 )
 SEARCH = {
     "s_normalize_query": r"""
@@ -824,16 +967,9 @@ SEARCH = {
         WHERE length(q) >= 2 AND trim(clean) <> ''""",
     "s_tokenize": "SELECT * FROM tf",
     "s_stem": _stemmer(),
-    "s_index_build": """
-        SELECT term, count(DISTINCT patent_id) AS n_docs, count(*) AS n_hits FROM words
-        GROUP BY term""",
+    "s_index_build": INDEX,
+    "s_index_stored": INDEX,
     "s_title_prefix": "SELECT patent_id, title FROM patents WHERE title LIKE '1-URGENT%'",
-    "s_fallback_title": " UNION ALL ".join(
-        f"""(SELECT '{q}' AS query, d.patent_id, year FROM docs d LEFT JOIN patents p
-             ON p.patent_id = d.patent_id WHERE contains(lower(d.title), '{q.lower()}')
-             ORDER BY year DESC NULLS LAST, d.patent_id LIMIT 200)"""
-        for q in R.TITLE_SEARCHES
-    ),
     "s_name_lookup": f"""
         SELECT inventor_id AS id, name FROM inventors
         WHERE name LIKE 'Supplier#0000%' AND country = '{R.COUNTRIES[0]}'
@@ -842,8 +978,8 @@ SEARCH = {
     "s_date_type_filter": """
         SELECT patent_id, filing_date, patent_type FROM patents
         WHERE filing_date BETWEEN DATE '1997-03-01' AND DATE '1998-10-31' AND patent_type = 'F'""",
-    "s_index_maintain": CHANGED_TERMS,
-    "s_index_feed": CHANGED_TERMS,
+    "s_index_maintain": CHANGED_INDEX,
+    "s_index_feed": CHANGED_INDEX,
 }
 READY = {
     "s_match_rank": MATCH_RANK,
@@ -858,8 +994,10 @@ READY = {
     "s_result_table": _found("""
         SELECT query_id, patent_id, title, year, patent_type, num_claims, grant_lag_days, filing_date
         FROM found"""),
-    "s_export": _found(f"""
-        SELECT CASE query_id {_SLUGS} END AS file, patent_id, year FROM found"""),
+    "s_fallback_title": _search_or_title(),
+    "s_export": _found(
+        f"SELECT query_id, CASE query_id {_SLUGS} END AS file, patent_id, year FROM found", EXPORT_RANK
+    ),
 }
 
 ORACLES = {

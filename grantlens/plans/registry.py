@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from grantlens.operators import analytics as Q
 from grantlens.operators import checks, clean, derived, search, views
 from grantlens.plans.driver_tables import DriverTables
 from grantlens.sources import model as store
-from grantlens.sources import raw, reports
+from grantlens.sources import index_store, raw, reports
 from grantlens.sources.storage import shared_folder
 from grantlens.streaming.index_feed import CHANGE_SCHEMA, IndexFeed
 
@@ -28,6 +29,8 @@ SECTION_CHOICE = ["A", "G", "Y"]
 DECADE = 1990
 SAMPLE = 1000
 SEARCHES = ["worthless then", "the and", "que la", "Then, the!", "e", "zzzunknownword the"]
+# Two of them have the same file name.
+EXPORTS = [*SEARCHES, "que_la"]
 OPERATOR_SEARCHES = [
     "then AND the",
     "worthless OR que",
@@ -35,7 +38,7 @@ OPERATOR_SEARCHES = [
     "the and NOT que la OR est",
     "then NOT the NOT que AND est",
 ]
-TITLE_SEARCHES = ["OR", "AND", "NOT", "que OR"]
+TITLE_SEARCHES = ["OR", "worthless then", "AND", "OR", "NOT", "que OR", "worthless then"]
 PATENT_ORDER = ["seq", "title"]
 APPLICATION_ORDER = ["seq"]
 ABSTRACT_ORDER = ["seq"]
@@ -114,6 +117,10 @@ def src_clean_tables(t):
     return loaded.select(*PATENT_COLUMNS, F.length("abstract").alias("abstract_length"))
 
 
+# The columns of each clean table that the content check reads.
+MODEL_TEXT = {name: [c for c in schema.names if c != "abstract"] for name, schema in store.CLEAN_SCHEMAS.items()}
+
+
 def clean_model(t) -> dict[str, DataFrame]:
     sections = clean.normalize_sections(t.raw_cpc)
     raw_patent = t.raw_patent.withColumn("seq", F.lit(1))
@@ -136,39 +143,55 @@ def clean_model(t) -> dict[str, DataFrame]:
     }
 
 
+def cells(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every cell of short tables as text: (report, row_key of the first two columns, column, value)."""
+    parts = []
+    for name, frame in tables.items():
+        texts = [F.col(c).cast("string") for c in frame.columns]
+        pairs = [F.struct(F.lit(c).alias("column"), t.alias("value")) for c, t in zip(frame.columns, texts)]
+        row_key = F.concat_ws("|", *texts[:2]).alias("row_key")
+        parts.append(frame.select(F.lit(name).alias("report"), row_key, F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register
 def snk_clean_tables(t):
-    """The whole cleaning run, written and read back: rows per table."""
+    """The whole cleaning run, written and read back: the contents of every table as one text per row."""
     folder = shared_folder(t.spark, "model")
     store.write_model(clean_model(t), folder)
-    return checks.row_counts(store.load_model(t.spark, folder))
+    loaded = store.load_model(t.spark, folder)
+    parts = []
+    for name, frame in loaded.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in MODEL_TEXT[name]]
+        parts.append(frame.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("content")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register
 def snk_report_csv(t):
+    """Every report written, read back and compared cell by cell."""
     folder = shared_folder(t.spark, "reports")
     names = reports.write_reports(t.model(), folder)
-    written = {
-        name: t.spark.read.option("header", True).csv(f"{folder}/{name}") for name in names
-    }
-    return checks.row_counts(written)
+    return cells({n: t.spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{n}") for n in names})
 
 
 @register
 def snk_report_json(t):
-    """The written document, one row per key: list length, or the value if it is no list."""
+    """The written document: one row for each entry of each list and for each plain value."""
     path = f"{shared_folder(t.spark, 'document')}/report"
     reports.write_document(t.model(), path)
     document = reports.read_document(t.spark, path)
     keyed = document.select(
         "value", F.explode(F.json_object_keys("value")).alias("key")
     ).withColumn("part", F.expr("get_json_object(value, '$.' || key)"))
-    n_items = F.when(F.substring("part", 1, 1) == "[", F.json_array_length("part"))
-    return keyed.select(
-        "key",
-        n_items.alias("n_items"),
-        F.when(n_items.isNull(), F.col("part")).alias("content"),
+    is_list = F.substring("part", 1, 1) == "["
+    entries = F.from_json("part", "array<map<string,string>>")
+    listed = keyed.filter(is_list).select("key", F.posexplode(entries).alias("place", "entry"))
+    listed = listed.select("key", "place", F.explode("entry").alias("field", "content"))
+    plain = keyed.filter(~is_list).select(
+        "key", F.lit(0).alias("place"), F.lit("").alias("field"), F.col("part").alias("content")
     )
+    return listed.unionByName(plain)
 
 
 # ---- cleaning ---------------------------------------------------------------------------------
@@ -298,12 +321,23 @@ def cl_patent_cpc_wide(t):
 
 @register
 def cl_insert_or_ignore(t):
-    """Open orders are in the table; all orders arrive, twice, with another title."""
+    """Open orders are in the table; all orders arrive, twice, with another title. In memory, and into a stored table."""
     patents = t.patents().select("patent_id", "title", "patent_type")
     loaded = patents.filter(F.col("patent_type") == "O")
     again = patents.withColumn("title", F.concat(F.lit("again "), "title"))
     batch = patents.withColumn("seq", F.lit(2)).unionByName(again.withColumn("seq", F.lit(1)))
-    return clean.insert_or_ignore(loaded, batch, ["patent_id"], ["seq"])
+    in_memory = clean.insert_or_ignore(loaded, batch, ["patent_id"], ["seq"])
+    folder = shared_folder(t.spark, "append")
+    names = store.CLEAN_SCHEMAS["patents"].names
+    dated = t.patents("grant", "abstract").withColumn("filing_year", F.col("year"))
+    store.write_model({"patents": dated.filter("patent_type = 'O'")}, folder)
+    again = dated.withColumn("title", F.concat(F.lit("again "), "title")).withColumn("seq", F.lit(1))
+    store.append_new(t.spark, folder, "patents", dated.withColumn("seq", F.lit(2)).unionByName(again), ["seq"])
+    stored = store.load_model(t.spark, folder)["patents"].select(names)
+    kept = ["patent_id", "title", "patent_type"]
+    return in_memory.select(F.lit("memory").alias("target"), *kept).unionByName(
+        stored.select(F.lit("stored").alias("target"), *kept)
+    )
 
 
 # ---- views ------------------------------------------------------------------------------------
@@ -603,9 +637,21 @@ def d_lag_vs_claims(t):
 # ---- search -----------------------------------------------------------------------------------
 
 
+_INDEX_FOLDERS: dict[tuple[str, str], str] = {}
+
+
+def _stored_index(t) -> search.SearchIndex:
+    """The documents' index, built and written once per session and read back for every search."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _INDEX_FOLDERS:
+        folder = shared_folder(t.spark, "index")
+        index_store.write_index(search.build_index(t.search_docs), folder, buckets=16)
+        _INDEX_FOLDERS[key] = folder
+    return index_store.read_index(t.spark, _INDEX_FOLDERS[key])
+
+
 def _hits(t, texts, k=200):
-    index = search.scan_index(t.search_docs)
-    return search.search(index, search.as_queries(t.spark, texts), k)
+    return search.search(_stored_index(t), search.as_queries(t.spark, texts), k)
 
 
 def _results(t):
@@ -633,7 +679,13 @@ def s_stem(t):
 
 @register
 def s_index_build(t):
-    return search.build_index(t.search_docs).terms
+    return search.index_rows(search.build_index(t.search_docs))
+
+
+@register
+def s_index_stored(t):
+    """The index as it is read back from its folder."""
+    return search.index_rows(_stored_index(t))
 
 
 @register
@@ -648,9 +700,9 @@ def s_boolean(t):
 
 @register
 def s_fallback_title(t):
-    return search.fallback_title(t.search_patents, TITLE_SEARCHES).select(
-        "query", "patent_id", "year"
-    )
+    """Searches that can be read, that cannot, and that come twice, in one call."""
+    queries = search.as_queries(t.spark, TITLE_SEARCHES)
+    return search.search_or_title(_stored_index(t), t.search_patents, queries)
 
 
 @register
@@ -696,10 +748,12 @@ def s_result_table(t):
 @register
 def s_export(t):
     folder = shared_folder(t.spark, "export")
-    queries = search.as_queries(t.spark, SEARCHES)
-    search.export_results(_results(t), queries, folder)
+    queries = search.as_queries(t.spark, EXPORTS)
+    results = search.with_facts(_hits(t, EXPORTS), t.search_patents)
+    search.export_results(results, queries, folder)
     exported = t.spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return exported.csv(folder).select("file", "patent_id", F.col("year").cast("int").alias("year"))
+    year = F.col("year").cast("int").alias("year")
+    return exported.csv(folder).select(F.col("query_id").cast("int").alias("query_id"), "file", "patent_id", year)
 
 
 def index_changes(t) -> DataFrame:
@@ -728,25 +782,35 @@ def index_changes(t) -> DataFrame:
     return deleted.unionByName(revised).unionByName(fresh)
 
 
+def _written_index(t) -> str:
+    folder = shared_folder(t.spark, "index")
+    index_store.write_index(search.build_index(t.search_docs), folder, buckets=16)
+    return folder
+
+
 @register
 def s_index_maintain(t):
-    index = search.build_index(t.search_docs)
-    return search.maintain_index(index, index_changes(t)).terms
+    """A stored index after a set of changes."""
+    folder = _written_index(t)
+    index_store.apply_changes(index_changes(t), folder, 1)
+    return search.index_rows(index_store.read_index(t.spark, folder))
 
 
 @register
 def s_index_feed(t):
-    """The same changes arriving as a stream over an index fed with the documents."""
+    """The same changes as a stream, followed by late ones (older seq) and by the same ones again; then merged."""
     folder = shared_folder(t.spark, "feed")
-    first = t.search_docs.withColumns(
-        {"seq": F.lit(0).cast("bigint"), "is_delete": F.lit(False)}
+    feed = IndexFeed(_written_index(t))
+    now = index_changes(t)
+    late = now.withColumns(
+        {"seq": F.lit(-1).cast("bigint"), "is_delete": F.lit(False), "title": F.lit("late"), "abstract": F.lit("late")}
     )
-    feed = IndexFeed(f"{folder}/index")
-    for changes in (first, index_changes(t)):
+    for changes in (now, late, now):
         changes.write.mode("append").parquet(f"{folder}/changes")
         stream = t.spark.readStream.schema(CHANGE_SCHEMA).parquet(f"{folder}/changes")
         feed.start(stream, f"{folder}/checkpoint").awaitTermination()
-    return feed.current(t.spark).terms
+    merged = feed.compact(t.spark, f"{folder}/merged")
+    return search.index_rows(merged.current(t.spark))
 
 
 # ---- checks -----------------------------------------------------------------------------------
@@ -765,7 +829,8 @@ def v_valid_dates(t):
 
 @register
 def v_row_counts(t):
-    return checks.row_counts(t.model())
+    model = t.model()
+    return checks.row_counts(model | {"cpc_section_agg": clean.section_lists(model["patent_cpc"])})
 
 
 @register
@@ -781,17 +846,19 @@ def v_orphans(t):
 
 @register
 def v_key_unique(t):
-    """The keys the clean model declares, asked of the raw files."""
+    """The declared keys of the clean model, and the same asked of the raw files."""
+    model = clean_model(t)
+    clean_tables = checks.key_violations(model | {"cpc_section_agg": clean.section_lists(model["patent_cpc"])})
     tables = {
-        "patents": t.raw_repeats,
-        "applications": t.raw_application,
-        "patent_inventor": t.raw_inventor,
-        "patent_cpc": t.raw_cpc,
+        "raw patents": t.raw_repeats,
+        "raw applications": t.raw_application,
+        "raw patent_inventor": t.raw_inventor,
+        "raw patent_cpc": t.raw_cpc,
     }
     keys = {
-        "patents": ["patent_id"],
-        "applications": ["patent_id"],
-        "patent_inventor": ["patent_id", "inventor_id"],
-        "patent_cpc": ["patent_id", "cpc_section"],
+        "raw patents": ["patent_id"],
+        "raw applications": ["patent_id"],
+        "raw patent_inventor": ["patent_id", "inventor_id"],
+        "raw patent_cpc": ["patent_id", "cpc_section"],
     }
-    return checks.key_violations(tables, keys)
+    return clean_tables.unionByName(checks.key_violations(tables, keys))

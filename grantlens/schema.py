@@ -54,6 +54,7 @@ RAW_COLUMNS = {
 # Only these hold prose, hence line breaks inside quotes. Spark cannot split such files, so the
 # others are read line by line.
 RAW_WITH_PROSE = {"g_patent", "g_patent_abstract"}
+WITH_PROSE = {"patents"}  # of the clean tables
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
@@ -62,6 +63,7 @@ def _struct(**columns):
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Tables and columns of the clean model.
 CLEAN_SCHEMAS = {
     "patents": _struct(
         patent_id=_S,
@@ -84,7 +86,7 @@ CLEAN_SCHEMAS = {
     "cpc_section_agg": _struct(patent_id=_S, cpc_sections=_S),
 }
 
-# Declared keys, used by the quality checks.
+# Declared keys, used by the quality checks.
 KEYS = {
     "patents": ["patent_id"],
     "inventors": ["inventor_id"],

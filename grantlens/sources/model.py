@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.operators.clean import iso_dates, section_lists
-from grantlens.schema import CLEAN_SCHEMAS
+from grantlens.operators.clean import iso_dates, new_rows, section_lists
+from grantlens.schema import CLEAN_SCHEMAS, KEYS, WITH_PROSE
 from grantlens.sources.storage import path_exists
 
 # Year folders make year filters prune whole files.
@@ -25,7 +25,8 @@ def load_model(
             continue
         reader = spark.read.schema(schema)
         if fmt == "csv":
-            reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+            prose = name in WITH_PROSE  # only there can a line break stand inside quotes
+            reader = reader.option("header", True).option("escape", '"').option("multiLine", prose)
         model[name] = reader.format(fmt).load(path).select(schema.names)
         if views:
             model[name].createOrReplaceTempView(name)
@@ -54,3 +55,20 @@ def write_model(model: dict[str, DataFrame], folder: str, fmt: str = "parquet")
     if "patent_cpc" in model and "cpc_section_agg" not in model:
         written = load_model(model["patent_cpc"].sparkSession, folder, fmt)["patent_cpc"]
         write_model({"cpc_section_agg": section_lists(written)}, folder, fmt)
+
+
+def append_new(spark: SparkSession, folder: str, name: str, batch: DataFrame, order: list[str], fmt: str = "parquet") -> None:
+    """Appends to a stored table the rows of ``batch`` whose key is not there; nothing stored is rewritten.
+
+    Of equal new keys the first in order is taken. Of the stored table only the key is read.
+    """
+    schema = CLEAN_SCHEMAS[name]
+    stored = load_model(spark, folder, fmt)[name]
+    fresh = new_rows(stored, batch, KEYS[name], order).select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    if fmt == "csv":
+        dates = [f.name for f in schema if f.dataType.typeName() == "date"]
+        writer = iso_dates(fresh, dates).write.option("header", True).option("escape", '"')
+    else:
+        key = PARTITIONED_BY.get(name)
+        writer = fresh.hint("rebalance", F.col(key)).write.partitionBy(key) if key else fresh.write
+    writer.mode("append").format(fmt).save(f"{folder}/{name}")

@@ -1,6 +1,7 @@
 """Report sinks: one CSV per result and one nested JSON document."""
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -8,23 +9,35 @@ from pyspark.sql import functions as F
 from grantlens.functions.ranking import ordering
 from grantlens.operators import analytics as Q
 from grantlens.operators.clean import label_sections
-from grantlens.sources.storage import written
+from grantlens.sources.storage import written_while
 
 Model = dict[str, DataFrame]
 
 
+@contextmanager
+def shared_facts(model: Model):
+    """The joins that several reports read, each as a stored table, deleted at the end of the block."""
+    with ExitStack() as tables:
+        store = lambda frame, name: tables.enter_context(written_while(frame, name))
+        found = {"pairs": store(Q.country_patents(model["patent_inventor"], model["inventors"]), "pairs")}
+        found["pair_facts"] = store(Q.pair_facts(found["pairs"], model["patents"]), "pair-facts")
+        if "patent_cpc" in model:
+            found["section_facts"] = store(Q.section_facts(model["patent_cpc"], model["patents"]), "section-facts")
+        yield found
+
+
 def results(
-    model: Model, min_lag_patents: int = 500, pairs: DataFrame | None = None
+    model: Model, min_lag_patents: int = 500, facts: dict[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
     """Every report by file name; section reports only if the section table is there.
 
-    Six reports read the distinct (country, patent) ``pairs``; a job that runs them all gives them as a
-    written table.
+    ``facts`` are those of ``shared_facts``, for a job that runs many of them.
     """
     patents, inventors, companies = model["patents"], model["inventors"], model["companies"]
     people, owners = model["patent_inventor"], model["patent_company"]
-    if pairs is None:
-        pairs = Q.country_patents(people, inventors)
+    facts = facts or {}
+    pairs = facts["pairs"] if facts else Q.country_patents(people, inventors)
+    of_pair, of_section = facts.get("pair_facts"), facts.get("section_facts")
     leaders = Q.top_inventors(people, inventors)
     found = {
         "top_inventors": leaders,
@@ -33,23 +46,23 @@ def results(
         "patents_per_year": Q.patents_per_year(patents),
         "patents_by_grant_year": Q.patents_by_grant_year(patents),
         "patents_join_preview": Q.join_preview(patents, people, inventors, owners, companies),
-        "countries_by_decade": Q.countries_by_decade(pairs, patents),
+        "countries_by_decade": Q.countries_by_decade(pairs, patents, facts=of_pair),
         "top_inventor_rankings": Q.rank_top_list(leaders),
-        "grant_lag_by_country": Q.lag_by_country(pairs, patents, min_lag_patents),
+        "grant_lag_by_country": Q.lag_by_country(pairs, patents, min_lag_patents, facts=of_pair),
         "claims_per_year": Q.claims_per_year(patents),
         "grant_lag_trend": Q.lag_trend(patents),
-        "country_trends": Q.country_trends(pairs, patents),
+        "country_trends": Q.country_trends(pairs, patents, facts=of_pair),
     }
     if "patent_cpc" in model:
         sections = model["patent_cpc"]
         found |= {
             "cpc_section_distribution": Q.section_distribution(sections),
-            "cpc_section_trends": Q.section_trends(sections, patents),
+            "cpc_section_trends": Q.section_trends(sections, patents, facts=of_section),
             "top_companies_by_cpc": Q.top_companies_by_section(sections, owners, companies),
             "top_countries_by_cpc": Q.top_countries_by_section(pairs, sections),
-            "recent_patents_by_cpc": Q.recent_by_section(sections, patents),
-            "grant_lag_by_cpc": Q.lag_by_section(patents, sections),
-            "claims_by_cpc": Q.claims_by_section(patents, sections),
+            "recent_patents_by_cpc": Q.recent_by_section(sections, patents, facts=of_section),
+            "grant_lag_by_cpc": Q.lag_by_section(patents, sections, facts=of_section),
+            "claims_by_cpc": Q.claims_by_section(patents, sections, facts=of_section),
         }
     return found
 
@@ -65,18 +78,15 @@ def write_reports(model: Model, folder: str, at_once: int = 4) -> list[str]:
 
     If one fails the others are still written, and then its error is raised.
     """
-    found = results(model, pairs=_written_pairs(model))
-    with ThreadPoolExecutor(at_once) as pool:
-        jobs = [pool.submit(write_csv, f, f"{folder}/{name}") for name, f in found.items()]
-    for job in jobs:
-        job.result()
+    with shared_facts(model) as facts:
+        found = results(model, facts=facts)
+        with ThreadPoolExecutor(at_once) as pool:
+            jobs = [pool.submit(write_csv, f, f"{folder}/{name}") for name, f in found.items()]
+        for job in jobs:
+            job.result()
     return list(found)
 
 
-def _written_pairs(model: Model) -> DataFrame:
-    return written(Q.country_patents(model["patent_inventor"], model["inventors"]), "pairs")
-
-
 def _entries(frame: DataFrame, order: list[str], columns: dict, limit: int | None = None):
     """The rows of a short result as one ordered array of structs, NULL array never."""
     numbered = frame.withColumn(
@@ -89,14 +99,22 @@ def _entries(frame: DataFrame, order: list[str], columns: dict, limit: int | Non
     return numbered.agg(F.transform(listed, lambda x: x["entry"])).scalar()
 
 
-def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
+def report_document(
+    model: Model,
+    facts: dict[str, DataFrame] | None = None,
+    leaders_listed: int = 10,
+    lags_listed: int = 20,
+    min_lag_patents: int = 500,
+) -> DataFrame:
     """One row, one column ``report``: the summary as JSON text.
 
-    Each list comes from a result of at most some fifty rows and enters as a one-row subquery.
+    Each list comes from a short result and enters as a one-row subquery. ``leaders_listed`` inventors and companies
+    and ``lags_listed`` countries with ``min_lag_patents`` patents are listed.
     """
     patents, inventors, companies = model["patents"], model["inventors"], model["companies"]
-    if pairs is None:
-        pairs = Q.country_patents(model["patent_inventor"], inventors)
+    facts = facts or {}
+    pairs = facts["pairs"] if facts else Q.country_patents(model["patent_inventor"], inventors)
+    of_pair, of_section = facts.get("pair_facts"), facts.get("section_facts")
     leaders = Q.top_inventors(model["patent_inventor"], inventors)
     owners = Q.top_companies(model["patent_company"], companies)
     ranked = ["-patent_count", "inventor_id"]
@@ -109,13 +127,13 @@ def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
             leaders,
             ranked,
             {"name": "name", "patent_count": "patents", "country": "country"},
-            limit=10,
+            limit=leaders_listed,
         ),
         "top_companies": _entries(
             owners,
             ["-patent_count", "company_id"],
             {"name": "name", "patent_count": "patents", "assignee_type": "assignee_type"},
-            limit=10,
+            limit=leaders_listed,
         ),
         "top_countries": _entries(
             Q.country_share(pairs, patents),
@@ -131,12 +149,12 @@ def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
             {"rank": "rank", "name": "name", "country": "country", "patent_count": "patents"},
         ),
         "grant_lag_by_country": _entries(
-            Q.lag_by_country(pairs, patents).withColumn(
+            Q.lag_by_country(pairs, patents, min_lag_patents, facts=of_pair).withColumn(
                 "avg_grant_lag_days", whole("avg_grant_lag_days")
             ),
             ["-patent_count", "country"],
             {c: c for c in ["country", "patent_count", "avg_grant_lag_days", "avg_grant_lag_years"]},
-            limit=20,
+            limit=lags_listed,
         ),
         "claims_per_year": _entries(
             Q.claims_per_year(patents),
@@ -154,14 +172,14 @@ def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
             named | {"patent_count": "patents", "percentage": "percentage"},
         )
         lists["grant_lag_by_cpc"] = _entries(
-            label_sections(Q.lag_by_section(patents, sections)).withColumn(
+            label_sections(Q.lag_by_section(patents, sections, facts=of_section)).withColumn(
                 "avg_grant_lag_days", whole("avg_grant_lag_days")
             ),
             ["-avg_grant_lag_days", "cpc_section"],
             named | {c: c for c in ["patent_count", "avg_grant_lag_days", "avg_grant_lag_years"]},
         )
         lists["claims_by_cpc"] = _entries(
-            label_sections(Q.claims_by_section(patents, sections)),
+            label_sections(Q.claims_by_section(patents, sections, facts=of_section)),
             ["-avg_claims", "cpc_section"],
             named | {c: c for c in ["patent_count", "avg_claims"]},
         )
@@ -177,9 +195,9 @@ def report_document(model: Model, pairs: DataFrame | None = None) -> DataFrame:
     return head.select(F.to_json(F.struct("*")).alias("report"))
 
 
-def write_document(model: Model, path: str) -> None:
-    document = report_document(model, _written_pairs(model))
-    document.write.mode("overwrite").text(path)
+def write_document(model: Model, path: str, **options) -> None:
+    with shared_facts(model) as facts:
+        report_document(model, facts, **options).write.mode("overwrite").text(path)
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:

@@ -1,23 +1,25 @@
 """Where intermediate tables may be written."""
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-
 _local_base: str | None = None
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the one every executor can reach.
+    """A new folder below the one every executor can reach, which spark.checkpoint.dir names.
 
-    Clusters name it in spark.checkpoint.dir; only where that is unset, as in a local test, is a
-    temporary folder made.
+    Only in local mode, where the driver is the one executor, is a temporary folder made if it is unset.
     """
     global _local_base
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         _local_base = _local_base or tempfile.mkdtemp(prefix="grantlens-")
         base = _local_base
     return f"{base.rstrip('/')}/grantlens/{purpose}-{uuid.uuid4().hex}"
@@ -25,11 +27,35 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, for results that several jobs read."""
-    path = shared_folder(frame.sparkSession, purpose)
+    return _stored(frame, shared_folder(frame.sparkSession, purpose))
+
+
+def _stored(frame: DataFrame, path: str) -> DataFrame:
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+@contextmanager
+def written_while(frame: DataFrame, purpose: str):
+    """As ``written``, and the table is deleted at the end of the block."""
+    spark = frame.sparkSession
+    path = shared_folder(spark, purpose)
+    try:
+        yield _stored(frame, path)
+    finally:
+        delete_path(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, jvm_path = _file_system(spark, path)
+    return system.exists(jvm_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    system, jvm_path = _file_system(spark, path)
+    system.delete(jvm_path, True)

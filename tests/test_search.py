@@ -5,8 +5,10 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from grantlens.operators import search as S
+from grantlens.sources import index_store
 
 DOCS = {
     "1": ("Quantum computing", "A computer that computes with qubits. Computing is quick."),
@@ -59,6 +61,11 @@ CASES = [
     ("Quantum, GENE!", lambda b: b["quantum"] and b["gene"], ["quantum", "gene"]),
     ("the the", lambda b: b["the"], ["the", "the"]),
     ("gene OR network", lambda b: b["gene"] or b["network"], ["gene", "network"]),
+    (
+        "quantum network OR gene",  # a word of an alternative that does not hold does not count
+        lambda b: (b["quantum"] and b["network"]) or b["gene"],
+        lambda b: ["quantum", "network"] * bool(b["quantum"] and b["network"]) + ["gene"],
+    ),
     ("gene or network", lambda b: b["gene"] and b["or"] and b["network"], []),
     ("quantum NOT gene", lambda b: b["quantum"] and not b["gene"], ["quantum"]),
     (
@@ -69,7 +76,7 @@ CASES = [
     (
         "quantum AND gene NOT crispr OR neural",
         lambda b: (b["quantum"] and b["gene"] and not b["crispr"]) or b["neural"],
-        ["quantum", "gene", "neural"],
+        lambda b: ["quantum", "gene"] * bool(b["quantum"] and b["gene"] and not b["crispr"]) + ["neural"],
     ),
     ("keynote", lambda b: b["keynote"], ["keynote"]),
     ("été", lambda b: b["été"], ["été"]),
@@ -85,7 +92,8 @@ def test_search_equals_plain_count(spark, index):
     for row in S.search(index, queries).collect():
         found.setdefault(row.query_id, {})[row.patent_id] = row.score
     for number, (text, holds, terms) in enumerate(CASES):
-        wanted = {d: score(d, terms) for d, bag in BAGS.items() if holds(bag)}
+        scored = terms if callable(terms) else lambda bag, fixed=terms: fixed
+        wanted = {d: score(d, scored(bag)) for d, bag in BAGS.items() if holds(bag)}
         assert found.get(number, {}) == pytest.approx(wanted), text
 
 
@@ -116,14 +124,19 @@ def test_unicode_tokenizer(spark, docs):
     assert {r.term: r.n_hits for r in index.terms.collect()}["keynote"] == 2
 
 
-def test_stored_index_answers_alike_and_prunes(spark, docs, rows, tmp_path):
-    built = S.build_index(docs)
-    S.write_index(built, str(tmp_path), buckets=16)
-    stored = S.read_index(spark, str(tmp_path), buckets=16)
+@pytest.mark.parametrize("stem", [False, True])
+def test_stored_index_answers_alike_and_prunes(spark, docs, rows, tmp_path, stem):
+    built = S.build_index(docs, stem=stem)
+    index_store.write_index(built, str(tmp_path), buckets=16)
+    stored = index_store.read_index(spark, str(tmp_path))
+    assert (stored.stemmed, stored.buckets) == (stem, 16)
     queries = S.as_queries(spark, ["quantum gene", "the OR network"])
     hits = S.search(stored, queries)
     assert rows(hits) == rows(S.search(built, queries))
-    assert "dynamicpruning" in hits._jdf.queryExecution().executedPlan().toString().lower()
+    plan = hits._jdf.queryExecution().executedPlan().toString().lower()
+    assert "dynamicpruning" in plan
+    assert "hashpartitioning(term" not in plan.split("subquery")[0].split("broadcastexchange")[0]
+    assert "abstract" not in plan
 
 
 def changes_of(spark):
@@ -159,14 +172,25 @@ def tables_of(index, rows):
 
 
 @pytest.mark.parametrize("stem", [False, True])
-def test_maintained_equals_rebuilt(spark, docs, rows, stem):
-    maintained = S.maintain_index(S.build_index(docs, stem=stem), changes_of(spark))
-    assert tables_of(maintained, rows) == tables_of(S.build_index(final_docs(spark), stem=stem), rows)
-
-
-def test_maintaining_keeps_document_count_types(spark, docs):
-    maintained = S.maintain_index(S.build_index(docs), changes_of(spark))
-    assert maintained.documents.schema == S.build_index(docs).documents.schema
+def test_maintained_equals_rebuilt(spark, docs, rows, tmp_path, stem):
+    folder = str(tmp_path)
+    index_store.write_index(S.build_index(docs, stem=stem), folder, buckets=8)
+    rebuilt = rows(S.index_rows(S.build_index(final_docs(spark), stem=stem)))
+    for _ in range(2):  # the same segment again changes nothing
+        index_store.apply_changes(changes_of(spark), folder, 1)
+        assert rows(S.index_rows(index_store.read_index(spark, folder))) == rebuilt
+    late = changes_of(spark).filter("seq = 1").withColumn("is_delete", F.lit(True))
+    index_store.apply_changes(late.filter("patent_id IN ('1', '3', '9')"), folder, 2)
+    assert rows(S.index_rows(index_store.read_index(spark, folder))) == rebuilt
+    queries = S.as_queries(spark, ["quantum gene", "network", "revision"])
+    found = rows(S.search(index_store.read_index(spark, folder), queries))
+    assert found == rows(S.search(S.build_index(final_docs(spark), stem=stem), queries)) != []
+    index_store.merge(spark, folder, f"{folder}-merged")
+    merged = index_store.read_index(spark, f"{folder}-merged")
+    assert rows(S.index_rows(merged)) == rebuilt
+    assert index_store.segments_of(spark, f"{folder}-merged") == [0]
+    index_store.apply_changes(late.filter("patent_id = '9'").withColumn("is_delete", F.lit(False)), f"{folder}-merged", 1)
+    assert rows(S.index_rows(index_store.read_index(spark, f"{folder}-merged"))) == rebuilt
 
 
 def test_fallback_title(spark):
@@ -174,14 +198,25 @@ def test_fallback_title(spark):
         [("1", "50% Faster OR", 2001), ("2", "faster or not", 2003), ("3", "50 and 60 faster", None)],
         "patent_id string, title string, year int",
     )
-    found = S.fallback_title(patents, ["OR", "50%", "x"])
-    assert sorted((r.query, r.patent_id) for r in found.collect()) == [
-        ("50%", "1"), ("OR", "1"), ("OR", "2"),
+
+    def found(texts, **options):
+        return S.fallback_title(patents, S.as_queries(spark, texts), **options).collect()
+
+    assert sorted((r.query_id, r.patent_id) for r in found(["OR", "50%", "x", "OR"])) == [
+        (0, "1"), (0, "2"), (1, "1"), (3, "1"), (3, "2"),
     ]
-    (latest,) = S.fallback_title(patents, ["OR"], k=1).collect()
-    assert latest.patent_id == "2"
-    loose = S.fallback_title(patents, ["50%60"], wildcards=True).collect()
-    assert [r.patent_id for r in loose] == ["3"]
+    assert sorted((r.query_id, r.patent_id) for r in found(["OR", "OR"], k=1)) == [(0, "2"), (1, "2")]
+    assert [r.patent_id for r in found(["50%60"], wildcards=True)] == ["3"]
+
+
+def test_search_or_title(spark, docs, index):
+    patents = docs.withColumn("year", F.lit(2000))
+    queries = S.as_queries(spark, ["gene", "gene OR", "quantum comp", "NOT"])
+    found = S.search_or_title(index, patents, queries).collect()
+    kinds = {(r.query_id, r.found_by, r.score is None) for r in found}
+    assert kinds == {(0, "text", False), (3, "title", True)}  # of "Keynote"
+    titled = S.search_or_title(index, patents.withColumn("title", F.lit("Gene OR not")), queries).collect()
+    assert {(r.query_id, r.found_by) for r in titled} == {(0, "text"), (1, "title"), (3, "title")}
 
 
 def test_first_abstracts(spark, docs, index):

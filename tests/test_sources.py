@@ -116,16 +116,35 @@ def test_inputs_present(spark, folder):
     assert sorted(tuple(r) for r in found.collect()) == [("no", False, False), ("orders", True, True)]
 
 
-def test_shared_folder_follows_the_session(spark):
-    class Unset:
-        class conf:
-            get = staticmethod(lambda key, default: default)
+class Unset:
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "local[4]"
 
+
+def test_shared_folder_follows_the_session(spark):
     named = storage.shared_folder(spark, "x")
     assert named.startswith(spark.conf.get("spark.checkpoint.dir") + "/grantlens/x-")
     first, second = storage.shared_folder(Unset, "x"), storage.shared_folder(Unset, "x")
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_clusters_must_name_a_shared_folder(monkeypatch, master):
+    monkeypatch.setattr(Unset.sparkContext, "master", master)
+    with pytest.raises(ValueError):
+        storage.shared_folder(Unset, "x")
+
+
+def test_written_while_leaves_nothing(spark, tables, rows):
+    with storage.written_while(tables.companies, "companies") as kept:
+        path = kept.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows(kept) == rows(tables.companies)
+        assert storage.path_exists(spark, path)
+    assert not storage.path_exists(spark, path)
+
+
 def test_written_table_is_the_frame(spark, tables, rows):
     assert rows(storage.written(tables.companies, "companies")) == rows(tables.companies)
