@@ -226,6 +226,47 @@ def widen_sections(patent_cpc: DataFrame) -> DataFrame:
     )
 
 
+# ---- the whole run ----------------------------------------------------------------------------
+
+
+def clean_model(
+    raw: dict[str, DataFrame],
+    orders: dict[str, list[str]],
+    low: date = MIN_DATE,
+    high: date = MAX_DATE,
+) -> dict[str, DataFrame]:
+    """The clean tables from the raw ones, both by name.
+
+    Rows of a file have no order on Spark, so ``orders`` names for each raw file with one row per key kept
+    (patents, applications, abstracts, inventors, assignees) the columns that say which row comes first.
+    """
+    def order(name):
+        return orders.get(name, ["patent_id"])
+
+    inventors, assignees = raw["g_inventor_disambiguated"], raw["g_assignee_disambiguated"]
+    model = {
+        "patents": clean_patents(
+            raw["g_patent"],
+            raw["g_application"],
+            raw["g_patent_abstract"],
+            order("g_patent"),
+            order("g_application"),
+            order("g_patent_abstract"),
+            low,
+            high,
+        ),
+        "inventors": clean_inventors(
+            inventors, raw["g_location_disambiguated"], order("g_inventor_disambiguated")
+        ),
+        "companies": clean_companies(assignees, order("g_assignee_disambiguated")),
+        "patent_inventor": patent_inventor_links(inventors),
+        "patent_company": patent_company_links(assignees),
+    }
+    if "g_cpc_current" in raw:
+        model["patent_cpc"] = label_sections(normalize_sections(raw["g_cpc_current"]))
+    return model
+
+
 # ---- loading ----------------------------------------------------------------------------------
 
 

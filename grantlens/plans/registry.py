@@ -57,6 +57,7 @@ def register(fn):
 
 def _write_tsv(frame: DataFrame, path: str) -> None:
     writer = frame.write.mode("overwrite").option("sep", "\t").option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("quote", '"').option("escape", '"').csv(path)
 
 
@@ -121,28 +122,31 @@ def src_clean_tables(t):
 MODEL_TEXT = {name: [c for c in schema.names if c != "abstract"] for name, schema in store.CLEAN_SCHEMAS.items()}
 
 
-def clean_model(t) -> dict[str, DataFrame]:
-    sections = clean.normalize_sections(t.raw_cpc)
-    raw_patent = t.raw_patent.withColumn("seq", F.lit(1))
+ORDERS = {
+    "g_patent": ["seq"],
+    "g_application": APPLICATION_ORDER,
+    "g_patent_abstract": ABSTRACT_ORDER,
+    "g_inventor_disambiguated": INVENTOR_ORDER,
+    "g_assignee_disambiguated": ASSIGNEE_ORDER,
+}
+
+
+def raw_tables(t) -> dict[str, DataFrame]:
     return {
-        "patents": clean.clean_patents(
-            raw_patent,
-            t.raw_application,
-            t.raw_abstract,
-            ["seq"],
-            APPLICATION_ORDER,
-            ABSTRACT_ORDER,
-            LOW,
-            HIGH,
-        ),
-        "inventors": clean.clean_inventors(t.raw_inventor, t.raw_location, INVENTOR_ORDER),
-        "companies": clean.clean_companies(t.raw_assignee, ASSIGNEE_ORDER),
-        "patent_inventor": clean.patent_inventor_links(t.raw_inventor),
-        "patent_company": clean.patent_company_links(t.raw_assignee),
-        "patent_cpc": clean.label_sections(sections),
+        "g_patent": t.raw_patent.withColumn("seq", F.lit(1)),
+        "g_application": t.raw_application,
+        "g_patent_abstract": t.raw_abstract,
+        "g_inventor_disambiguated": t.raw_inventor,
+        "g_assignee_disambiguated": t.raw_assignee,
+        "g_location_disambiguated": t.raw_location,
+        "g_cpc_current": t.raw_cpc,
     }
 
 
+def clean_model(t) -> dict[str, DataFrame]:
+    return clean.clean_model(raw_tables(t), ORDERS, LOW, HIGH)
+
+
 def cells(tables: dict[str, DataFrame]) -> DataFrame:
     """Every cell of short tables as text: (report, row_key of the first two columns, column, value)."""
     parts = []
@@ -156,9 +160,13 @@ def cells(tables: dict[str, DataFrame]) -> DataFrame:
 
 @register
 def snk_clean_tables(t):
-    """The whole cleaning run, written and read back: the contents of every table as one text per row."""
-    folder = shared_folder(t.spark, "model")
-    store.write_model(clean_model(t), folder)
+    """The whole run from raw files to the stored model: the contents of every table as one text per row."""
+    folder, raw_folder = shared_folder(t.spark, "model"), shared_folder(t.spark, "raw")
+    for name, frame in raw_tables(t).items():
+        _write_tsv(frame, f"{raw_folder}/{name}.tsv")
+    sequences = {n: ("seq",) for n, order in ORDERS.items() if "seq" in order}
+    raw_files = raw.read_all_raw(t.spark, raw_folder, sequences)
+    store.write_model(clean.clean_model(raw_files, ORDERS, LOW, HIGH), folder)
     loaded = store.load_model(t.spark, folder)
     parts = []
     for name, frame in loaded.items():

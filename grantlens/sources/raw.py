@@ -1,4 +1,8 @@
-"""Raw tab-separated files (plain or gzip), header row first."""
+"""Raw tab-separated files (plain or gzip), header row first.
+
+A path may be one file or a folder of many. Texts with line breaks inside quotes cannot be split, so give patents
+and abstracts as folders of many files where they are large: each file is a task.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +29,35 @@ def read_raw(
     name: str,
     suffix: str = ".tsv",
     na_values: list[str] | None = None,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The needed columns of one raw file, as text.
+    """The needed columns of one raw file, as text, and the numbers in its ``order`` columns.
 
     Columns are found by header name, in any order, and only they are parsed. ``na_values`` are cell
-    texts to read as missing besides the empty cell (none by default, so ``NA`` stays a country).
+    texts to read as missing besides the empty cell (none by default, so ``NA`` stays a country). ``order`` names
+    columns that say which row comes first, such as a sequence number.
     """
     columns = RAW_COLUMNS[name]
-    frame = _reader(spark, name in RAW_WITH_PROSE).csv(f"{folder}/{name}{suffix}").select(columns)
-    if na_values:
-        frame = frame.select(*[F.when(~F.col(c).isin(na_values), F.col(c)).alias(c) for c in columns])
-    return frame
+    frame = _reader(spark, name in RAW_WITH_PROSE).csv(f"{folder}/{name}{suffix}")
+    numbers = [F.expr(f"try_cast(`{c}` AS BIGINT)").alias(c) for c in order]
+    texts = [F.when(~F.col(c).isin(na_values), F.col(c)).alias(c) if na_values else F.col(c) for c in columns]
+    return frame.select(*texts, *numbers)
+
+
+def read_all_raw(
+    spark: SparkSession,
+    folder: str,
+    orders: dict[str, tuple[str, ...]],
+    suffix: str = ".tsv",
+    na_values: list[str] | None = None,
+) -> dict[str, DataFrame]:
+    """All raw files of a folder by name, with the order columns of each; of sections the well-formed lines."""
+    found = {
+        name: read_raw(spark, folder, name, suffix, na_values, orders.get(name, ()))
+        for name in RAW_COLUMNS
+        if name != "g_cpc_current"
+    }
+    return found | {"g_cpc_current": read_sections(spark, folder, suffix=suffix)}
 
 
 def _with_bad_records(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
