@@ -671,17 +671,26 @@ def _cells(queries: dict[str, str]) -> str:
     )
 
 
-def _contents() -> str:
-    sources = CLEANED | {
-        "patents": """(SELECT c_patents.* EXCLUDE (num_claims), year AS filing_year, CAST(year(c_patents.patent_date) AS INT) AS patent_year,
-            raw_patent.patent_type, CASE WHEN regexp_matches(raw_patent.num_claims, '^[0-9]+$')
-                THEN CAST(raw_patent.num_claims AS BIGINT) END AS num_claims,
-            CAST(c_patents.patent_date - filing_date AS INT) AS grant_lag_days
-            FROM c_patents JOIN raw_patent USING (patent_id))""",
-        "patent_cpc": f"(SELECT *, {LABELLED} FROM c_patent_cpc)",
-        "cpc_section_agg": """(SELECT patent_id, '["' || string_agg(DISTINCT cpc_section, '","' ORDER BY cpc_section) || '"]'
-            AS cpc_sections FROM c_patent_cpc GROUP BY patent_id)""",
-    }
+_LISTS = """(SELECT patent_id, '["' || string_agg(DISTINCT cpc_section, '","' ORDER BY cpc_section) || '"]'
+            AS cpc_sections FROM {} GROUP BY patent_id)"""
+CLEANED_ROWS = CLEANED | {
+    "patents": """(SELECT c_patents.* EXCLUDE (num_claims), year AS filing_year,
+        CAST(year(c_patents.patent_date) AS INT) AS patent_year, raw_patent.patent_type,
+        CASE WHEN regexp_matches(raw_patent.num_claims, '^[0-9]+$')
+             THEN CAST(raw_patent.num_claims AS BIGINT) END AS num_claims,
+        CAST(c_patents.patent_date - filing_date AS INT) AS grant_lag_days
+        FROM c_patents JOIN raw_patent USING (patent_id))""",
+    "patent_cpc": f"(SELECT *, {LABELLED} FROM c_patent_cpc)",
+    "cpc_section_agg": _LISTS.format("c_patent_cpc"),
+}
+MODEL_ROWS = {n: n for n in CLEANED} | {
+    "patents": "(SELECT *, year AS filing_year FROM patents)",
+    "patent_cpc": f"(SELECT *, {LABELLED} FROM patent_cpc)",
+    "cpc_section_agg": _LISTS.format("patent_cpc"),
+}
+
+
+def _contents(sources: dict[str, str]) -> str:
     parts = []
     for name, source in sources.items():
         texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in R.MODEL_TEXT[name])
@@ -747,8 +756,8 @@ INPUTS_AND_CHECKS = {
         FROM (SELECT * FROM raw_patent ORDER BY patent_id LIMIT {R.SAMPLE})
         JOIN raw_assignee USING (patent_id)""",
     "src_clean_tables": f"""
-        SELECT {MODEL_COLUMNS}, CAST(length(abstract) AS INT) AS abstract_length FROM patents""",
-    "snk_clean_tables": _contents(),
+        SELECT *, unnest(['parquet', 'csv']) AS fmt FROM ({_contents(MODEL_ROWS)})""",
+    "snk_clean_tables": _contents(CLEANED_ROWS),
     "snk_report_csv": _cells(REPORTS),
     "snk_report_json": _document(),
     "v_inputs_present": " UNION ALL ".join(

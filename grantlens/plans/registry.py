@@ -109,15 +109,6 @@ PATENT_COLUMNS = [
 ]
 
 
-@register
-def src_clean_tables(t):
-    folder = shared_folder(t.spark, "model")
-    patents = t.patents("grant", "abstract").withColumn("filing_year", F.col("year"))
-    store.write_model({"patents": patents}, folder)
-    loaded = store.load_model(t.spark, folder)["patents"]
-    return loaded.select(*PATENT_COLUMNS, F.length("abstract").alias("abstract_length"))
-
-
 # The columns of each clean table that the content check reads.
 MODEL_TEXT = {name: [c for c in schema.names if c != "abstract"] for name, schema in store.CLEAN_SCHEMAS.items()}
 
@@ -158,6 +149,29 @@ def cells(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def contents(model: dict[str, DataFrame]) -> DataFrame:
+    """Every row of the clean tables as one text: (table_name, content)."""
+    parts = []
+    for name, frame in model.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in MODEL_TEXT[name]]
+        parts.append(frame.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("content")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register
+def src_clean_tables(t):
+    """The whole model loaded back from both formats: the contents of every table."""
+    model = t.model()
+    model["patents"] = model["patents"].withColumn("filing_year", F.col("year"))
+    model["patent_cpc"] = clean.label_sections(model["patent_cpc"])
+    parts = []
+    for fmt in ("parquet", "csv"):
+        folder = shared_folder(t.spark, f"model-{fmt}")
+        store.write_model(model, folder, fmt)
+        parts.append(contents(store.load_model(t.spark, folder, fmt)).withColumn("fmt", F.lit(fmt)))
+    return parts[0].unionByName(parts[1])
+
+
 @register
 def snk_clean_tables(t):
     """The whole run from raw files to the stored model: the contents of every table as one text per row."""
@@ -167,12 +181,7 @@ def snk_clean_tables(t):
     sequences = {n: ("seq",) for n, order in ORDERS.items() if "seq" in order}
     raw_files = raw.read_all_raw(t.spark, raw_folder, sequences)
     store.write_model(clean.clean_model(raw_files, ORDERS, LOW, HIGH), folder)
-    loaded = store.load_model(t.spark, folder)
-    parts = []
-    for name, frame in loaded.items():
-        texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in MODEL_TEXT[name]]
-        parts.append(frame.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("content")))
-    return reduce(DataFrame.unionByName, parts)
+    return contents(store.load_model(t.spark, folder))
 
 
 @register
