@@ -7,9 +7,11 @@ estimates their similarity with a few bit counts. Candidates whose estimate coul
 are confirmed on their full sets, which are computed again from the whole texts.
 
 Documents with the same set are one class, found by a digest. Links are only needed as far as they
-join components: first every class is compared with the lowest class of each of its bands; then, in
-bands that still hold several components, classes of different components are compared. So a group of
-copies costs links in proportion to its size, and no link that would join two components is left out.
+join components: first every class is compared with the lowest class of each of its bands. Where a band still
+holds several components, likely pairs between them name clusters of components, and in a cluster every
+likely pair of different components is compared in full, blocks of classes to a task. A task gives only the links
+that join something, so a group of copies costs rows in proportion to its size, and no link that would
+join two components is left out.
 """
 
 import hashlib
@@ -28,7 +30,8 @@ HASHES, ROWS, BITS = 128, 4, 4
 BANDS = HASHES // ROWS
 WORDS = HASHES * BITS // 64
 WORD_NAMES = [f"s{i}" for i in range(WORDS)]
-BLOCK = 2048  # classes of a band that one task compares with as many others
+BLOCK = 512  # classes that one task compares with as many others
+ONES = int("0x" + "1" * (64 // BITS), 16)  # the lowest bit of each kept minimum
 BROADCAST_ROWS = 500_000
 SKETCH = "doc_id long, text_key binary, n_shingles long, digest binary, bands array<long>, " + ", ".join(f"{w} long" for w in WORD_NAMES)
 
@@ -136,13 +139,12 @@ def sketch(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def agreeing(left: str, right: str) -> Column:
     """How many minima have equal low bits, from two packed signatures: four bit counts of 64 bits each."""
-    ones = F.lit(int("0x" + "1" * 16, 16))
     differing = F.lit(0)
     for word in WORD_NAMES:
         x = F.col(f"{left}.{word}").bitwiseXOR(F.col(f"{right}.{word}"))
         for step in (1, 2):
             x = x.bitwiseOR(F.shiftrightunsigned(x, step))
-        differing = differing + F.bit_count(x.bitwiseAND(ones))
+        differing = differing + F.bit_count(x.bitwiseAND(F.lit(ONES)))
     return F.lit(HASHES) - differing
 
 
@@ -162,9 +164,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.filter(fits).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
-    """(a, b, linked) for each pair, from the full sets of both classes."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def full_sets(nodes: DataFrame, classes: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, items): the shingle set of each class asked for, from the whole text of one of its documents, stored."""
     wanted = written(
         nodes.join(classes, "node").select("node", F.col("first_id").alias("_first"), F.col("digest").alias("_digest")),
         "minhash-wanted",
@@ -190,32 +191,36 @@ def confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, doc_id
             )
 
     found = asked.mapInArrow(run, "node long, items array<long>")
-    sets = written(found.dropDuplicates(["node"]), "minhash-sets")
+    return written(found.dropDuplicates(["node"]), "minhash-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"
     )
     common = F.size(F.array_intersect("x", "y"))
     united = F.size("x") + F.size("y") - common
-    return both.select("a", "b", (common * 100 >= united * percent).alias("linked"))
+    return both.filter(common * 100 >= united * percent).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in one band and different components whose signatures allow the threshold.
+def _dealt(members: DataFrame, group: str) -> DataFrame:
+    """Members of a group in which components meet, dealt to tasks (group, i, j) that hold two blocks.
 
-    In each band the component with most classes stands against all others; both are cut into blocks, so
-    that a task holds two blocks, and no class is compared within its component.
+    In each group the component with most classes stands against all others, and these against each other;
+    no class meets only its own component. Groups of one component are left out.
     """
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mains = sizes.groupBy("key").agg(
+    sizes = members.groupBy(group, "component").agg(F.count(F.lit(1)).alias("n"))
+    mains = sizes.groupBy(group).agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")
     )
     mains = mains.filter("kinds > 1").select(
-        (F.col("key") + F.lit(0)).alias("_key"),
+        (F.col(group) + F.lit(0)).alias("_group"),
         F.col("main.component").alias("main"),
         F.ceil(F.col("main.n") / BLOCK).cast("int").alias("g"),
         F.ceil((F.col("all") - F.col("main.n")) / BLOCK).cast("int").alias("h"),
     )
-    placed = members.join(mains, F.col("key") == F.col("_key")).drop("_key")
+    placed = members.join(mains, F.col(group) == F.col("_group")).drop("_group")
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     is_main = F.col("component") == F.col("main")
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
@@ -227,43 +232,103 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     )
     as_main = F.transform(upto("h"), lambda j: F.struct(block("g").alias("i"), j.alias("j")))
     dealt = placed.withColumn("_task", F.explode(F.when(is_main, as_main).otherwise(F.concat(against_main, among))))
-    floor = least_agreeing(percent / 100)
-    task = ["key", "i", "j"]
-    columns = [*task, "node", "component", "n_shingles", *WORD_NAMES]
-    dealt = dealt.withColumns({"i": F.col("_task.i"), "j": F.col("_task.j")}).select(*columns)
-    dealt = dealt.repartition(*task).sortWithinPartitions(*task)
+    return dealt.withColumns({"i": F.col("_task.i"), "j": F.col("_task.j")}).drop("_task", "main", "g", "h")
+
+
+def _sorted_tasks(dealt: DataFrame, group: str, more: list[str]) -> DataFrame:
+    task = [group, "i", "j"]
+    columns = [*task, "node", "component", "n_shingles", *WORD_NAMES, *more]
+    return dealt.select(*columns).repartition(*task).sortWithinPartitions(*task)
+
+
+class _Members:
+    """The classes of one task, and which of them could be linked."""
+
+    def __init__(self, group: pa.Table, percent: int):
+        self.node, self.component, self.n = (group.column(k).to_numpy() for k in (3, 4, 5))
+        self.packed = np.stack([group.column(6 + k).to_numpy() for k in range(WORDS)], axis=1).view(np.uint64)
+        self.percent, self.floor = percent, least_agreeing(percent / 100)
+        self.root = np.unique(self.component, return_inverse=True)[1]
+
+    def join(self, a: int, b: int) -> bool:
+        """Puts the components of two rows together; whether they were apart."""
+        low, high = sorted((self.root[a], self.root[b]))
+        if low == high:
+            return False
+        self.root[self.root == high] = low
+        return True
+
+    def likely(self, at: int) -> np.ndarray:
+        """Later rows of other components that size and signature allow, the likeliest first."""
+        n = self.n[at + 1 :]
+        fits = (self.root[at + 1 :] != self.root[at]) & (
+            np.minimum(n, self.n[at]) * 100 >= np.maximum(n, self.n[at]) * self.percent
+        )
+        others = np.flatnonzero(fits) + at + 1
+        x = self.packed[others] ^ self.packed[at]
+        for step in (1, 2):
+            x |= x >> np.uint64(step)
+        same = HASHES - np.bitwise_count(x & np.uint64(ONES)).sum(axis=1, dtype=np.int64)
+        order = np.argsort(-same, kind="stable")
+        return others[order[same[order] >= self.floor]]
+
+
+def _pairs_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [(), ()]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+
+def candidate_trees(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that connect the components that likely pairs connect: for each task at most a tree."""
 
     def run(batches):
         for group in groups(batches, 3):
-            node, component, n = (group.column(k).to_numpy() for k in (3, 4, 5))
-            packed = np.stack([group.column(6 + k).to_numpy() for k in range(WORDS)], axis=1).view(np.uint64)
-            ones = np.uint64(int("0x" + "1" * 16, 16))
-            for at in range(len(node) - 1):
-                later = slice(at + 1, None)
-                fits = (component[later] != component[at]) & (
-                    np.minimum(n[later], n[at]) * 100 >= np.maximum(n[later], n[at]) * percent
-                )
-                others = np.flatnonzero(fits) + at + 1
-                if not len(others):
+            task, rows = _Members(group, percent), []
+            for at in range(len(task.node) - 1):
+                for other in task.likely(at):
+                    if task.join(at, other):
+                        rows.append((int(task.node[at]), int(task.node[other])))
+            if rows:
+                yield _pairs_batch(rows)
+
+    return _sorted_tasks(_dealt(members, "key"), "key", []).mapInArrow(run, "a long, b long")
+
+
+def exact_trees(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Linked pairs (a, b) between components of a group: every likely pair is compared on its full sets, unless
+    links found before it in the task have joined its components."""
+
+    def run(batches):
+        for group in groups(batches, 3):
+            task, rows = _Members(group, percent), []
+            items = group.column(6 + WORDS).combine_chunks()
+            starts = np.concatenate([[0], np.cumsum(task.n)[:-1]])
+            flat = np.unique(items.flatten().to_numpy(), return_inverse=True)[1].astype(np.int32)
+            marked = np.zeros(int(flat.max(initial=0)) + 1, dtype=bool)
+            for at in range(len(task.node) - 1):
+                likely = task.likely(at)
+                if not len(likely):
                     continue
-                x = packed[others] ^ packed[at]
-                for step in (1, 2):
-                    x |= x >> np.uint64(step)
-                same = HASHES - np.bitwise_count(x & ones).sum(axis=1)
-                others = others[same >= floor]
-                if len(others):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.maximum(node[others], node[at])),
-                            pa.array(np.minimum(node[others], node[at])),
-                            pa.array(np.minimum(component[others], component[at])),
-                            pa.array(np.maximum(component[others], component[at])),
-                            pa.array(same[same >= floor].astype(np.int32)),
-                        ],
-                        ["a", "b", "low", "high", "same"],
-                    )
-
-    return dealt.mapInArrow(run, "a long, b long, low long, high long, same int")
+                own = flat[starts[at] : starts[at] + task.n[at]]
+                marked[own] = True
+                for part in np.array_split(likely, -(-len(likely) // 64)):
+                    part = part[task.root[part] != task.root[at]]
+                    if not len(part):
+                        continue
+                    sizes = task.n[part]
+                    ends = np.cumsum(sizes)
+                    places = np.arange(ends[-1]) + np.repeat(starts[part] - ends + sizes, sizes)
+                    common = np.add.reduceat(marked[flat[places]].astype(np.int64), ends - sizes)
+                    linked = common * 100 >= (sizes + task.n[at] - common) * percent
+                    for other in part[linked]:
+                        if task.join(at, other):
+                            rows.append((int(task.node[at]), int(task.node[other])))
+                marked[own] = False
+            if rows:
+                yield _pairs_batch(rows)
+
+    dealt = _dealt(members, "cluster").join(sets.select(F.col("node").alias("_of"), "items"), F.col("node") == F.col("_of"))
+    return _sorted_tasks(dealt, "cluster", ["items"]).mapInArrow(run, "a long, b long")
 
 
 def groups(batches, width: int):
@@ -313,32 +378,32 @@ def near_duplicates(documents: DataFrame, percent: int = 75, doc_id: str = "doc_
 
     stars = members.filter("node <> lowest").select(F.col("node").alias("a"), F.col("lowest").alias("b")).distinct()
     first = written(estimated(stars, classes, percent), "minhash-pairs")
-    tested = written(confirmed(first, classes, documents, doc_id, text, percent), "minhash-links")
-    links = tested.filter("linked").select("a", "b")
+    asked = first.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = written(confirmed(first, full_sets(asked, classes, documents, doc_id, text), percent), "minhash-links")
     joined = components(links)
-    for best in (3, None):
-        # Bands that still hold several components: the likeliest pairs first, then all that are left.
-        now = joined.select((F.col("node") + F.lit(0)).alias("_node"), "component")
-        facts = classes.select(F.col("node").alias("_of"), "n_shingles", *WORD_NAMES)
-        kinds = members.join(now, F.col("node") == F.col("_node"), "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component")
+
+    facts = classes.select(F.col("node").alias("_of"), "n_shingles", *WORD_NAMES)
+    now = joined.select((F.col("node") + F.lit(0)).alias("_node"), "component")
+    kinds = members.join(now, F.col("node") == F.col("_node"), "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
+    spans = kinds.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    open_keys = spans.filter("x < y").select((F.col("key") + F.lit(0)).alias("_key"))
+    kinds = kinds.join(open_keys, F.col("key") == F.col("_key")).drop("_key")
+    kinds = kinds.join(facts, F.col("node") == F.col("_of")).drop("_of")
+    trees = written(candidate_trees(kinds, percent), "minhash-trees")
+    if not trees.isEmpty():
+        # Clusters of components that likely pairs connect; within them components are compared in full.
+        clusters = components(trees.union(links)).select(F.col("node").alias("_in"), F.col("component").alias("cluster"))
+        open_clusters = clusters.join(trees.select("a"), F.col("_in") == F.col("a"), "left_semi").select(
+            F.col("cluster").alias("_cluster")
         )
-        spans = kinds.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        open_keys = spans.filter("x < y").select((F.col("key") + F.lit(0)).alias("_key"))
-        kinds = kinds.join(open_keys, F.col("key") == F.col("_key")).drop("_key")
-        kinds = kinds.join(facts, F.col("node") == F.col("_of")).drop("_of")
-        cross = _cross_pairs(kinds, percent).distinct()
-        cross = cross.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        if best:
-            top = F.min_by(F.struct("a", "b"), F.struct(-F.col("same"), "a", "b"))
-            cross = cross.groupBy("low", "high", F.pmod(F.xxhash64("a"), F.lit(best)).alias("_part")).agg(top.alias("pair"))
-            cross = cross.select("pair.a", "pair.b")
-        cross = written(cross.select("a", "b"), "minhash-pairs")
-        if cross.isEmpty():
-            break
-        more = written(confirmed(cross, classes, documents, doc_id, text, percent), "minhash-links")
-        tested = tested.select("a", "b", "linked").union(more.select("a", "b", "linked"))
-        links = tested.filter("linked").select("a", "b")
+        clusters = clusters.join(open_clusters.distinct(), F.col("cluster") == F.col("_cluster")).drop("_cluster")
+        grouped = facts.join(clusters, F.col("_of") == F.col("_in")).withColumnRenamed("_of", "node").drop("_in")
+        grouped = grouped.join(now, F.col("node") == F.col("_node"), "left").drop("_node")
+        grouped = written(grouped.withColumn("component", F.coalesce("component", "node")), "minhash-clusters")
+        sets = full_sets(grouped.select("node"), classes, documents, doc_id, text)
+        links = links.union(written(exact_trees(grouped, sets, percent), "minhash-links"))
         joined = components(links)
 
     named = classes.select("node", "digest", "first_id").join(joined, "node", "left")

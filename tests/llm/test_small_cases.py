@@ -240,3 +240,32 @@ def test_html(spark):
     )
     assert got[2] == got[3] == got[5] == ""
     assert html_extraction.extract_text(frame.limit(0), model).count() == 0
+
+
+def test_minhash_in_a_group_of_uneven_copies(spark, monkeypatch):
+    """Copies with few to many edits: similarities on both sides of the threshold, several components."""
+    monkeypatch.setattr(minhash, "BLOCK", 40)  # so that the group takes several tasks
+    random = np.random.default_rng(5)
+    texts = []
+    for base in range(3):
+        words = [f"w{base}x{i}" for i in range(150)]
+        for _ in range(100):
+            copy = list(words)
+            for at in random.integers(0, 150, random.integers(0, 14)):
+                copy[at] = f"e{random.integers(1 << 30)}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(146)} for t in texts]
+    lowest = list(range(len(texts)))
+    links = [
+        (a, b)
+        for a in range(len(texts))
+        for b in range(a)
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    ]
+    for _ in texts:
+        for a, b in links:
+            lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame).collect()}
+    assert got == dict(enumerate(lowest))
+    assert 3 < len(set(lowest)) < 250
