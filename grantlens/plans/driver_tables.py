@@ -16,26 +16,17 @@ from grantlens.schema import UNKNOWN_COUNTRY
 SECTION_LETTERS = "ABCDEFGHYZ"  # Z is not a section
 
 
-# Table schemas by path, so that a session looks into each file once and not in every query.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class DriverTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._schemas: dict[str, StructType] = {}  # so that a query looks into each file once
 
     def table(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-    def _country_names(self):
-        """Nation (25 rows at any scale) as one map value. A join with it would multiply the size
-        estimate of the supplier table and hide from the optimizer that it is small."""
-        pairs = F.collect_list(F.struct("n_nationkey", "n_name"))
-        return self.table("nation").agg(F.map_from_entries(pairs)).scalar()
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     # ---- clean model --------------------------------------------------------------------------
 
@@ -83,11 +74,12 @@ class DriverTables:
 
     @cached_property
     def inventors(self) -> DataFrame:
-        name = F.element_at(self._country_names(), F.col("s_nationkey"))
-        return self.table("supplier").select(
+        nations = self.table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+        country = F.when(F.col("s_nationkey") == 0, UNKNOWN_COUNTRY).otherwise(F.col("n_name"))
+        return self.table("supplier").join(nations, "s_nationkey", "left").select(
             F.col("s_suppkey").cast("string").alias("inventor_id"),
             F.col("s_name").alias("name"),
-            F.when(F.col("s_nationkey") == 0, UNKNOWN_COUNTRY).otherwise(name).alias("country"),
+            country.alias("country"),
         )
 
     @cached_property

@@ -121,3 +121,33 @@ def test_pushdown(spark, tables):
     assert "WindowGroupLimit" in plan(
         Q.recent_by_section(tables.patent_cpc, tables.patents())
     )
+
+
+def test_joins_read_the_links_once(spark, tmp_path, tables):
+    """Without any broadcast, as with large dimensions, a lookup is one join that reads its links once."""
+    stored = {}
+    for name in ("patent_inventor", "inventors", "patent_company", "companies", "patent_cpc"):
+        getattr(tables, name).write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pairs = Q.country_patents(stored["patent_inventor"], stored["inventors"])
+        by_section = Q.top_companies_by_section(stored["patent_cpc"], stored["patent_company"], stored["companies"])
+        plans = {2: pairs._jdf.queryExecution().executedPlan().toString(), 3: by_section._jdf.queryExecution().executedPlan().toString()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    for tables_read, plan in plans.items():
+        assert "SortMergeJoin" in plan
+        assert plan.count("FileScan parquet") == tables_read
+
+
+def test_one_join_for_all_section_reports(tables):
+    """Given the stored facts, the section reports do not join patents with sections again."""
+    facts = Q.section_facts(tables.patent_cpc, tables.patents("grant")).limit(10).cache()
+    for frame in (
+        Q.section_trends(None, None, facts=facts),
+        Q.lag_by_section(None, None, facts=facts),
+        Q.claims_by_section(None, None, facts=facts),
+    ):
+        assert "Join" not in frame._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
