@@ -254,9 +254,15 @@ def training_pages(pages: list[str], made: int = 400, seed: int = 11) -> list[tu
 
 
 def learn_chain(pages: DataFrame, sample: int = 300, html: str = "html", page_id: str = "page_id") -> ChainModel:
-    """A model from at most ``sample`` pages, those with the smallest hash of their id, and made layouts."""
-    chosen = pages.filter(F.col(html).isNotNull()).select(page_id, html).orderBy(F.xxhash64(page_id), page_id)
-    return train_chain(training_pages([r[html] for r in chosen.limit(sample).collect()]))
+    """A model from at most ``sample`` pages, those with the smallest hash of their id, and made layouts.
+
+    The ids are chosen first, so that only the sample's pages are moved.
+    """
+    usable = pages.filter(F.col(html).isNotNull() & F.col(page_id).isNotNull()).select(page_id, html)
+    by_hash = [F.xxhash64(page_id), F.col(page_id)]
+    ids = usable.select(page_id).orderBy(*by_hash).limit(sample).distinct()
+    chosen = usable.join(F.broadcast(ids), page_id, "left_semi").orderBy(*by_hash, html).limit(sample)
+    return train_chain(training_pages([r[html] for r in chosen.collect()]))
 
 
 def extract_text(pages: DataFrame, model: ChainModel, html: str = "html") -> DataFrame:
