@@ -72,7 +72,7 @@ class ContextTrees:
             gram = coded[max(0, at - self.order) : at + 1]
             bits = self.lengths.get(gram)
             if bits is None:
-                if len(self.lengths) > 400_000:
+                if len(self.lengths) > 200_000:
                     self.lengths.clear()
                 bits = self.lengths[gram] = tuple(self._bits(tree, gram) for tree in self.trees)
             total = [a + b for a, b in zip(total, bits)]
@@ -82,7 +82,7 @@ class ContextTrees:
 class Scorer:
     """Sums words' code lengths; the words are cached up to ``most_words``."""
 
-    def __init__(self, trees: ContextTrees, most_words: int = 900_000):
+    def __init__(self, trees: ContextTrees, most_words: int = 450_000):
         self.trees, self.most_words = trees, most_words
         self.width = len(trees.languages) + 1  # the last column counts letters
         self._clear()

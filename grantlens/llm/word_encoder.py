@@ -16,7 +16,7 @@ MARKS = ".,;:!?"
 class WordEncoder:
     """Ids as little-endian unsigned 32-bit numbers. ``most_words`` bounds the cache."""
 
-    def __init__(self, path: str, most_words: int = 600_000, longest: int = 64):
+    def __init__(self, path: str, most_words: int = 450_000, longest: int = 64):
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words, self.longest = most_words, longest
         self.known: dict[bytes, bytes] = {}
