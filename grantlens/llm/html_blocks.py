@@ -1,6 +1,7 @@
 """Leaf blocks of HTML pages: stretches of text between block borders, with what stands above them.
 
-Broken markup is normal: end tags may be missing or have no start, and pages may stop anywhere.
+Broken markup is normal: end tags may be missing or have no start, and pages may stop anywhere. Only the elements
+whose text is raw run to the end of the page without an end tag; every other one closes with its parent.
 """
 
 import html
@@ -9,12 +10,25 @@ from typing import NamedTuple
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|title|textarea|select|option|button)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>?"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?>"[^"]{0,5000}"|'[^']{0,5000}'|[^'">])*)>"""
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S | re.I,
 )
+#: Skipped elements whose text is no markup, and where each ends.
+RAW = {
+    tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I) for tag in ("script", "style", "textarea", "title", "iframe")
+}
+#: Skipped elements that hold elements.
+SKIPPED = frozenset("noscript template svg object select option button".split())
+#: Of these, what a new one of another or the same kind ends.
+SKIPPED_ENDS = {"option": {"option"}, "optgroup": {"option"}, "select": {"option", "select"}, "button": {"button"}}
+#: Tags that cannot stand in an image and so end it, and the image's own elements that hold page text.
+NOT_IN_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p"
+    " pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HTML_IN_SVG = frozenset(("foreignobject", "desc"))
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 INLINE = frozenset(
@@ -46,7 +60,9 @@ def blocks(page: str | None) -> list[Block]:
     """The non-empty leaf blocks in page order, with character references decoded and white space joined."""
     page = page or ""
     found: list[Block] = []
-    stack: list[tuple[str, frozenset]] = [("", frozenset())]
+    #: Block elements, each with how many inline elements are open right inside it.
+    stack: list[tuple[str, frozenset, dict[str, int]]] = [("", frozenset(), {})]
+    skipped: list[str] = []  # the outermost skipped element and what is open inside it
     text: list[str] = []
     linked, link_depth, at = 0, 0, 0
 
@@ -61,27 +77,71 @@ def blocks(page: str | None) -> list[Block]:
 
     def add(part: str):
         nonlocal linked
-        if part:
+        if part and not skipped:
             text.append(part)
             if link_depth:
                 linked += len(part)
 
-    for match in TAG.finditer(page):
+    def in_svg() -> bool:
+        return "svg" in skipped and HTML_IN_SVG.isdisjoint(skipped)
+
+    def skip(end: str, tag: str, closed: bool) -> bool:
+        """Whether the tag belongs to the skipped element; if not, that element is closed."""
+        if end:
+            if tag in skipped:
+                while skipped.pop() != tag:
+                    pass
+                return True
+            if tag in stack[-1][2] or any(tag == above for above, _, _ in stack):
+                skipped.clear()
+                return False
+            return True
+        if skipped[-1] in SKIPPED_ENDS.get(tag, ()):
+            while skipped and skipped[-1] in SKIPPED_ENDS[tag]:
+                skipped.pop()
+        elif tag == "body" or (tag in NOT_IN_SVG and skipped[0] == "svg" and in_svg()):
+            skipped.clear()
+        if skipped and not closed and tag not in VOID:
+            skipped.append(tag)
+        return bool(skipped)
+
+    while match := TAG.search(page, at):
         add(page[at : match.start()])
         at = match.end()
-        end, tag, attributes = match[2], match[3], match[4]
+        end, tag, attributes = match[1], match[2], match[3]
         if tag is None:
-            end, tag, attributes = match[5], match[6], match[7]
+            end, tag, attributes = match[4], match[5], match[6]
         if tag is None:
-            if match[1] and match[1].lower() not in ("title",):
-                text.append(" ")
             continue
         tag = tag.lower()
+        if tag in RAW and not in_svg():
+            if not end:
+                close = RAW[tag].search(page, at)
+                at = close.end() if close else len(page)
+                if tag != "title" and not skipped:
+                    text.append(" ")
+            continue
+        closed = attributes.endswith("/")
+        if skipped and skip(end, tag, closed):
+            continue
+        if tag in SKIPPED:
+            text.append(" ")
+            if not end and not closed:
+                skipped.append(tag)
+            continue
         if tag in INLINE:
             if tag == "a":
                 link_depth = 0 if end else 1
             elif tag == "br":
                 text.append(" ")
+            inside = stack[-1][2]
+            if not end:
+                if tag not in VOID:
+                    inside[tag] = inside.get(tag, 0) + 1
+            elif inside.get(tag, 0) > 1:
+                inside[tag] -= 1
+            else:
+                inside.pop(tag, None)
             continue
         flush()
         link_depth = 0
@@ -91,13 +151,13 @@ def blocks(page: str | None) -> list[Block]:
                     del stack[depth:]
                     break
             continue
-        if tag in VOID or attributes.endswith("/"):
+        if tag in VOID or closed:
             continue
         if stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
             stack.pop()
         if len(stack) > 1 and stack[-1][0] in ENDS.get(tag, ()):
             stack.pop()
-        stack.append((tag, stack[-1][1] | _own(tag, attributes)))
+        stack.append((tag, stack[-1][1] | _own(tag, attributes), {}))
     add(page[at:])
     flush()
     return found

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.llm import (
-    graph_search, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc,
+    graph_search, html_blocks, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -242,6 +242,27 @@ def test_html(spark):
     assert html_extraction.extract_text(frame.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<svg viewBox='0 0 1 1'/>", "<svg-icon></svg-icon>", "<button-group></button-group>", "<title-bar></title-bar>",
+        "<datalist><option>x<option>y</datalist>", "<select><optgroup><option>x</optgroup><option>y</select>",
+        "<div><button>x</div>", "<span><button>x</span>", "<div><button>x<button>y</button></div>",
+        "<div><noscript><p>x</div>", "<div><object><div>x</div></div>", "<ul><li><template><b>x</ul>", "<a><svg><path></a>",
+        "<svg><style>a</svg>", "<svg><title>x</title><path d=''/><g></svg>", "<svg><path>", "<script>x</script type='a'>",
+        "<noscript><div>x</div>x</noscript>", "<template><div>x</div><p>x</template>",
+    ],
+)
+def test_html_skips_no_more_than_the_element(part):
+    page = f"<body><p>before</p>{part}<p>after <i>it</i></p><div>last</div></body>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["before", "after it", "last"]
+
+
+def test_html_skipped_elements_leave_text_whole():
+    page = "<p>one <a>two</a><button><p>x</p></button><svg><g/></svg> three<select><option>x</select>four</p><textarea>x<p>y"
+    assert html_blocks.blocks(page) == [("one two three four", {"t:p"}, "p", 3)]
+
+
 def test_minhash_in_a_group_of_uneven_copies(spark, monkeypatch):
     """Copies with few to many edits: similarities on both sides of the threshold, several components."""
     monkeypatch.setattr(minhash, "BLOCK", 40)  # so that the group takes several tasks
