@@ -20,6 +20,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.most_words, self.longest = most_words, longest
         self.known: dict[bytes, bytes] = {}
+        self.splits: dict[str, bool] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
@@ -41,6 +42,13 @@ class WordEncoder:
         raw, at = ids.tobytes(), [0, *(cuts * 4).tolist()]
         return [raw[a:b] for a, b in zip(at, at[1:])]
 
+    def _splits_after(self, letter: str) -> bool:
+        """Whether a mark stays apart from a letter before it: not if the normalizer ends the letter with a sign of its own."""
+        if letter not in self.splits:
+            both, alone, mark = self._whole([letter + MARKS[0], letter, MARKS[0]])
+            self.splits[letter] = both == alone + mark
+        return self.splits[letter]
+
     def _learn(self, unseen: Iterable[bytes]) -> dict[bytes, bytes]:
         letters, ended, others = {}, [], []
         for word in unseen:
@@ -48,6 +56,9 @@ class WordEncoder:
             if text.isalpha():
                 letters[word] = text
             elif text[-1] in MARKS and text[:-1].isalpha():
+                if not self._splits_after(text[-2]):
+                    others.append((word, text))
+                    continue
                 ended.append((word, word[:-1], text[-1]))
                 if word[:-1] not in self.known:
                     letters[word[:-1]] = text[:-1]
@@ -64,8 +75,9 @@ class WordEncoder:
         split = []
         for text in texts:
             raw = (text or "").encode("utf-8", "replace")
-            # The strings of special tokens are matched as written; otherwise case does not count.
-            split.append((raw if b"<|" in raw else raw.lower()).split())
+            # The strings of special tokens are matched as written, and a letter with a combining mark (U+0300 to U+033F, U+0344)
+            # may compose in one case only; otherwise case does not count.
+            split.append((raw if b"<|" in raw or b"\xcc" in raw or b"\xcd\x84" in raw else raw.lower()).split())
         if len(self.known) > self.most_words:
             self.known.clear()
         unseen = set().union(*split).difference(self.known)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.llm import (
-    graph_search, html_blocks, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc,
+    graph_search, html_blocks, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc, word_encoder,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -173,6 +173,17 @@ def test_token_shards(spark, odd_docs, no_docs):
     assert token_shards.list_shards(spark, place).count() == 0
 
 
+def test_words_with_marks_have_the_ids_of_the_tokenizer():
+    encoder = word_encoder.WordEncoder(WORD_BPE)
+    words = [base + mark for base in ("BELEDİYESİ", "İ", "a\u0958", "\u09dc", "Σ", "word", "é") for mark in ("", *".,;:!?")]
+    words += ["H\u0331", "T\u0308.", "J\u030c", "I\u0307."]
+    texts = [*words, " ".join(words), "Yeni BELEDİYESİ. <|endoftext|> ve İ, son"]
+    expected = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert [encoder.encode_all([t])[0] for t in texts] == expected
+    assert encoder.encode_all(texts) == expected
+    assert word_encoder.WordEncoder(WORD_BPE).encode_all(texts) == expected
+
+
 def test_perfect_hash_is_minimal():
     keys = np.unique(np.random.default_rng(1).integers(-(2**62), 2**62, 10_000))
     slots = token_shards.PerfectHash.build(keys).slots(keys)
