@@ -11,8 +11,8 @@ from typing import NamedTuple
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<[!?][^>]*>?"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?>"[^"]{0,5000}"|'[^']{0,5000}'|[^'">])*)>"""
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    # A value runs to its closing quote; where the page has none, the quote is like any other character.
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?>[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)(?:>|\Z)""",
     re.S | re.I,
 )
 #: Skipped elements whose text is no markup, and where each ends.
@@ -62,7 +62,9 @@ def blocks(page: str | None) -> list[Block]:
     found: list[Block] = []
     #: Block elements, each with how many inline elements are open right inside it.
     stack: list[tuple[str, frozenset, dict[str, int]]] = [("", frozenset(), {})]
-    skipped: list[str] = []  # the outermost skipped element and what is open inside it
+    #: The outermost skipped element and what is open inside it, each with whether what follows belongs to an image.
+    skipped: list[tuple[str, bool]] = []
+    counts: dict[str, int] = {}  # of the tags there
     text: list[str] = []
     linked, link_depth, at = 0, 0, 0
 
@@ -83,34 +85,45 @@ def blocks(page: str | None) -> list[Block]:
                 linked += len(part)
 
     def in_svg() -> bool:
-        return "svg" in skipped and HTML_IN_SVG.isdisjoint(skipped)
+        return bool(skipped) and skipped[-1][1]
+
+    def push(tag: str):
+        skipped.append((tag, tag == "svg" or (in_svg() and tag not in HTML_IN_SVG)))
+        counts[tag] = counts.get(tag, 0) + 1
+
+    def pop() -> str:
+        tag, _ = skipped.pop()
+        counts[tag] -= 1
+        return tag
+
+    def leave():
+        skipped.clear()
+        counts.clear()
 
     def skip(end: str, tag: str, closed: bool) -> bool:
         """Whether the tag belongs to the skipped element; if not, that element is closed."""
         if end:
-            if tag in skipped:
-                while skipped.pop() != tag:
+            if counts.get(tag):
+                while pop() != tag:
                     pass
                 return True
             if tag in stack[-1][2] or any(tag == above for above, _, _ in stack):
-                skipped.clear()
+                leave()
                 return False
             return True
-        if skipped[-1] in SKIPPED_ENDS.get(tag, ()):
-            while skipped and skipped[-1] in SKIPPED_ENDS[tag]:
-                skipped.pop()
-        elif tag == "body" or (tag in NOT_IN_SVG and skipped[0] == "svg" and in_svg()):
-            skipped.clear()
+        if skipped[-1][0] in SKIPPED_ENDS.get(tag, ()):
+            while skipped and skipped[-1][0] in SKIPPED_ENDS[tag]:
+                pop()
+        elif tag == "body" or (tag in NOT_IN_SVG and skipped[0][0] == "svg" and in_svg()):
+            leave()
         if skipped and not closed and tag not in VOID:
-            skipped.append(tag)
+            push(tag)
         return bool(skipped)
 
     while match := TAG.search(page, at):
         add(page[at : match.start()])
         at = match.end()
         end, tag, attributes = match[1], match[2], match[3]
-        if tag is None:
-            end, tag, attributes = match[4], match[5], match[6]
         if tag is None:
             continue
         tag = tag.lower()
@@ -127,7 +140,7 @@ def blocks(page: str | None) -> list[Block]:
         if tag in SKIPPED:
             text.append(" ")
             if not end and not closed:
-                skipped.append(tag)
+                push(tag)
             continue
         if tag in INLINE:
             if tag == "a":

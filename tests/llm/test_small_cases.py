@@ -274,6 +274,15 @@ def test_html_skipped_elements_leave_text_whole():
     assert html_blocks.blocks(page) == [("one two three four", {"t:p"}, "p", 3)]
 
 
+def test_html_attribute_values_of_any_length():
+    value = "<p>x</p>" * 2000
+    page = f"""<article data-x='{value}' class="story"><p title = "{value}">text</p><a href=/?a="b>link</a></article><p alt="x>end"""
+    got = html_blocks.blocks(page)
+    assert [b.text for b in got] == ["text", "link", "end"] and all("n:story" in b.above for b in got[:2])
+    assert [b.text for b in html_blocks.blocks("<p title='5' tall'>it's <b>5'</b></p><p>more</p>")] == ["it's 5'", "more"]
+    assert html_blocks.blocks("<p x=\"'>" * 100_000) == []
+
+
 def test_minhash_in_a_group_of_uneven_copies(spark, monkeypatch):
     """Copies with few to many edits: similarities on both sides of the threshold, several components."""
     monkeypatch.setattr(minhash, "BLOCK", 40)  # so that the group takes several tasks
