@@ -38,7 +38,6 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Block tags that one of the same kind ends, and what a new block ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-MOST_WORDS = 12  # of an element's class, id and role names
 
 
 class Block(NamedTuple):
@@ -52,7 +51,7 @@ def _own(tag: str, attributes: str) -> set[str]:
     found = {f"t:{tag}"}
     if attributes and "=" in attributes:
         names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
-        found.update(f"n:{w.lower()}" for w in WORD.findall(names)[:MOST_WORDS])
+        found.update(f"n:{w.lower()}" for w in WORD.findall(names))
     return found
 
 

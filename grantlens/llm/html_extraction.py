@@ -60,12 +60,15 @@ class ChainModel:
     def __init__(self, weights: dict[str, float], steps: list[list[float]]):
         self.weights, self.steps = weights, steps
         self._above: dict[frozenset, float] = {}
+        self._held = 0  # names in its keys
 
     def _score_above(self, above: frozenset) -> float:
         score = self._above.get(above)
         if score is None:
-            if len(self._above) > 50_000:
+            self._held += len(above)
+            if self._held > 1_000_000:
                 self._above.clear()
+                self._held = len(above)
             score = self._above[above] = sum(self.weights.get(name, 0.0) for name in sorted(above))
         return score
 

@@ -283,6 +283,13 @@ def test_html_attribute_values_of_any_length():
     assert html_blocks.blocks("<p x=\"'>" * 100_000) == []
 
 
+def test_html_sees_all_names_of_an_element():
+    names = " ".join(f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}-1/4" for i in range(100))
+    model = html_extraction.ChainModel({"": 1.0, "n:sidebar": -2.0}, [[0.0, 0.0], [0.0, 0.0]])
+    page = f"<div class='{names}'><p>taken</p></div><div class='{names} sidebar' id=x><p>left out</p></div>"
+    assert model.extract(page) == "taken"
+
+
 def test_minhash_in_a_group_of_uneven_copies(spark, monkeypatch):
     """Copies with few to many edits: similarities on both sides of the threshold, several components."""
     monkeypatch.setattr(minhash, "BLOCK", 40)  # so that the group takes several tasks
