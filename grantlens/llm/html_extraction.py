@@ -12,6 +12,7 @@ corpus may not have: side columns, notices, forms and reader comments under many
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -238,14 +239,14 @@ def training_pages(pages: list[str], made: int = 400, seed: int = 11) -> list[tu
     """Labelled pages from a bounded list of raw ones, and ``made`` layouts filled with their text."""
     rng = random.Random(seed)
     labelled, paragraphs, phrases = [], [], []
-    for number, raw in enumerate(pages):
+    for raw in pages:
         page = blocks(raw)
         for block in page:
             (paragraphs if block.text.count(" ") > 11 else phrases).append(block.text)
         labels = self_labelled(page)
         if labels is None:
             continue
-        if number % 2:
+        if len(labelled) % 2:
             page = [b._replace(above=b.above - MARKS) for b in page]
         labelled.append((page, labels))
     paragraphs = paragraphs or ["This is a line of text that stands for a whole paragraph of some article here."]
@@ -257,17 +258,33 @@ def training_pages(pages: list[str], made: int = 400, seed: int = 11) -> list[tu
 
 
 def learn_chain(pages: DataFrame, sample: int = 300, html: str = "html", page_id: str = "page_id") -> ChainModel:
-    """A model from at most ``sample`` pages, those with the smallest hash of their id, and made layouts.
+    """A model from at most ``sample`` pages and made layouts.
 
-    The ids are chosen first, so that only the sample's pages are moved.
+    Of all pages that mark their article those with the smallest hash of their id; if they are too few, other pages
+    by the same order, whose text fills the layouts. The ids are chosen first, so that only the sample's pages are moved.
     """
     usable = pages.filter(F.col(html).isNotNull() & F.col(page_id).isNotNull()).select(page_id, html)
-    by_hash = [F.xxhash64(page_id), F.col(page_id)]
-    ids = usable.select(page_id).orderBy(*by_hash).limit(sample).distinct()
-    chosen = usable.join(F.broadcast(ids), page_id, "left_semi").orderBy(*by_hash, html).limit(sample)
+    schema = type(usable.schema)([usable.schema[page_id]]).add("_unmarked", "boolean")
+    marked = usable.mapInArrow(_find_marked, schema)
+    ids = marked.orderBy("_unmarked", F.xxhash64(page_id), page_id).limit(sample)
+    ids = ids.groupBy(page_id).agg(F.min("_unmarked").alias("_unmarked"))
+    chosen = usable.join(F.broadcast(ids), page_id).orderBy("_unmarked", F.xxhash64(page_id), page_id, html).limit(sample)
     return train_chain(training_pages([r[html] for r in chosen.collect()]))
 
 
+MAY_MARK = re.compile(r"<(?:article|main)[\s/>]", re.I)
+
+
+def _find_marked(batches):
+    """(page id, whether the page leaves its article unmarked) of (page id, page)."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 500):
+            part = batch.slice(first, 500)
+            pages = (p.as_py() for p in part.column(1))
+            unmarked = [not MAY_MARK.search(p) or self_labelled(blocks(p)) is None for p in pages]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(unmarked, pa.bool_())], [batch.schema.names[0], "_unmarked"])
+
+
 def extract_text(pages: DataFrame, model: ChainModel, html: str = "html") -> DataFrame:
     """All rows with ``main_text`` and ``main_chars``, its number of code points.
 

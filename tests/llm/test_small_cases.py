@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantlens.llm import (
-    graph_search, html_blocks, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc, word_encoder,
+    graph_search, html_blocks, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter,
+    warc, word_encoder,
 )
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -290,6 +291,16 @@ def test_html_sees_all_names_of_an_element():
     assert model.extract(page) == "taken"
 
 
+def test_html_learns_from_pages_that_mark_their_article(spark, monkeypatch):
+    plain, marked = "<div><p>plain</p></div><!-- <article> -->", "<article><p>marked</p></article>"
+    rows = [(i, marked if i % 50 == 7 else plain) for i in range(400)]
+    frame = spark.createDataFrame([*rows, (None, marked), (5, None)], "page_id long, html string")
+    monkeypatch.setattr(html_extraction, "training_pages", list)
+    monkeypatch.setattr(html_extraction, "train_chain", list)
+    assert html_extraction.learn_chain(frame, sample=5) == [marked] * 5
+    assert html_extraction.learn_chain(frame, sample=20) == [marked] * 8 + [plain] * 12
+
+
 def test_minhash_in_a_group_of_uneven_copies(spark, monkeypatch):
     """Copies with few to many edits: similarities on both sides of the threshold, several components."""
     monkeypatch.setattr(minhash, "BLOCK", 40)  # so that the group takes several tasks
