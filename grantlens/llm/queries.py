@@ -3,7 +3,10 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from grantlens.llm import graph_search, html_extraction, language, minhash, mixing, packing, rotation_codes, token_shards, url_filter, warc
+from grantlens.llm import (
+    alignment, graph_search, html_extraction, language, minhash, mixing, packing, pivot_codes, positional_index, rotation_codes,
+    token_shards, url_filter, warc,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -146,3 +149,79 @@ def op10_html_extraction(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     found = html_extraction.extract_text(pages, html_extraction.learn_chain(pages))
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.col("main_chars").alias("n_chars"))
+
+
+@register
+def op11_positional_index(spark, folder):
+    return positional_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+ORACLES["op11_positional_index"] = f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, words[i : i + least(10, len(words)) - 1] AS w
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+starts AS (
+  SELECT doc_id, words, width, unnest(range(1, len(words) - width + 2)) AS i
+  FROM docs, (SELECT DISTINCT len(w) AS width FROM windows)),
+found AS (
+  SELECT doc_id, i, width, item_id FROM (SELECT doc_id, i, width, words[i : i + width - 1] AS w FROM starts) JOIN windows USING (w)),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + width)) AS place FROM (SELECT DISTINCT doc_id, i, width FROM found)) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(hits.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@register
+def op12_pivot_codes(spark, folder):
+    return pivot_codes.compress(table(spark, folder, "embeddings"))
+
+
+def _pivot_codes_sql():
+    """Every distance in full; part length 4, as the table has vectors of 64."""
+    square = " + ".join(f"(v[{i}] - w[{i}]) * (v[{i}] - w[{i}])" for i in range(1, 5))
+    mean = ", ".join(f"CAST(floor(sum(v[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+    steps = []
+    for n in range(3):
+        steps.append(f"""near{n} AS (
+  SELECT vec_id, label, p, any_value(v) AS v, min(CAST({square} AS BIGINT)) AS d, arg_min(e, CAST({square} AS BIGINT) * 64 + e) AS e
+  FROM parts JOIN book{n} USING (p) GROUP BY vec_id, label, p)""")
+        if n < 2:
+            steps.append(f"""book{n + 1} AS (
+  SELECT p, e, coalesce(any_value(m), any_value(w)) AS w FROM book{n}
+  LEFT JOIN (SELECT p, e, [{mean}] AS m FROM near{n} GROUP BY p, e) USING (p, e) GROUP BY p, e)""")
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+parts AS (SELECT vec_id, label, p, q[p * 4 + 1 : p * 4 + 4] AS v FROM kept, range(16) t(p)),
+book0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v AS w FROM parts
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64),
+{",".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM coded
+"""
+
+
+ORACLES["op12_pivot_codes"] = _pivot_codes_sql()
+
+
+@register
+def op13_alignment(spark, folder):
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, folder, "documents"), *files)
