@@ -170,11 +170,11 @@ def find_near(postings: DataFrame, windows: DataFrame, span: int, kept) -> DataF
             return F.array_min(F.transform(later, lambda x: x["pos"]))
 
         ends = F.transform("terms", first_at)
-        stop = F.when(~F.exists(ends, lambda x: x.isNull()), F.array_max(ends))
+        stop = F.when(~F.exists(ends, lambda x: x.isNull()), F.greatest(F.array_max(ends), "anchor"))
         return F.struct((stop - start).alias("length"), start.alias("start"), stop.alias("stop"))
 
     starts = F.filter(F.array_distinct("near.pos"), lambda at: at <= F.col("anchor"))
-    stretches = F.filter(F.transform(starts, stretch), lambda x: (x["length"] < span) & (x["stop"] >= F.col("anchor")))
+    stretches = F.filter(F.transform(starts, stretch), lambda x: x["length"] < span)
     best = near.withColumn("_best", F.array_min(stretches)).filter("_best IS NOT NULL")
     return best.select("row", "item.item", "item.words", "_best.start", "_best.stop")
 
