@@ -2,8 +2,8 @@
 
 A task writes its pages into gzip archives, one member per record, a stretch of the payload at a time. Of
 pages with equal payloads one is stored in full and the others refer to it. Reading gives one row per record and
-chunk number: no payload is ever held whole, and each row carries the digest of the payload up to and with its
-chunk, so the last one has the whole payload's digest without a second pass or a gathering of chunks.
+chunk number: no payload is ever held whole, and each row carries size and digest of the payload up to and with its
+chunk, so the last one has the whole payload's without a second pass or a gathering of chunks.
 
 Files have names that no other attempt has; the manifest, a Spark table, names those of the attempts that counted.
 """
@@ -37,13 +37,16 @@ CHUNKS = pa.schema(
         ("declared_digest", pa.string()),
         ("chunk_no", pa.int64()),
         ("chunk", pa.binary()),
+        ("bytes_so_far", pa.int64()),
         ("digest_so_far", pa.string()),
         ("is_last", pa.bool_()),
+        ("digest_fits", pa.bool_()),
     ]
 )
 CHUNK_COLUMNS = (
     "archive string, record_no long, record_id string, record_type string, page_id long, refers_to long, payload_bytes long,"
-    " declared_digest string, chunk_no long, chunk binary, digest_so_far string, is_last boolean"
+    " declared_digest string, chunk_no long, chunk binary, bytes_so_far long, digest_so_far string, is_last boolean,"
+    " digest_fits boolean"
 )
 
 
@@ -170,7 +173,12 @@ def _fields(stream) -> dict[str, str]:
 
 
 def record_chunks(stream, chunk_bytes: int = CHUNK_BYTES) -> Iterator[dict]:
-    """Chunk rows of an archive's records, in file order; a record without payload has one empty chunk."""
+    """Chunk rows of an archive's records, in file order; a record without payload has one empty chunk.
+
+    Records of every type are read. Where a record holds an HTTP message the payload is its body, otherwise the whole
+    block. What a record does not say (its id, a digest, a page) is null. ``digest_fits`` is told in the last row of a
+    record that is no revisit and declares a SHA-1 of its payload.
+    """
     number = 0
     while True:
         start = stream.read(1)
@@ -179,33 +187,41 @@ def record_chunks(stream, chunk_bytes: int = CHUNK_BYTES) -> Iterator[dict]:
         if start in b"\r\n":
             continue
         head = _fields(stream)
-        left = int(head["content-length"])
-        before = stream.tell()
-        http = _fields(stream)
-        left -= stream.tell() - before
+        left = int(head.get("content-length", 0))
+        before, http = stream.tell(), {}
+        if left and head.get("content-type", "").lower().startswith("application/http"):
+            http = _fields(stream)
+            left -= stream.tell() - before
         number += 1
-        whole = int(http.get("content-length", left))
+        is_revisit = head.get("warc-type") == "revisit"
+        told = http.get("content-length", "")
+        declared = head.get("warc-payload-digest")
         row = {
             "record_no": number,
-            "record_id": head["warc-record-id"],
-            "record_type": head["warc-type"],
+            "record_id": head.get("warc-record-id"),
+            "record_type": head.get("warc-type"),
             "page_id": int(head["x-page-id"]) if "x-page-id" in head else None,
             "refers_to": int(head["x-refers-to-page-id"]) if "x-refers-to-page-id" in head else None,
-            "payload_bytes": whole,
-            "declared_digest": head["warc-payload-digest"].removeprefix("sha1:"),
+            "payload_bytes": int(told) if is_revisit and told.isdigit() else left,
+            "declared_digest": declared and declared.removeprefix("sha1:"),
         }
-        running, at = hashlib.sha1(), 0
+        compared = not is_revisit and declared is not None and declared.startswith("sha1:")
+        running, at, read = hashlib.sha1(), 0, 0
         while True:
             chunk = stream.read(min(chunk_bytes, left))
             left -= len(chunk)
             if left and not chunk:
                 raise EOFError(f"record {row['record_id']} ends {left} bytes early")
             running.update(chunk)
+            read += len(chunk)
+            digest = base32(running.copy().digest())
             yield row | {
                 "chunk_no": at,
                 "chunk": chunk,
-                "digest_so_far": base32(running.copy().digest()),
+                "bytes_so_far": read,
+                "digest_so_far": digest,
                 "is_last": left == 0,
+                "digest_fits": digest == row["declared_digest"] if compared and left == 0 else None,
             }
             at += 1
             if not left:
@@ -231,28 +247,21 @@ def read_chunks(spark: SparkSession, folder: str, chunk_bytes: int = CHUNK_BYTES
                     yield pa.RecordBatch.from_pylist(rows, schema=CHUNKS)
 
     manifest = spark_manifest(spark, folder).select("archive")
-    return manifest.repartition(F.col("archive")).mapInArrow(run, CHUNK_COLUMNS)
+    # A number of partitions that is given is kept; without it all the short rows of a manifest come to one task.
+    return manifest.repartitionByRange(max(manifest.count(), 1), "archive").mapInArrow(run, CHUNK_COLUMNS)
 
 
 def page_records(chunks: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to), a row for each record.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to), a row for each response and revisit.
 
-    A response's digest and size are those of the chunks read; a revisit's are those it declares.
+    A response's digest and size are those of the chunks read, as its last row says; a revisit's are those it declares.
     """
-    one = chunks.groupBy("archive", "record_no").agg(
-        F.first("page_id").alias("page_id"),
-        F.first("record_type").alias("record_type"),
-        F.first("refers_to").alias("refers_to"),
-        F.first("declared_digest").alias("declared"),
-        F.first("payload_bytes").alias("whole"),
-        F.sum(F.octet_length("chunk")).cast("long").alias("read"),
-        F.max(F.when(F.col("is_last"), F.col("digest_so_far"))).alias("digest"),
-    )
     stored = F.col("record_type") == "response"
-    return one.select(
+    last = chunks.filter(F.col("is_last") & F.col("record_type").isin("response", "revisit"))
+    return last.select(
         "page_id",
-        F.when(stored, F.col("read")).otherwise(F.col("whole")).alias("payload_bytes"),
-        F.when(stored, F.col("digest")).otherwise(F.col("declared")).alias("payload_digest"),
+        F.when(stored, F.col("bytes_so_far")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(stored, F.col("digest_so_far")).otherwise(F.col("declared_digest")).alias("payload_digest"),
         "record_type",
         "refers_to",
     )
