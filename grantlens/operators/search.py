@@ -1,16 +1,20 @@
 """Ranked text search over patents: an inverted index kept in DataFrames.
 
-The index has four tables: ``postings`` (term, patent_id, tf, doc_len), ``documents`` (patent_id,
+The index has four tables: ``postings`` (term, patent_id, tf, doc_len, positions), ``documents`` (patent_id,
 doc_len), ``terms`` (term, n_docs, n_hits) and the one-row ``corpus`` (n_docs, n_tokens). The document
-length is repeated in the postings so that scoring needs no join by document. Stored indexes, and keeping
-them current, are in ``grantlens.sources.index_store``.
+length is repeated in the postings so that scoring needs no join by document. Positions count the words of title and
+abstract together, with one free place between the two, so that no phrase runs from one into the other. Stored indexes,
+and keeping them current, are in ``grantlens.sources.index_store``.
 """
 
+from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from grantlens.functions.joins import if_small
 from grantlens.functions.ranking import top_n_per_group
 from grantlens.functions.stem import stem as stem_of
 from grantlens.functions.text import (
@@ -21,9 +25,16 @@ from grantlens.functions.text import (
     raw_words,
 )
 from grantlens.schema import DAYS_PER_YEAR
+from grantlens.sources.storage import written, written_while
 
 # The usual BM25 parameters and the least weight of a term.
 K1, B, MIN_IDF = 1.2, 0.75, 1e-6
+BANDS = 8  # of document lengths, to each doubling
+FIRST = 4  # times k: how many hits the first bands of a query may have together
+GRAM, RAREST = 3, 4  # characters of a title gram; how many grams of a query are looked up
+MOST_HITS = 200_000  # that are broadcast
+MOST_SPANS = 500  # terms whose bands are told to the reader
+ROUNDING = 2e-6  # by which scores and bounds may differ
 # The columns of a result table.
 RESULT_COLUMNS = [
     "patent_id",
@@ -45,11 +56,12 @@ class SearchIndex:
     stemmed: bool = False
     tokenizer: str = "ascii"
     buckets: int = 0  # of a stored index: the postings are in folders by term bucket
+    blocks: DataFrame | None = None  # of a stored index: (bucket, term, band, n, max_tf, min_len) of its postings
     dead: DataFrame | None = None  # of a stored index: (patent_id, segment) whose postings no longer count
 
     def live_postings(self) -> DataFrame:
-        """(term, patent_id, tf, doc_len) of everything that counts."""
-        return without_dead(self.postings, self.dead).select("term", "patent_id", "tf", "doc_len")
+        """(term, patent_id, tf, doc_len, positions) of everything that counts."""
+        return without_dead(self.postings, self.dead).select("term", "patent_id", "tf", "doc_len", "positions")
 
 
 def without_dead(postings: DataFrame, dead: DataFrame | None) -> DataFrame:
@@ -84,17 +96,18 @@ def doc_lengths(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
 
 
 def _words(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(patent_id, doc_len, term), one row per word of title and abstract.
+    """(patent_id, doc_len, position, term), one row per word of title and abstract.
 
     The outer explode is on purpose: for a plain one Spark infers a filter on the array and moves it
     to the scan, which splits every text a second time.
     """
-    words = F.concat(raw_words(F.col("title"), tokenizer), raw_words(F.col("abstract"), tokenizer))
+    title, abstract = (raw_words(F.col(c), tokenizer) for c in ("title", "abstract"))
+    words = F.concat(title, F.array(F.lit("")), abstract)
     return (
         docs.select("patent_id", words.alias("words"))
-        .select("patent_id", F.size("words").alias("doc_len"), F.explode_outer("words").alias("word"))
-        .filter(F.col("word").isNotNull())
-        .select("patent_id", "doc_len", fold_case(F.col("word"), tokenizer).alias("term"))
+        .select("patent_id", (F.size("words") - 1).alias("doc_len"), F.posexplode_outer("words").alias("position", "word"))
+        .filter("word <> ''")
+        .select("patent_id", "doc_len", "position", fold_case(F.col("word"), tokenizer).alias("term"))
     )
 
 
@@ -110,19 +123,14 @@ def vocabulary(docs: DataFrame, tokenizer: str = "ascii") -> DataFrame:
 
 
 def make_postings(docs: DataFrame, stem: bool = False, tokenizer: str = "ascii") -> DataFrame:
-    """(term, patent_id, tf, doc_len)."""
-    counted = (
-        _words(docs, tokenizer)
-        .groupBy("patent_id", "doc_len", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    if stem:
-        counted = (
-            counted.withColumn("term", stem_of(F.col("term")))
-            .groupBy("patent_id", "doc_len", "term")
-            .agg(F.sum("tf").alias("tf"))
-        )
-    return counted.select("term", "patent_id", "tf", "doc_len")
+    """(term, patent_id, tf, doc_len, positions)."""
+    key = ["patent_id", "doc_len", "term"]
+    placed = _words(docs, tokenizer).groupBy(*key).agg(F.collect_list("position").alias("positions"))
+    if stem:  # each word of a document once
+        stems = placed.withColumn("term", stem_of(F.col("term"))).groupBy(*key)
+        placed = stems.agg(F.flatten(F.collect_list("positions")).alias("positions"))
+    tf = F.size("positions").cast("bigint").alias("tf")
+    return placed.select("term", "patent_id", tf, "doc_len", F.sort_array("positions").alias("positions"))
 
 
 def term_counts(postings: DataFrame, sign: int = 1) -> DataFrame:
@@ -163,9 +171,14 @@ def scan_index(docs: DataFrame, tokenizer: str = "ascii") -> SearchIndex:
     )
 
 
-def bucket_of(buckets: int) -> Column:
+def band_of() -> Column:
+    """Documents of about the same length are a band; within one, a term's gain hangs on how often it occurs."""
+    return F.floor(F.log2(F.col("doc_len") + 1) * BANDS).cast("int").alias("band")
+
+
+def bucket_of(buckets: int, key: str = "term") -> Column:
     """The folder of a term's postings."""
-    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
 
 
 # ---- queries ----------------------------------------------------------------------------------
@@ -198,12 +211,22 @@ def malformed_queries(queries: DataFrame) -> DataFrame:
     return _spaced(queries).filter(_lacks_a_side()).select("query_id", "query")
 
 
+def _units(words: Column, stem: bool, tokenizer: str) -> Column:
+    """What stands between spaces, as tokens joined by a space: several tokens are a phrase."""
+
+    def unit(chunk: Column) -> Column:
+        folded = F.transform(raw_words(chunk, tokenizer), lambda word: fold_case(word, tokenizer))
+        return F.array_join(F.transform(folded, stem_of) if stem else folded, " ")
+
+    return F.array_remove(F.transform(F.split(F.trim(words), " +"), unit), "")
+
+
 def query_terms(queries: DataFrame, stem: bool = False, tokenizer: str = "ascii") -> DataFrame:
     """The terms of the well-formed queries, one row per (group, term).
 
     NOT binds tightest, then AND, then OR; words side by side form a group. So a query is a list of
-    alternatives, each a list of clauses, each a wanted group (part 0) and unwanted ones. All of it is
-    projections of the query text.
+    alternatives, each a list of clauses, each a wanted group (part 0) and unwanted ones. Words joined by underscores
+    are one term, a phrase: its words with spaces between. All of it is projections of the query text.
     """
     group = ["query_id", "alt", "clause", "n_clauses", "part"]
     parts = (
@@ -214,15 +237,8 @@ def query_terms(queries: DataFrame, stem: bool = False, tokenizer: str = "ascii"
         .select("*", F.posexplode("clauses").alias("clause", "text"))
         .withColumn("n_clauses", F.size("clauses"))
         .select("*", F.posexplode(F.split("text", " NOT ")).alias("part", "words"))
-        .select(
-            *group,
-            F.transform(
-                raw_words(F.col("words"), tokenizer), lambda word: fold_case(word, tokenizer)
-            ).alias("words"),
-        )
+        .select(*group, _units(F.col("words"), stem, tokenizer).alias("words"))
     )
-    if stem:
-        parts = parts.withColumn("words", F.transform("words", stem_of))
     return parts.select(
         *group, "words", F.explode(F.array_distinct("words")).alias("term")
     ).select(
@@ -233,40 +249,113 @@ def query_terms(queries: DataFrame, stem: bool = False, tokenizer: str = "ascii"
     )
 
 
-def _term_weights(index: SearchIndex, wanted: DataFrame, stats: Column) -> DataFrame:
+def phrase_postings(index: SearchIndex, phrases: DataFrame) -> DataFrame:
+    """(term, patent_id, tf, doc_len) of phrases (term: words with spaces between): where all words follow each other.
+
+    The lists of the words, each moved back by the word's place in the phrase, are intersected for each patent: a
+    group has one list for each word.
+    """
+    words = phrases.select(F.col("term").alias("phrase"), F.split("term", " ").alias("words"))
+    words = words.select("phrase", F.size("words").alias("n"), F.posexplode("words").alias("offset", "term"))
+    keys = ["term"]
+    if index.buckets:
+        words, keys = words.withColumn("bucket", bucket_of(index.buckets)), ["bucket", "term"]
+    found = without_dead(index.postings.join(if_small(words), keys), index.dead)
+    starts = F.transform("positions", lambda at: at - F.col("offset")).alias("starts")
+    lists = found.select("phrase", "patent_id", "doc_len", "n", starts).groupBy("phrase", "patent_id", "doc_len", "n")
+    whole = lists.agg(F.collect_list("starts").alias("lists")).filter(F.size("lists") == F.col("n"))
+    common = F.aggregate("lists", F.get("lists", F.lit(0)), lambda kept, starts: F.array_intersect(kept, starts))
+    counted = whole.select(F.col("phrase").alias("term"), "patent_id", F.size(common).cast("bigint").alias("tf"), "doc_len")
+    return counted.filter("tf > 0")
+
+
+def _term_weights(counts: DataFrame, wanted: DataFrame, stats: Column) -> DataFrame:
     df = F.col("n_docs")
     idf = F.log((stats["n_docs"] - df + 0.5) / (df + 0.5))
     # Reading n_hits as well keeps this branch equal to the one that finds the hits, so that over an
     # index that is not stored Spark counts the words once and reuses that shuffle.
     weight = F.when(F.col("n_hits") > 0, F.greatest(idf, F.lit(MIN_IDF)))
-    return index.terms.join(wanted, "term", "left_semi").select("term", weight.alias("idf"))
+    return counts.join(wanted, "term", "left_semi").select("term", weight.alias("idf"))
 
 
 def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
     """The k best patents per query: (query_id, patent_id, score).
 
     The words of a query are wanted together, in title or abstract; AND, OR and NOT in upper case are
-    operators. The score sums BM25 over the wanted words of every alternative that holds, rounded to 6
-    decimals; ties go by patent_id.
+    operators, and words joined by underscores a phrase, which counts and scores as one term. The score sums BM25 over
+    the wanted terms of every alternative that holds, rounded to 6 decimals; ties go by patent_id.
 
-    The query words, one row each, are broadcast, so postings are never shuffled by term and, of a stored
-    index, only the folders of these words are read. Hits are shuffled once, by (query, patent); the levels of
+    The query words, one row each, are broadcast where they are few, so postings are not shuffled by term and, of a
+    stored index, only the folders of these words are read. Hits are shuffled once, by (query, patent); the levels of
     grouping that decide a match stay inside those partitions, and the final cut keeps k rows per query
     before its shuffle.
+    Of a stored index only blocks that can matter are scored: see ``_pruned``.
+    The hits of a stored index are a table of their own when this returns; what led to them is deleted.
     """
-    terms = query_terms(queries, index.stemmed, index.tokenizer)
-    n_docs, n_tokens = F.col("n_docs"), F.col("n_tokens")
-    stats = index.corpus.select(
-        F.struct(n_docs, (n_tokens.cast("double") / n_docs).alias("avg_len"))
-    ).scalar()
-    weighted = terms.join(_term_weights(index, terms.select("term"), stats), "term")
-    keys = ["term"]
+    if not index.buckets:
+        return _best(_found(index, queries, k, lambda frame: frame), k)
+    with ExitStack() as tables:
+        kept = lambda frame: tables.enter_context(written_while(frame, "search"))
+        return written(_best(_found(index, queries, k, kept), k), "hits")
+
+
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _found(index: SearchIndex, queries: DataFrame, k: int, kept: Keep) -> DataFrame:
+    """Matches that hold the k best of each query; ``kept`` stores what several steps read."""
+    terms = kept(query_terms(queries, index.stemmed, index.tokenizer))
+    is_phrase = F.contains("term", F.lit(" "))
+    phrases = terms.filter(is_phrase).select("term").distinct()
+    if phrases.isEmpty():
+        return _pruned(index, kept(_weighted(index.terms, terms, index)), k, kept)
+    # Phrases have no blocks, so a query with one is scored in full.
+    found = kept(phrase_postings(index, phrases))
+    weighted = kept(_weighted(index.terms.unionByName(term_counts(found)), terms, index))
+    with_phrase = terms.filter(is_phrase).select("query_id").distinct()
+    whole, others = (weighted.join(with_phrase, "query_id", how) for how in ("left_semi", "left_anti"))
+    return _matches(index, whole, phrases=found).unionByName(_pruned(index, kept(others), k, kept))
+
+
+def _corpus_facts(index: SearchIndex) -> Column:
+    n_docs = F.col("n_docs")
+    facts = index.corpus.select(n_docs, (F.col("n_tokens").cast("double") / n_docs).alias("avg_len"))
+    if not index.buckets:
+        return facts.select(F.struct("n_docs", "avg_len")).scalar()
+    row = facts.first()  # of a stored index one row is read
+    return F.struct(F.lit(row["n_docs"]).alias("n_docs"), F.lit(row["avg_len"]).cast("double").alias("avg_len"))
+
+
+def _weighted(counts: DataFrame, terms: DataFrame, index: SearchIndex) -> DataFrame:
+    """The terms of queries with their weight; terms without a document are left out."""
+    return terms.join(_term_weights(counts, terms.select("term"), _corpus_facts(index)), "term")
+
+
+def _gain(tf: Column, length: Column, stats: Column) -> Column:
+    return F.col("times") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / stats["avg_len"]))
+
+
+def _best(matches: DataFrame, k: int) -> DataFrame:
+    return top_n_per_group(matches, ["query_id"], ["-score", "patent_id"], k)
+
+
+def _matches(
+    index: SearchIndex, weighted: DataFrame, bands: DataFrame | None = None, phrases: DataFrame | None = None
+) -> DataFrame:
+    """(query_id, patent_id, score) of all patents a query holds for, or of those in its ``bands`` (query_id, band)."""
+    by_term, keys, stats = weighted, ["term"], _corpus_facts(index)
+    postings = index.postings
+    if bands is not None:
+        by_term, keys = by_term.join(bands.select("query_id", "band"), "query_id"), ["band", *keys]
+        postings = postings.filter(_stretches_of(by_term))
     if index.buckets:
-        weighted, keys = weighted.withColumn("bucket", bucket_of(index.buckets)), ["bucket", "term"]
-    found = without_dead(index.postings.join(F.broadcast(weighted), keys), index.dead)
-    tf, length = F.col("tf"), F.col("doc_len")
-    norm = tf + K1 * (1 - B + B * length / stats["avg_len"])
-    gain = F.when(F.col("part") == 0, F.col("times") * F.col("idf") * tf * (K1 + 1) / norm)
+        by_term, keys = by_term.withColumn("bucket", bucket_of(index.buckets)), ["bucket", *keys]
+    found = without_dead(postings.join(if_small(by_term), keys), index.dead)
+    columns = [*weighted.columns, "patent_id", "tf", "doc_len"]
+    found = found.select(columns)
+    if phrases is not None:
+        found = found.unionByName(phrases.join(weighted, "term").select(columns))
+    gain = F.when(F.col("part") == 0, _gain(F.col("tf"), F.col("doc_len"), stats))
     hits = found.select(
         "query_id", "alt", "clause", "n_clauses", "part", "n_terms", "patent_id",
         F.coalesce(gain, F.lit(0.0)).alias("gain"),
@@ -287,53 +376,177 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
     by_alt = by_clause.groupBy("query_id", "patent_id", "alt", "n_clauses").agg(
         F.count_if("holds").alias("n_holding"), F.sum("gain").alias("gain")
     )
-    matches = (
+    return (
         by_alt.filter(F.col("n_holding") == F.col("n_clauses"))
         .groupBy("query_id", "patent_id")
         .agg(F.round(F.sum("gain"), 6).alias("score"))
     )
-    return top_n_per_group(matches, ["query_id"], ["-score", "patent_id"], k)
 
 
-def with_facts(hits: DataFrame, patents: DataFrame) -> DataFrame:
-    """The found patents with their columns; patents are unique. Hits, at most k per query, are broadcast."""
-    return patents.join(F.broadcast(hits), "patent_id")
+def _stretches_of(by_term: DataFrame) -> Column:
+    """For each term the bands from the first to the last one asked for, as a condition that Parquet can skip by.
+
+    It only narrows what is read; the join decides. Terms of very many queries are left to the join alone.
+    """
+    spans = by_term.groupBy("term").agg(F.min("band").alias("low"), F.max("band").alias("high")).limit(MOST_SPANS + 1).collect()
+    if len(spans) > MOST_SPANS:
+        return F.lit(True)
+    condition = F.lit(False)
+    for span in spans:
+        condition = condition | ((F.col("term") == span["term"]) & F.col("band").between(span["low"], span["high"]))
+    return condition
+
+
+def band_bounds(index: SearchIndex, weighted: DataFrame) -> DataFrame:
+    """(query_id, band, bound, most): the highest score a document of a band can have, and how many can match at most.
+
+    A band in which a wanted term does not occur is left out, where no other alternative can hold.
+    """
+    stats = _corpus_facts(index)
+    wanted = weighted.filter("part = 0")
+    blocks = index.blocks.join(if_small(wanted.select("term").distinct()), "term", "left_semi").groupBy("term", "band")
+    blocks = blocks.agg(F.sum("n").alias("n"), F.max("max_tf").alias("max_tf"), F.min("min_len").alias("min_len"))
+    each = wanted.join(blocks, "term").withColumn("bound", _gain(F.col("max_tf"), F.col("min_len"), stats))
+    sums = [F.sum("bound").alias("bound"), F.min("n").alias("n"), F.count(F.lit(1)).alias("found")]
+    clause = each.groupBy("query_id", "band", "alt", "n_clauses", "clause", "n_terms").agg(*sums)
+    alt = clause.filter("found = n_terms").groupBy("query_id", "band", "alt", "n_clauses").agg(*sums)
+    whole = alt.filter("found = n_clauses").groupBy("query_id", "band")
+    return whole.agg(F.sum("bound").alias("bound"), F.sum("n").alias("most"))
+
+
+def _first_bands(bands: DataFrame, k: int) -> DataFrame:
+    """The bands of highest bound, until enough matches are possible; ``is_first`` marks them."""
+    before = Window.partitionBy("query_id").orderBy(F.desc("bound"), "band").rowsBetween(Window.unboundedPreceding, -1)
+    return bands.withColumn("is_first", F.coalesce(F.sum("most").over(before), F.lit(0)) < FIRST * k)
+
+
+def _pruned(index: SearchIndex, weighted: DataFrame, k: int, kept: Keep) -> DataFrame:
+    """Matches that hold the k best of each query.
+
+    The bands that promise most are scored first. Of the others only those are read whose bound reaches the k-th score found so
+    far (rounding and ties included), or all where fewer than k were found. An index without blocks is scored in full.
+    """
+    if index.blocks is None:
+        return _matches(index, weighted)
+    bands = kept(_first_bands(band_bounds(index, weighted), k))
+    first = kept(_best(_matches(index, weighted, bands.filter("is_first")), k))
+    left = kept(_left_bands(bands, first, k))
+    return first if left.isEmpty() else first.unionByName(_matches(index, weighted, left))
+
+
+def _left_bands(bands: DataFrame, first: DataFrame, k: int) -> DataFrame:
+    least = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    reached = F.when(F.col("n") >= k, F.col("least") - ROUNDING).otherwise(F.lit(float("-inf")))
+    others = bands.filter("NOT is_first").join(least, "query_id", "left")
+    return others.filter(F.col("bound") >= F.coalesce(reached, F.lit(float("-inf"))))
+
+
+def postings_read(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
+    """(query_id, n, n_read): how many postings the terms of a query have, and how many its search scores."""
+    weighted = written(_weighted(index.terms, query_terms(queries, index.stemmed, index.tokenizer), index), "search")
+    bands = written(_first_bands(band_bounds(index, weighted), k), "search")
+    first = written(_best(_matches(index, weighted, bands.filter("is_first")), k), "search")
+    read = bands.filter("is_first").select("query_id", "band").union(_left_bands(bands, first, k).select("query_id", "band"))
+    terms = weighted.select("query_id", "term").distinct()
+    sizes = terms.join(index.blocks.groupBy("term", "band").agg(F.sum("n").alias("n")), "term")
+    marked = sizes.join(read.withColumn("is_read", F.lit(True)), ["query_id", "band"], "left")
+    n_read = F.sum(F.when(F.col("is_read"), F.col("n")).otherwise(F.lit(0)))
+    return marked.groupBy("query_id").agg(F.sum("n").alias("n"), n_read.alias("n_read"))
+
+
+def with_facts(hits: DataFrame, patents: DataFrame, most: int | None = None) -> DataFrame:
+    """The found patents with their columns; patents are unique. ``most`` says how many hits there can be: a few are
+    broadcast, otherwise Spark decides."""
+    return patents.join(F.broadcast(hits) if most is not None and most <= MOST_HITS else hits, "patent_id")
+
+
+# ---- titles -----------------------------------------------------------------------------------
+
+
+@dataclass
+class TitleIndex:
+    """Titles by their grams: stretches of GRAM characters, and of two for queries of two. The empty gram has all."""
+
+    grams: DataFrame  # gram, patent_id
+    counts: DataFrame  # gram, n
+    patents: DataFrame
+    buckets: int = 0  # of a stored index: the grams are in folders by bucket
+
+
+def _stretches(text: Column, length: int) -> Column:
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    found = F.transform(starts, lambda at: text.substr(at, F.lit(length)))
+    return F.when(F.length(text) >= length, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+
+
+def title_grams(patents: DataFrame) -> DataFrame:
+    """(gram, patent_id), each once for a title."""
+    lowered = F.lower("title")
+    grams = F.concat(F.array(F.lit("")), _stretches(lowered, 2), _stretches(lowered, GRAM))
+    titled = patents.filter(F.col("title").isNotNull())
+    return titled.select("patent_id", F.explode_outer(grams).alias("gram")).select("gram", "patent_id")
+
+
+def scan_titles(patents: DataFrame) -> TitleIndex:
+    """An index that is never stored: a search cuts all titles, and keeps the grams it asks for."""
+    grams = title_grams(patents)
+    return TitleIndex(grams, grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), patents)
+
+
+def _asked_grams(index: TitleIndex, queries: DataFrame) -> DataFrame:
+    """(query_id, gram, n_asked): the rarest grams of each query's text, or of its parts between wildcards."""
+    parts = F.col("parts")
+    each = F.transform(parts, lambda part: F.when(F.length(part) == 2, F.array(part)).otherwise(_stretches(part, GRAM)))
+    grams = F.array_distinct(F.flatten(each))
+    listed = queries.select("query_id", F.explode(F.when(F.size(grams) > 0, grams).otherwise(F.array(F.lit("")))).alias("gram"))
+    known = if_small(listed.select("gram").distinct())
+    counts = index.counts
+    if index.buckets:
+        known, counts = known.withColumn("bucket", bucket_of(index.buckets, "gram")), index.counts
+    counts = counts.join(known, [c for c in ("bucket", "gram") if c in counts.columns], "left_semi").select("gram", "n")
+    sized = listed.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = top_n_per_group(sized, ["query_id"], ["n", "gram"], RAREST)
+    return rarest.withColumn("n_asked", F.count(F.lit(1)).over(Window.partitionBy("query_id"))).drop("n")
 
 
 def fallback_title(
-    patents: DataFrame, queries: DataFrame, k: int = 200, wildcards: bool = False
+    titles: TitleIndex, queries: DataFrame, k: int = 200, wildcards: bool = False
 ) -> DataFrame:
     """Titles that contain a query's raw text, latest year first: the columns of patents and query_id.
 
-    Every title is tested against all the queries in one scan; they enter as one array. A query given twice is
-    answered twice. ``wildcards`` lets ``%`` and ``_`` in the text match anything, as a LIKE pattern
-    does; otherwise they stand for themselves.
+    The titles that have the rarest grams of a query are looked up, and those that have its text are kept. A query given
+    twice is answered twice. ``wildcards`` lets ``%`` and ``_`` in the text match anything, as a LIKE pattern
+    does; otherwise they stand for themselves. A pattern without two characters in a row is tested on all titles.
     """
     usable = queries.filter(F.length(F.trim("query")) >= MIN_QUERY_LENGTH)
-    entry = F.struct("query_id", F.lower("query").alias("text"))
-    asked = usable.agg(F.collect_list(entry).alias("asked")).scalar()
+    text = F.lower("query")
+    parts = F.split(text, "[%_]") if wildcards else F.array(text)
+    named = usable.select("query_id", text.alias("_text"), parts.alias("parts"))
+    asked = _asked_grams(titles, named)
+    keys = ["gram"]
+    if titles.buckets:
+        asked, keys = asked.withColumn("bucket", bucket_of(titles.buckets, "gram")), ["bucket", "gram"]
+    found = titles.grams.join(if_small(asked), keys).groupBy("query_id", "patent_id", "n_asked")
+    likely = found.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == F.col("n_asked")).select("query_id", "patent_id")
+    tested = titles.patents.join(likely, "patent_id").join(named.drop("parts"), "query_id")
     lowered = F.lower("title")
-
-    def hit(q: Column) -> Column:
-        if wildcards:
-            return F.like(lowered, F.concat(F.lit("%"), q["text"], F.lit("%")))
-        return F.contains(lowered, q["text"])
-
-    # In two steps, as Spark does not take a subquery inside a function over arrays.
-    tested = patents.withColumn("_asked", asked).withColumn("_query", F.explode(F.filter("_asked", hit)))
-    matched = tested.withColumn("query_id", F.col("_query.query_id")).drop("_asked", "_query")
+    if wildcards:
+        hit = F.like(lowered, F.concat(F.lit("%"), F.col("_text"), F.lit("%")))
+    else:
+        hit = F.contains(lowered, F.col("_text"))
+    matched = tested.filter(hit).select(*titles.patents.columns, "query_id")
     return top_n_per_group(matched, ["query_id"], ["-year", "patent_id"], k)
 
 
 def search_or_title(
-    index: SearchIndex, patents: DataFrame, queries: DataFrame, k: int = 200, wildcards: bool = False
+    index: SearchIndex, titles: TitleIndex, queries: DataFrame, k: int = 200, wildcards: bool = False
 ) -> DataFrame:
     """(query_id, patent_id, score, found_by): ranked hits, and for queries the search cannot read the
     patents whose title has their text, without a score."""
     ranked = search(index, queries, k).withColumn("found_by", F.lit("text"))
-    titles = fallback_title(patents, malformed_queries(queries), k, wildcards)
+    found = fallback_title(titles, malformed_queries(queries), k, wildcards)
     none = F.lit(None).cast("double").alias("score")
-    return ranked.unionByName(titles.select("query_id", "patent_id", none, F.lit("title").alias("found_by")))
+    return ranked.unionByName(found.select("query_id", "patent_id", none, F.lit("title").alias("found_by")))
 
 
 # ---- declared lookups -------------------------------------------------------------------------
@@ -406,7 +619,7 @@ def first_abstracts(results: DataFrame, n: int = 10) -> DataFrame:
 
 def export_results(results: DataFrame, queries: DataFrame, folder: str) -> None:
     """One folder of CSV per query, ``query_id=.../file=...``, where file is named after the query's text."""
-    named = results.join(F.broadcast(queries.withColumn("file", file_slug(F.col("query")))), "query_id")
+    named = results.join(queries.withColumn("file", file_slug(F.col("query"))), "query_id")
     (
         named.select("query_id", "file", *RESULT_COLUMNS, "patent_date", "abstract")
         .write.mode("overwrite")

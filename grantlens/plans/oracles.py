@@ -227,6 +227,12 @@ CTES = {
         f"""SELECT patent_id, unnest({ASCII_TOKENS.format("title || ' ' || abstract")}) AS term
             FROM docs""",
     ),
+    "placed_words": (
+        ["docs"],
+        f"""SELECT patent_id, field, unnest(found) AS term, generate_subscripts(found, 1) AS i
+            FROM (SELECT patent_id, 'title' AS field, {ASCII_TOKENS.format("title")} AS found FROM docs UNION ALL
+                  SELECT patent_id, 'abstract', {ASCII_TOKENS.format("abstract")} FROM docs)""",
+    ),
     "tf": (["words"], "SELECT patent_id, term, count(*) AS tf FROM words GROUP BY ALL"),
     "doc_len": (
         ["docs"],
@@ -693,7 +699,8 @@ MODEL_ROWS = {n: n for n in CLEANED} | {
 def _contents(sources: dict[str, str]) -> str:
     parts = []
     for name, source in sources.items():
-        texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in R.MODEL_TEXT[name])
+        shown = lambda c: "md5(abstract) || ':' || strlen(abstract)" if c == "abstract" else f"CAST({c} AS VARCHAR)"
+        texts = ", ".join(f"coalesce({shown(c)}, '~')" for c in R.MODEL_TEXT[name])
         parts.append(f"SELECT '{name}' AS table_name, concat_ws('|', {texts}) AS content FROM {source}")
     return " UNION ALL ".join(parts)
 
@@ -799,18 +806,30 @@ def _ranked(queries: dict[int, list[tuple[str, list[str]]]]) -> str:
                 QUALIFY row_number() OVER (ORDER BY score DESC, patent_id) <= 200"""
         )
     conditions = " ".join(c for alternatives in queries.values() for c, _ in alternatives)
-    wanted = sorted(set(re.findall(r"'(\w+)'", conditions)))
-    gains = f"""gains AS (
+    wanted = sorted(set(re.findall(r"'([\w ]+)'", conditions)))
+    counted = " UNION ALL ".join(["SELECT * FROM tf", *[_phrase(w) for w in wanted if " " in w]])
+    gains = f"""counted AS ({counted}),
+    gains AS (
         SELECT patent_id, term,
                greatest(ln((c.n - df + 0.5) / (df + 0.5)), 1e-6) * tf * 2.2
                    / (tf + 1.2 * (0.25 + 0.75 * doc_len.n / c.avg_n)) AS gain
-        FROM tf JOIN doc_len USING (patent_id)
-        JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term) USING (term),
+        FROM counted JOIN doc_len USING (patent_id)
+        JOIN (SELECT term, count(*) AS df FROM counted GROUP BY term) USING (term),
              (SELECT count(*) AS n, avg(n) AS avg_n FROM doc_len) c
         WHERE term IN {_list(wanted)})"""
     body = " UNION ALL ".join(f"({p})" for p in parts)
-    head = _with("SELECT * FROM tf, doc_len")
-    return head.rsplit("\nSELECT * FROM tf, doc_len", 1)[0] + f",\n{gains}\n{body}"
+    mark = "SELECT * FROM tf, doc_len, placed_words"
+    return _with(mark).rsplit("\n" + mark, 1)[0] + f",\n{gains}\n{body}"
+
+
+def _phrase(term: str) -> str:
+    """How often the words of a phrase follow each other in one field."""
+    first, *others = term.split(" ")
+    joins = "".join(
+        f" JOIN placed_words w{n} ON w{n}.patent_id = w.patent_id AND w{n}.field = w.field AND w{n}.i = w.i + {n} AND w{n}.term = '{o}'"
+        for n, o in enumerate(others, 1)
+    )
+    return f"SELECT w.patent_id, '{term}', count(*) FROM placed_words w{joins} WHERE w.term = '{first}' GROUP BY w.patent_id"
 
 
 def _has(*words):
@@ -818,12 +837,12 @@ def _has(*words):
 
 
 def _plain(texts):
-    words = {n: re.findall(r"[a-z]+", q.lower()) for n, q in enumerate(texts)}
+    words = {n: [w.replace("_", " ") for w in re.findall(r"[a-z_]+", q.lower())] for n, q in enumerate(texts)}
     return {n: [(_has(*found), found)] for n, found in words.items()}
 
 
 MATCH_RANK = _ranked(_plain(R.SEARCHES))
-EXPORT_RANK = _ranked(_plain(q.replace("_", " ") for q in R.EXPORTS))
+EXPORT_RANK = _ranked(_plain(R.EXPORTS))
 BOOLEAN = _ranked(
     {
         0: [(_has("then", "the"), ["then", "the"])],
@@ -836,6 +855,10 @@ BOOLEAN = _ranked(
                 ["then", "est"],
             )
         ],
+        5: [(_has("que la"), ["que la"])],
+        6: [(_has("of the"), ["of the"]), (f"{_has('que la')} AND NOT {_has('est')}", ["que la"])],
+        7: [(f"{_has('the of', 'the')} AND NOT {_has('of the of')}", ["the of", "the"])],
+        8: [(_has("the and the"), ["the and the"])],
     }
 )
 _READABLE = {n: words for n, words in _plain(R.TITLE_SEARCHES).items() if R.TITLE_SEARCHES[n] == "worthless then"}

@@ -13,7 +13,7 @@ from grantlens.operators import analytics as Q
 from grantlens.operators import checks, clean, derived, search, views
 from grantlens.plans.driver_tables import DriverTables
 from grantlens.sources import model as store
-from grantlens.sources import index_store, raw, reports
+from grantlens.sources import index_store, raw, reports, title_store
 from grantlens.sources.storage import shared_folder
 from grantlens.streaming.index_feed import CHANGE_SCHEMA, IndexFeed
 
@@ -28,8 +28,9 @@ SECTION = "C"
 SECTION_CHOICE = ["A", "G", "Y"]
 DECADE = 1990
 SAMPLE = 1000
+SLOTS = 8  # of stored indexes
 SEARCHES = ["worthless then", "the and", "que la", "Then, the!", "e", "zzzunknownword the"]
-# Two of them have the same file name.
+# Two of them have the same file name: the last is a phrase.
 EXPORTS = [*SEARCHES, "que_la"]
 OPERATOR_SEARCHES = [
     "then AND the",
@@ -37,6 +38,10 @@ OPERATOR_SEARCHES = [
     "the NOT then",
     "the and NOT que la OR est",
     "then NOT the NOT que AND est",
+    "que_la",
+    "of_the OR que_la NOT est",
+    "the_of the NOT of_the_of",
+    "the_and_the",
 ]
 TITLE_SEARCHES = ["OR", "worthless then", "AND", "OR", "NOT", "que OR", "worthless then"]
 PATENT_ORDER = ["seq", "title"]
@@ -63,9 +68,10 @@ def _write_tsv(frame: DataFrame, path: str) -> None:
 
 @register
 def src_raw_tsv(t):
+    """Patents from one file, which is read by as many tasks as its size gives."""
     folder = shared_folder(t.spark, "raw")
     with_extra = t.raw_patent.select(F.lit("x").alias("unused"), "*")
-    _write_tsv(with_extra, f"{folder}/g_patent.tsv")
+    _write_tsv(with_extra.coalesce(1), f"{folder}/g_patent.tsv")
     return raw.read_raw(t.spark, folder, "g_patent")
 
 
@@ -109,8 +115,8 @@ PATENT_COLUMNS = [
 ]
 
 
-# The columns of each clean table that the content check reads.
-MODEL_TEXT = {name: [c for c in schema.names if c != "abstract"] for name, schema in store.CLEAN_SCHEMAS.items()}
+# The columns of each clean table that the content check reads; of abstracts it takes a digest and the length.
+MODEL_TEXT = {name: list(schema.names) for name, schema in store.CLEAN_SCHEMAS.items()}
 
 
 ORDERS = {
@@ -152,8 +158,10 @@ def cells(tables: dict[str, DataFrame]) -> DataFrame:
 def contents(model: dict[str, DataFrame]) -> DataFrame:
     """Every row of the clean tables as one text: (table_name, content)."""
     parts = []
+    digest = F.concat(F.md5("abstract"), F.lit(":"), F.octet_length("abstract").cast("string"))
     for name, frame in model.items():
-        texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in MODEL_TEXT[name]]
+        shown = [digest if c == "abstract" else F.col(c).cast("string") for c in MODEL_TEXT[name]]
+        texts = [F.coalesce(c, F.lit("~")) for c in shown]
         parts.append(frame.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("content")))
     return reduce(DataFrame.unionByName, parts)
 
@@ -662,17 +670,23 @@ def _stored_index(t) -> search.SearchIndex:
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _INDEX_FOLDERS:
         folder = shared_folder(t.spark, "index")
-        index_store.write_index(search.build_index(t.search_docs), folder, buckets=16)
+        index_store.write_index(search.build_index(t.search_docs), folder, buckets=16, slots=SLOTS)
         _INDEX_FOLDERS[key] = folder
     return index_store.read_index(t.spark, _INDEX_FOLDERS[key])
 
 
+def _stored_titles(t) -> search.TitleIndex:
+    folder = shared_folder(t.spark, "titles")
+    title_store.write_titles(t.search_patents, folder, buckets=16)
+    return title_store.read_titles(t.spark, folder)
+
+
 def _hits(t, texts, k=200):
     return search.search(_stored_index(t), search.as_queries(t.spark, texts), k)
 
 
 def _results(t):
-    return search.with_facts(_hits(t, SEARCHES), t.search_patents)
+    return search.with_facts(_hits(t, SEARCHES), t.search_patents, most=200 * len(SEARCHES))
 
 
 @register
@@ -719,7 +733,7 @@ def s_boolean(t):
 def s_fallback_title(t):
     """Searches that can be read, that cannot, and that come twice, in one call."""
     queries = search.as_queries(t.spark, TITLE_SEARCHES)
-    return search.search_or_title(_stored_index(t), t.search_patents, queries)
+    return search.search_or_title(_stored_index(t), _stored_titles(t), queries)
 
 
 @register
@@ -766,7 +780,7 @@ def s_result_table(t):
 def s_export(t):
     folder = shared_folder(t.spark, "export")
     queries = search.as_queries(t.spark, EXPORTS)
-    results = search.with_facts(_hits(t, EXPORTS), t.search_patents)
+    results = search.with_facts(_hits(t, EXPORTS), t.search_patents, most=200 * len(EXPORTS))
     search.export_results(results, queries, folder)
     exported = t.spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     year = F.col("year").cast("int").alias("year")
@@ -801,7 +815,7 @@ def index_changes(t) -> DataFrame:
 
 def _written_index(t) -> str:
     folder = shared_folder(t.spark, "index")
-    index_store.write_index(search.build_index(t.search_docs), folder, buckets=16)
+    index_store.write_index(search.build_index(t.search_docs), folder, buckets=16, slots=SLOTS)
     return folder
 
 

@@ -51,8 +51,7 @@ RAW_COLUMNS = {
     "g_location_disambiguated": ["location_id", "disambig_country"],
     "g_cpc_current": ["patent_id", "cpc_section"],
 }
-# Only these hold prose, hence line breaks inside quotes. Spark cannot split such files, so the
-# others are read line by line.
+# Only these hold prose, hence line breaks inside quotes; the others have a record in each line.
 RAW_WITH_PROSE = {"g_patent", "g_patent_abstract"}
 WITH_PROSE = {"patents"}  # of the clean tables
 

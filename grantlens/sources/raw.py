@@ -1,26 +1,21 @@
 """Raw tab-separated files (plain or gzip), header row first.
 
-A path may be one file or a folder of many. Texts with line breaks inside quotes cannot be split, so give patents
-and abstracts as folders of many files where they are large: each file is a task.
+A path may be one file or a folder of many. Files whose texts have line breaks inside quotes are split too, see
+``grantlens.sources.prose``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.functions.ranking import top_k
 from grantlens.schema import RAW_COLUMNS, RAW_WITH_PROSE
+from grantlens.sources.prose import read_delimited
 
 BAD_RECORD = "_bad_record"
 
 
-def _reader(spark: SparkSession, multi_line: bool):
-    return (
-        spark.read.option("sep", "\t")
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
+def _reader(spark: SparkSession):
+    return spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
 
 
 def read_raw(
@@ -38,7 +33,8 @@ def read_raw(
     columns that say which row comes first, such as a sequence number.
     """
     columns = RAW_COLUMNS[name]
-    frame = _reader(spark, name in RAW_WITH_PROSE).csv(f"{folder}/{name}{suffix}")
+    path = f"{folder}/{name}{suffix}"
+    frame = read_delimited(spark, path) if name in RAW_WITH_PROSE else _reader(spark).csv(path)
     numbers = [F.expr(f"try_cast(`{c}` AS BIGINT)").alias(c) for c in order]
     texts = [F.when(~F.col(c).isin(na_values), F.col(c)).alias(c) if na_values else F.col(c) for c in columns]
     return frame.select(*texts, *numbers)
@@ -61,10 +57,10 @@ def read_all_raw(
 
 
 def _with_bad_records(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    header = _reader(spark, False).csv(path).schema
+    header = _reader(spark).csv(path).schema
     schema = header.add(BAD_RECORD, "string")
     frame = (
-        _reader(spark, False)
+        _reader(spark)
         .schema(schema)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_RECORD)
@@ -93,6 +89,36 @@ def read_sections(
     return frame.filter(~bad).select(RAW_COLUMNS[name])
 
 
+def write_sections(
+    spark: SparkSession, folder: str, target: str, name: str = "g_cpc_current", suffix: str = ".tsv"
+) -> dict[str, int]:
+    """Stores section rows and rejected lines in one pass over the file, and counts them meanwhile.
+
+    Below ``target`` the folder ``status=kept`` has the rows that ``read_sections`` gives and ``status=rejected`` the lines
+    with too many fields, as they are written. Returns lines, too_long and short, as ``bad_line_counts`` has them.
+    """
+    frame, fields = _with_bad_records(spark, f"{folder}/{name}{suffix}")
+    columns, too_long = RAW_COLUMNS[name], _too_long(fields)
+    rows = frame.select(
+        *[F.when(~too_long, F.col(c)).alias(c) for c in columns],
+        F.when(too_long, F.col(BAD_RECORD)).alias("line"),
+        F.when(too_long, "rejected").otherwise("kept").alias("status"),
+        F.col(BAD_RECORD).isNotNull().alias("_bad"),
+    )
+    seen, rejected = Observation(), F.col("status") == "rejected"
+    short = F.count_if(F.col("_bad") & ~rejected).alias("short")
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(rejected).alias("too_long"), short)
+    rows.drop("_bad").write.mode("overwrite").partitionBy("status").parquet(target)
+    return dict(seen.get)
+
+
+def stored_sections(spark: SparkSession, target: str, status: str = "kept") -> DataFrame:
+    """The rows, or with ``rejected`` the lines, that ``write_sections`` stored."""
+    columns = ["line"] if status == "rejected" else RAW_COLUMNS["g_cpc_current"]
+    schema = ", ".join(f"{c} string" for c in [*RAW_COLUMNS["g_cpc_current"], "line", "status"])
+    return spark.read.schema(schema).parquet(target).filter(F.col("status") == status).select(columns)
+
+
 def bad_line_counts(
     spark: SparkSession, folder: str, name: str = "g_cpc_current", suffix: str = ".tsv"
 ) -> DataFrame:
