@@ -270,32 +270,41 @@ def list_shards(spark: SparkSession, folder: str) -> DataFrame:
                     )
 
     shards = read_manifest(spark, folder)
-    # One task for each shard.
-    return shards.repartition(F.col("shard")).mapInArrow(run, out)
+    # A task for each shard: a number of partitions that is given is kept, however short the rows are.
+    return shards.repartitionByRange(max(shards.count(), 1), "shard").mapInArrow(run, out)
 
 
 def lookup(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """(key, start, ids) for the documents with the keys asked for, through the index.
 
     Keys that are null or unknown give no row; a key of several documents gives their ids in one row for
-    each shard they lie in. Only the shards whose key range fits are opened.
+    each shard they lie in. Keys go to the shards whose range they lie in, and a task has one index open at a time.
     """
     spark = keys.sparkSession
-    shards = [r.asDict() for r in read_manifest(spark, folder).filter("first_key IS NOT NULL").collect()]
+    rows = read_manifest(spark, folder).filter("first_key IS NOT NULL").orderBy("first_key", "shard").collect()
+    shards = [r.asDict() for r in rows]
+    firsts = np.array([s["first_key"] for s in shards], dtype=np.int64)
+    # The highest key up to each shard: shards from the first one that reaches a key may hold it.
+    lasts = np.maximum.accumulate(np.array([s["last_key"] for s in shards], dtype=np.int64)) if shards else firsts
+
+    def place(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            asked = batch.column(0).drop_null().to_numpy()
+            low, high = np.searchsorted(lasts, asked, side="left"), np.searchsorted(firsts, asked, side="right")
+            n = np.maximum(high - low, 0)
+            numbers = np.arange(int(n.sum())) + np.repeat(low - np.cumsum(n) + n, n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, n)), pa.array(numbers)], [key, "_shard"])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         system, path = file_system(folder)
-        opened: dict[str, ShardIndex] = {}
+        at, index = None, None
         for batch in batches:
-            asked = np.array([k for k in batch.column(0).to_pylist() if k is not None], dtype=np.int64)
-            for shard in shards:
-                mine = asked[(asked >= shard["first_key"]) & (asked <= shard["last_key"])]
-                if not len(mine):
-                    continue
-                if shard["file"] not in opened:
+            asked, numbers = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for number in np.unique(numbers).tolist():
+                shard, mine = shards[number], asked[numbers == number]
+                if number != at:
                     with system.open_input_stream(f"{path}/{shard['file']}.idx") as source:
-                        opened[shard["file"]] = ShardIndex.load(source)
-                index = opened[shard["file"]]
+                        at, index = number, ShardIndex.load(source)
                 places, counts, _ = index.find(mine)
                 with system.open_input_file(f"{path}/{shard['file']}.bin") as payload:
                     for k, p, n in zip(mine.tolist(), places.tolist(), counts.tolist()):
@@ -305,8 +314,9 @@ def lookup(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
                                 {key: [k], "start": [shard["start"] + p], "ids": pa.array([ids.tolist()], pa.list_(pa.int64()))}
                             )
 
-    asked = keys.select(F.col(key).cast("long").alias(key))
-    return asked.mapInArrow(run, f"{key} long, start long, ids array<long>")
+    asked = keys.select(F.col(key).cast("long").alias(key)).mapInArrow(place, f"{key} long, _shard long")
+    dealt = asked.repartition(max(len(shards), 1), "_shard").sortWithinPartitions("_shard")
+    return dealt.mapInArrow(run, f"{key} long, start long, ids array<long>")
 
 
 def new_folder(spark: SparkSession) -> str:
