@@ -58,6 +58,7 @@ class SearchIndex:
     buckets: int = 0  # of a stored index: the postings are in folders by term bucket
     blocks: DataFrame | None = None  # of a stored index: (bucket, term, band, n, max_tf, min_len) of its postings
     dead: DataFrame | None = None  # of a stored index: (patent_id, segment) whose postings no longer count
+    facts: tuple[int, float] | None = None  # of a stored index: its documents and their mean length, once they were read
 
     def live_postings(self) -> DataFrame:
         """(term, patent_id, tf, doc_len, positions) of everything that counts."""
@@ -322,8 +323,9 @@ def _corpus_facts(index: SearchIndex) -> Column:
     facts = index.corpus.select(n_docs, (F.col("n_tokens").cast("double") / n_docs).alias("avg_len"))
     if not index.buckets:
         return facts.select(F.struct("n_docs", "avg_len")).scalar()
-    row = facts.first()  # of a stored index one row is read
-    return F.struct(F.lit(row["n_docs"]).alias("n_docs"), F.lit(row["avg_len"]).cast("double").alias("avg_len"))
+    if index.facts is None:  # of a stored index one row is read; its segments are fixed
+        index.facts = tuple(facts.first())
+    return F.struct(F.lit(index.facts[0]).alias("n_docs"), F.lit(index.facts[1]).cast("double").alias("avg_len"))
 
 
 def _weighted(counts: DataFrame, terms: DataFrame, index: SearchIndex) -> DataFrame:
@@ -347,10 +349,12 @@ def _matches(
     postings = index.postings
     if bands is not None:
         by_term, keys = by_term.join(bands.select("query_id", "band"), "query_id"), ["band", *keys]
-        postings = postings.filter(_stretches_of(by_term))
+        stretches, few = _stretches_of(by_term)
+        postings = postings.filter(stretches)
     if index.buckets:
         by_term, keys = by_term.withColumn("bucket", bucket_of(index.buckets)), ["bucket", *keys]
-    found = without_dead(postings.join(if_small(by_term), keys), index.dead)
+    hinted = if_small(by_term) if bands is None else F.broadcast(by_term) if few else by_term
+    found = without_dead(postings.join(hinted, keys), index.dead)
     columns = [*weighted.columns, "patent_id", "tf", "doc_len"]
     found = found.select(columns)
     if phrases is not None:
@@ -383,18 +387,19 @@ def _matches(
     )
 
 
-def _stretches_of(by_term: DataFrame) -> Column:
-    """For each term the bands from the first to the last one asked for, as a condition that Parquet can skip by.
+def _stretches_of(by_term: DataFrame) -> tuple[Column, bool]:
+    """For each term the bands from the first to the last one asked for, as a condition that Parquet can skip by, and
+    whether ``by_term`` is small enough to broadcast.
 
-    It only narrows what is read; the join decides. Terms of very many queries are left to the join alone.
+    The condition only narrows what is read; the join decides. Terms of very many queries are left to the join alone.
     """
-    spans = by_term.groupBy("term").agg(F.min("band").alias("low"), F.max("band").alias("high")).limit(MOST_SPANS + 1).collect()
+    spans = by_term.groupBy("term").agg(F.min("band"), F.max("band"), F.count(F.lit(1))).limit(MOST_SPANS + 1).collect()
     if len(spans) > MOST_SPANS:
-        return F.lit(True)
+        return F.lit(True), False
     condition = F.lit(False)
-    for span in spans:
-        condition = condition | ((F.col("term") == span["term"]) & F.col("band").between(span["low"], span["high"]))
-    return condition
+    for term, low, high, _ in spans:
+        condition = condition | ((F.col("term") == term) & F.col("band").between(low, high))
+    return condition, sum(rows for *_, rows in spans) <= MOST_HITS
 
 
 def band_bounds(index: SearchIndex, weighted: DataFrame) -> DataFrame:
