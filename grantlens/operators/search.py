@@ -279,7 +279,7 @@ def _term_weights(counts: DataFrame, wanted: DataFrame, stats: Column) -> DataFr
     return counts.join(wanted, "term", "left_semi").select("term", weight.alias("idf"))
 
 
-def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
+def search(index: SearchIndex, queries: DataFrame, k: int = 200, prune: bool = False) -> DataFrame:
     """The k best patents per query: (query_id, patent_id, score).
 
     The words of a query are wanted together, in title or abstract; AND, OR and NOT in upper case are
@@ -290,29 +290,33 @@ def search(index: SearchIndex, queries: DataFrame, k: int = 200) -> DataFrame:
     stored index, only the folders of these words are read. Hits are shuffled once, by (query, patent); the levels of
     grouping that decide a match stay inside those partitions, and the final cut keeps k rows per query
     before its shuffle.
-    Of a stored index only blocks that can matter are scored: see ``_pruned``.
-    The hits of a stored index are a table of their own when this returns; what led to them is deleted.
+    ``prune`` scores of a stored index only bands that can matter, see ``_pruned``. It takes more jobs, and pays where scores
+    differ much between documents; ``postings_read`` tells for given queries. The hits are then a table of their own when this
+    returns, and what led to them is deleted.
     """
-    if not index.buckets:
-        return _best(_found(index, queries, k, lambda frame: frame), k)
+    if not prune or index.blocks is None:
+        return _best(_found(index, queries, k, lambda frame: frame, False), k)
     with ExitStack() as tables:
         kept = lambda frame: tables.enter_context(written_while(frame, "search"))
-        return written(_best(_found(index, queries, k, kept), k), "hits")
+        return written(_best(_found(index, queries, k, kept, True), k), "hits")
 
 
 Keep = Callable[[DataFrame], DataFrame]
 
 
-def _found(index: SearchIndex, queries: DataFrame, k: int, kept: Keep) -> DataFrame:
+def _found(index: SearchIndex, queries: DataFrame, k: int, kept: Keep, prune: bool) -> DataFrame:
     """Matches that hold the k best of each query; ``kept`` stores what several steps read."""
     terms = kept(query_terms(queries, index.stemmed, index.tokenizer))
     is_phrase = F.contains("term", F.lit(" "))
     phrases = terms.filter(is_phrase).select("term").distinct()
     if phrases.isEmpty():
-        return _pruned(index, kept(_weighted(index.terms, terms, index)), k, kept)
-    # Phrases have no blocks, so a query with one is scored in full.
+        weighted = kept(_weighted(index.terms, terms, index))
+        return _pruned(index, weighted, k, kept) if prune else _matches(index, weighted)
     found = kept(phrase_postings(index, phrases))
     weighted = kept(_weighted(index.terms.unionByName(term_counts(found)), terms, index))
+    if not prune:
+        return _matches(index, weighted, phrases=found)
+    # Phrases have no bands, so a query with one is scored in full.
     with_phrase = terms.filter(is_phrase).select("query_id").distinct()
     whole, others = (weighted.join(with_phrase, "query_id", how) for how in ("left_semi", "left_anti"))
     return _matches(index, whole, phrases=found).unionByName(_pruned(index, kept(others), k, kept))
@@ -429,10 +433,8 @@ def _pruned(index: SearchIndex, weighted: DataFrame, k: int, kept: Keep) -> Data
     """Matches that hold the k best of each query.
 
     The bands that promise most are scored first. Of the others only those are read whose bound reaches the k-th score found so
-    far (rounding and ties included), or all where fewer than k were found. An index without blocks is scored in full.
+    far (rounding and ties included), or all where fewer than k were found.
     """
-    if index.blocks is None:
-        return _matches(index, weighted)
     bands = kept(_first_bands(band_bounds(index, weighted), k))
     first = kept(_best(_matches(index, weighted, bands.filter("is_first")), k))
     left = kept(_left_bands(bands, first, k))

@@ -1015,6 +1015,7 @@ SEARCH = {
 }
 READY = {
     "s_match_rank": MATCH_RANK,
+    "s_match_pruned": MATCH_RANK,
     "s_boolean": BOOLEAN,
     "s_result_kpis": _found(f"""
         SELECT query_id, count(*) AS hits, min(year) AS first_year, max(year) AS last_year,

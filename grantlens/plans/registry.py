@@ -724,6 +724,12 @@ def s_match_rank(t):
     return _hits(t, SEARCHES)
 
 
+@register
+def s_match_pruned(t):
+    """The same hits, by the bounds of bands."""
+    return search.search(_stored_index(t), search.as_queries(t.spark, SEARCHES), prune=True)
+
+
 @register
 def s_boolean(t):
     return _hits(t, OPERATOR_SEARCHES)

@@ -200,7 +200,7 @@ def test_pruned_search_finds_the_same_and_reads_less(spark, tables, rows):
     stored = index_store.read_index(spark, folder)
     full = S._matches(stored, S._weighted(stored.terms, S.query_terms(queries), stored)).persist()
     for k in (1, 5):
-        assert rows(S.search(stored, queries, k)) == rows(S._best(full, k)) != []
+        assert rows(S.search(stored, queries, k, prune=True)) == rows(S._best(full, k)) != []
     # Few documents to a band: here little can be left out. README has the share over more of them.
     read = {r.query_id: (r.n_read, r.n) for r in S.postings_read(stored, queries, 1).collect()}
     assert all(a <= b for a, b in read.values()) and sum(a for a, _ in read.values()) < sum(b for _, b in read.values())
