@@ -6,6 +6,7 @@ whose text is raw run to the end of the page without an end tag; every other one
 
 import html
 import re
+from collections.abc import Mapping
 from typing import NamedTuple
 
 TAG = re.compile(
@@ -40,13 +41,69 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
 
+class Above:
+    """Tags and name words of an element and those above it; an element holds only the names that it adds."""
+
+    __slots__ = ("parent", "new")
+
+    def __init__(self, parent: "Above | None" = None, new: frozenset = frozenset()):
+        self.parent, self.new = parent, new
+
+    def under(self, names) -> "Above":
+        """With the names of one more element inside."""
+        return Above(self, frozenset(n for n in names if n not in self))
+
+    def __iter__(self):
+        at = self
+        while at is not None:
+            yield from at.new
+            at = at.parent
+
+    def __contains__(self, name: str) -> bool:
+        return any(name == n for n in self)
+
+
 class Block(NamedTuple):
     text: str
-    above: frozenset  # tags and name words of the elements above
+    above: Above
     tag: str  # of the nearest block element
     linked: int  # characters inside links
 
 
+def levels(page: list[Block]) -> tuple[list[Above], list[int], list[int]]:
+    """(elements above any block, each after its parent; the place of each one's parent or -1; the place of each block's)."""
+    place: dict[Above | None, int] = {None: -1}
+    order: list[Above] = []
+    for block in page:
+        path, at = [], block.above
+        while at not in place:
+            path.append(at)
+            at = at.parent
+        for at in reversed(path):
+            place[at] = len(order)
+            order.append(at)
+    return order, [place[a.parent] for a in order], [place[b.above] for b in page]
+
+
+def sums_above(page: list[Block], values: Mapping[str, float]) -> list[float]:
+    """For each block the sum of the values of the names above it."""
+    order, parents, places = levels(page)
+    sums: list[float] = []
+    for above, parent in zip(order, parents):
+        own = sum(values.get(name, 0.0) for name in sorted(above.new))
+        sums.append(own + (sums[parent] if parent >= 0 else 0.0))
+    return [sums[at] for at in places]
+
+
+def without(page: list[Block], names: frozenset) -> list[Block]:
+    """The same blocks, with these names nowhere above them."""
+    order, parents, places = levels(page)
+    changed: list[Above] = []
+    for above, parent in zip(order, parents):
+        changed.append(Above(changed[parent] if parent >= 0 else None, above.new - names))
+    return [b._replace(above=changed[at]) for b, at in zip(page, places)]
+
+
 def _own(tag: str, attributes: str) -> set[str]:
     found = {f"t:{tag}"}
     if attributes and "=" in attributes:
@@ -60,13 +117,21 @@ def blocks(page: str | None) -> list[Block]:
     page = page or ""
     found: list[Block] = []
     #: Block elements, each with how many inline elements are open right inside it.
-    stack: list[tuple[str, frozenset, dict[str, int]]] = [("", frozenset(), {})]
+    stack: list[tuple[str, Above, dict[str, int]]] = [("", Above(), {})]
+    names: set[str] = set()  # above the place reached
+    open_tags: dict[str, int] = {}  # how many block elements of each kind
     #: The outermost skipped element and what is open inside it, each with whether what follows belongs to an image.
     skipped: list[tuple[str, bool]] = []
     counts: dict[str, int] = {}  # of the tags there
     text: list[str] = []
     linked, link_depth, at = 0, 0, 0
 
+    def close_from(depth: int):
+        for tag, above, _ in stack[depth:]:
+            names.difference_update(above.new)
+            open_tags[tag] -= 1
+        del stack[depth:]
+
     def flush():
         nonlocal linked
         if text:
@@ -106,7 +171,7 @@ def blocks(page: str | None) -> list[Block]:
                 while pop() != tag:
                     pass
                 return True
-            if tag in stack[-1][2] or any(tag == above for above, _, _ in stack):
+            if tag in stack[-1][2] or open_tags.get(tag):
                 leave()
                 return False
             return True
@@ -158,18 +223,22 @@ def blocks(page: str | None) -> list[Block]:
         flush()
         link_depth = 0
         if end:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            if open_tags.get(tag):
+                depth = len(stack) - 1
+                while stack[depth][0] != tag:
+                    depth -= 1
+                close_from(depth)
             continue
         if tag in VOID or closed:
             continue
         if stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
-            stack.pop()
+            close_from(len(stack) - 1)
         if len(stack) > 1 and stack[-1][0] in ENDS.get(tag, ()):
-            stack.pop()
-        stack.append((tag, stack[-1][1] | _own(tag, attributes), {}))
+            close_from(len(stack) - 1)
+        new = frozenset(_own(tag, attributes) - names)
+        names |= new
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        stack.append((tag, Above(stack[-1][1], new), {}))
     add(page[at:])
     flush()
     return found

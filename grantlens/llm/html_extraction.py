@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grantlens.llm.html_blocks import Block, blocks
+from grantlens.llm.html_blocks import Above, Block, blocks, levels, sums_above, without
 
-MARKS = {"t:article", "t:main", "n:article", "n:main"}
+MARKS = frozenset(("t:article", "t:main", "n:article", "n:main"))
 #: Words in names and tags that stand for a part which is no article, wherever it is.
 OTHER_PARTS = {
     "t:nav", "t:footer", "t:aside", "t:form", "t:header", "t:dialog", "t:menu",
@@ -60,25 +60,13 @@ class ChainModel:
 
     def __init__(self, weights: dict[str, float], steps: list[list[float]]):
         self.weights, self.steps = weights, steps
-        self._above: dict[frozenset, float] = {}
-        self._held = 0  # names in its keys
-
-    def _score_above(self, above: frozenset) -> float:
-        score = self._above.get(above)
-        if score is None:
-            self._held += len(above)
-            if self._held > 1_000_000:
-                self._above.clear()
-                self._held = len(above)
-            score = self._above[above] = sum(self.weights.get(name, 0.0) for name in sorted(above))
-        return score
 
     def scores(self, page: list[Block]) -> list[float]:
         weight = self.weights.get
         base = weight("", 0.0)
         return [
-            base + self._score_above(b.above) + sum([weight(f, 0.0) for f in features])
-            for b, features in zip(page, block_features(page))
+            base + above + sum([weight(f, 0.0) for f in features])
+            for above, features in zip(sums_above(page, self.weights), block_features(page))
         ]
 
     def decode(self, page: list[Block]) -> list[int]:
@@ -111,20 +99,26 @@ def train_chain(pages: list[tuple[list[Block], list[int]]], rounds: int = 30, ra
     coded = []
     for page, labels in pages:
         if page:
-            rows = [[0, *(names.setdefault(f, len(names)) for f in [*own, *sorted(b.above)])] for b, own in zip(page, block_features(page))]
-            coded.append((rows, labels))
+            coded.append((*_numbered(page, names), labels))
     weights, steps = np.zeros(len(names)), np.zeros((2, 2))
     weight_sums, step_sums = np.full(len(names), 1e-6), np.full((2, 2), 1e-6)
     order = random.Random(seed)
     for _ in range(rounds):
         order.shuffle(coded)
-        for rows, labels in coded:
-            flat = np.fromiter((i for row in rows for i in row), dtype=np.int64)
-            owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-            scores = np.bincount(owner, weights[flat], minlength=len(rows))
-            chance, pairs = marginals(scores.tolist(), steps)
+        for flat, owner, parents, places, labels in coded:
+            # Blocks come first among the owners of names, then the elements above them, each after its parent.
+            sums = np.bincount(owner, weights[flat], minlength=len(places) + len(parents))
+            above = sums[len(places) :].tolist()
+            for at, parent in enumerate(parents):
+                if parent >= 0:
+                    above[at] += above[parent]
+            chance, pairs = marginals([s + above[at] for s, at in zip(sums.tolist(), places)], steps)
             wrong = np.asarray(labels) - chance
-            change = np.bincount(flat, wrong[owner], minlength=len(names)) - ridge * weights / len(coded)
+            below = np.bincount(places, wrong, minlength=len(parents)).tolist()
+            for at in range(len(parents) - 1, -1, -1):
+                if parents[at] >= 0:
+                    below[parents[at]] += below[at]
+            change = np.bincount(flat, np.concatenate([wrong, below])[owner], minlength=len(names)) - ridge * weights / len(coded)
             weight_sums += change**2
             weights += rate * change / np.sqrt(weight_sums)
             seen = np.zeros((2, 2))
@@ -136,6 +130,14 @@ def train_chain(pages: list[tuple[list[Block], list[int]]], rounds: int = 30, ra
     return ChainModel({n: float(weights[i]) for n, i in names.items()}, steps.tolist())
 
 
+def _numbered(page: list[Block], names: dict[str, int]):
+    """(numbers of names, what each belongs to, parents of the elements, each block's element); new names get a number."""
+    order, parents, places = levels(page)
+    rows = [["", *own] for own in block_features(page)] + [sorted(a.new) for a in order]
+    flat = np.fromiter((names.setdefault(f, len(names)) for row in rows for f in row), dtype=np.int64)
+    return flat, np.repeat(np.arange(len(rows)), [len(r) for r in rows]), parents, places
+
+
 def marginals(scores: list[float], steps) -> tuple[np.ndarray, np.ndarray]:
     """(chance of label 1 at each block, expected number of each step), by the forward-backward algorithm."""
     step = np.exp(steps - np.max(steps)).tolist()
@@ -167,8 +169,11 @@ def marginals(scores: list[float], steps) -> tuple[np.ndarray, np.ndarray]:
 
 def self_labelled(page: list[Block]) -> list[int] | None:
     """Labels of a page that marks its article; None for other pages."""
-    marks = {"t:article"} if any("t:article" in b.above for b in page) else {"t:main"}
-    labels = [int(bool(marks & b.above) and not OTHER_PARTS & b.above) for b in page]
+    marked = sums_above(page, {"t:article": 1})
+    if not any(marked):
+        marked = sums_above(page, {"t:main": 1})
+    other = sums_above(page, dict.fromkeys(OTHER_PARTS, 1))
+    labels = [int(m > 0 and not o) for m, o in zip(marked, other)]
     return labels if any(labels) else None
 
 
@@ -195,15 +200,15 @@ PART_TAGS = {
 def made_page(paragraphs: list[str], phrases: list[str], rng: random.Random) -> list[tuple[Block, int]]:
     """A labelled page: article paragraphs, and other parts filled with short phrases or with paragraphs."""
     page: list[tuple[Block, int]] = []
-    outer = frozenset({"t:html", "t:body"})
+    outer = Above().under(["t:html", "t:body"])
     if rng.random() < 0.5:
-        outer |= {"t:div", f"n:{rng.choice(['wrapper', 'page', 'container', 'site', 'layout'])}"}
+        outer = outer.under(["t:div", f"n:{rng.choice(['wrapper', 'page', 'container', 'site', 'layout'])}"])
 
-    def part(kind: str, above: frozenset):
+    def part(kind: str, above: Above):
         tag = rng.choice(PART_TAGS[kind])
-        inside = above | {f"t:{tag}"}
+        inside = above.under([f"t:{tag}"])
         if rng.random() < (0.3 if tag in ("nav", "header", "footer", "aside", "form") else 1.0):
-            inside |= {f"n:{w}" for w in rng.choice(OTHER_NAMES[kind]).split()}
+            inside = inside.under([f"n:{w}" for w in rng.choice(OTHER_NAMES[kind]).split()])
         linked = {"menu": 1.0, "side": 0.7, "share": 0.6, "footer": 0.3, "header": 0.4}.get(kind, 0.05)
         for _ in range(rng.randint(1, {"menu": 7, "side": 5, "comment": 5}.get(kind, 2))):
             long = rng.random() < {"comment": 0.7, "side": 0.3, "notice": 0.3, "advert": 0.3}.get(kind, 0.1)
@@ -211,22 +216,21 @@ def made_page(paragraphs: list[str], phrases: list[str], rng: random.Random) ->
             own = rng.choice(["li", "p", "div"]) if kind in ("menu", "side", "comment") else rng.choice(["p", "div", tag])
             if kind == "footer" and rng.random() < 0.5:
                 text = f"© {text}"
-            page.append((Block(text, inside | {f"t:{own}"}, own, len(text) if rng.random() < linked else 0), 0))
+            page.append((Block(text, inside.under([f"t:{own}"]), own, len(text) if rng.random() < linked else 0), 0))
 
     for kind in ("notice", "header", "menu", "advert", "side", "share"):
         if rng.random() < 0.5:
             part(kind, outer)
-    inside = outer
     tag = rng.choice(["article", "main", "div", "div", "section"])
-    inside |= {f"t:{tag}"}
+    inside = outer.under([f"t:{tag}"])
     if tag in ("div", "section"):
-        inside |= {f"n:{w}" for w in rng.choice(ARTICLE_NAMES).split()}
+        inside = inside.under([f"n:{w}" for w in rng.choice(ARTICLE_NAMES).split()])
     if rng.random() < 0.8:
-        page.append((Block(rng.choice(phrases), inside | {"t:h1"}, "h1", 0), 1))
+        page.append((Block(rng.choice(phrases), inside.under(["t:h1"]), "h1", 0), 1))
     for _ in range(rng.randint(1, 12)):
         own = rng.choice(["p"] * 9 + ["li", "h2", "blockquote"])
         text = rng.choice(phrases if own in ("h2", "li") or rng.random() < 0.15 else paragraphs)
-        page.append((Block(text, inside | {f"t:{own}"}, own, len(text) // 10 if rng.random() < 0.15 else 0), 1))
+        page.append((Block(text, inside.under([f"t:{own}"]), own, len(text) // 10 if rng.random() < 0.15 else 0), 1))
         if rng.random() < 0.08:
             part(rng.choice(["advert", "share", "side", "form"]), inside)
     for kind in ("share", "form", "comment", "side", "advert", "footer", "notice"):
@@ -247,7 +251,7 @@ def training_pages(pages: list[str], made: int = 400, seed: int = 11) -> list[tu
         if labels is None:
             continue
         if len(labelled) % 2:
-            page = [b._replace(above=b.above - MARKS) for b in page]
+            page = without(page, MARKS)
         labelled.append((page, labels))
     paragraphs = paragraphs or ["This is a line of text that stands for a whole paragraph of some article here."]
     phrases = phrases or ["A short line"]
@@ -261,28 +265,33 @@ def learn_chain(pages: DataFrame, sample: int = 300, html: str = "html", page_id
     """A model from at most ``sample`` pages and made layouts.
 
     Of all pages that mark their article those with the smallest hash of their id; if they are too few, other pages
-    by the same order, whose text fills the layouts. The ids are chosen first, so that only the sample's pages are moved.
+    by the same order, whose text fills the layouts. Pages are looked through in that order, first some, then more of
+    them, until enough are found, so where many pages mark their article only a small part is parsed here.
     """
     usable = pages.filter(F.col(html).isNotNull() & F.col(page_id).isNotNull()).select(page_id, html)
-    schema = type(usable.schema)([usable.schema[page_id]]).add("_unmarked", "boolean")
-    marked = usable.mapInArrow(_find_marked, schema)
-    ids = marked.orderBy("_unmarked", F.xxhash64(page_id), page_id).limit(sample)
-    ids = ids.groupBy(page_id).agg(F.min("_unmarked").alias("_unmarked"))
-    chosen = usable.join(F.broadcast(ids), page_id).orderBy("_unmarked", F.xxhash64(page_id), page_id, html).limit(sample)
-    return train_chain(training_pages([r[html] for r in chosen.collect()]))
+    schema = type(usable.schema)(list(usable.schema.fields)).add("_unmarked", "boolean")
+    by_hash = F.xxhash64(page_id)
+    part = min(1.0, 20 * sample / max(1, pages.count()))
+    while True:
+        some = usable.filter(by_hash < -(2**63) + int(part * 2**64)) if part < 1 else usable
+        marked = some.mapInArrow(_find_marked, schema)
+        rows = marked.orderBy("_unmarked", by_hash, page_id, html).limit(sample).collect()
+        if part == 1 or (len(rows) == sample and not rows[-1]["_unmarked"]):
+            return train_chain(training_pages([r[html] for r in rows]))
+        part = min(1.0, part * 16)
 
 
 MAY_MARK = re.compile(r"<(?:article|main)[\s/>]", re.I)
 
 
 def _find_marked(batches):
-    """(page id, whether the page leaves its article unmarked) of (page id, page)."""
+    """(page id, page, whether the page leaves its article unmarked) of (page id, page)."""
     for batch in batches:
         for first in range(0, batch.num_rows, 500):
             part = batch.slice(first, 500)
             pages = (p.as_py() for p in part.column(1))
             unmarked = [not MAY_MARK.search(p) or self_labelled(blocks(p)) is None for p in pages]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(unmarked, pa.bool_())], [batch.schema.names[0], "_unmarked"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(unmarked, pa.bool_())], [*batch.schema.names, "_unmarked"])
 
 
 def extract_text(pages: DataFrame, model: ChainModel, html: str = "html") -> DataFrame:
