@@ -6,6 +6,10 @@ is coded (method C: the escape counts as often as there are different bytes in t
 next shorter context is asked, without the bytes already ruled out. Below the empty context all bytes
 left are equal. Contexts lie within a word and the white space before it, so a word's code length does
 not depend on its neighbours and is computed once per task for all its copies.
+
+A text is also coded by a model of no language: one bit tells whether labelled texts have the byte, and all bytes that they
+have, or have not, are equally likely. The score is the share that the best language has of the probability that all these models give the
+text: texts in a script or a language that was not learned, and noise, cost more bits in every tree than there, and score low.
 """
 
 from collections import Counter
@@ -17,6 +21,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grantlens.sources.storage import written_while
+
 UNDETERMINED = "und"
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -39,6 +45,8 @@ class ContextTrees:
         self.trees: list[dict[bytes, dict[int, int]]] = [{} for _ in self.languages]
         for lang, gram, n in rows:
             self.trees[number[lang]].setdefault(bytes(gram[:-1]), {})[gram[-1]] = n
+        seen = {gram[-1] for _, gram, _ in rows if len(gram) == 1}
+        self.plain = [1 + log2(len(seen) if s in seen else 256 - len(seen)) for s in range(256)]
         self.lengths: dict[bytes, tuple[float, ...]] = {}
         self._scorer = None
 
@@ -65,7 +73,7 @@ class ContextTrees:
         return -log2(chance / max(1, 256 - len(ruled_out)))
 
     def word(self, word: str) -> list[float]:
-        """Bits of the word in each language."""
+        """Bits of the word in each language, and in none."""
         coded = b" " + word.encode("utf-8", "replace") + b" "
         total = [0.0] * len(self.languages)
         for at in range(1, len(coded)):
@@ -76,7 +84,7 @@ class ContextTrees:
                     self.lengths.clear()
                 bits = self.lengths[gram] = tuple(self._bits(tree, gram) for tree in self.trees)
             total = [a + b for a, b in zip(total, bits)]
-        return total
+        return [*total, sum(self.plain[s] for s in coded[1:])]
 
 
 class Scorer:
@@ -84,7 +92,7 @@ class Scorer:
 
     def __init__(self, trees: ContextTrees, most_words: int = 450_000):
         self.trees, self.most_words = trees, most_words
-        self.width = len(trees.languages) + 1  # the last column counts letters
+        self.width = len(trees.languages) + 2  # the last two columns are for no language and count letters
         self._clear()
 
     def _clear(self):
@@ -104,12 +112,12 @@ class Scorer:
         return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and its share of the probability that the models give the text.
+        """The language and its share of the probability that all models, that of no language too, give the text.
 
         Without a letter, or without a model, it is ``und`` and 0. Ties go to the first by name.
         """
         words = (text or "").lower().split()
-        if not words or self.width == 1:
+        if not words or not self.trees.languages:
             return UNDETERMINED, 0.0
         if len(self.known) > self.most_words:
             self._clear()
@@ -119,8 +127,8 @@ class Scorer:
         if not total[-1]:
             return UNDETERMINED, 0.0
         bits = total[:-1]
-        best = int(bits.argmin())
-        return self.trees.languages[best], float(1.0 / np.exp2(bits[best] - bits).sum())
+        best = int(bits[:-1].argmin())
+        return self.trees.languages[best], float(1.0 / np.exp2(np.minimum(bits[best] - bits, 1000)).sum())
 
 
 def learn_trees(
@@ -134,11 +142,18 @@ def learn_trees(
 ) -> ContextTrees:
     """Trees from whole texts of at most ``texts_per_language`` labelled rows of each language.
 
-    The rows are those with the smallest hash of doc_id; rows with null text or label are not used.
-    Each tree keeps its ``grams_per_language`` most frequent (context, byte) counts, so the model that
+    The rows are those with the smallest hash of doc_id, sought among the lowest hashes only: of a language with n labels
+    those below ``4 * texts_per_language / n`` of the range. Rows with null text or label are not used.
+    Each tree keeps its most frequent contexts, whole ones, so that escapes stay exact: as many as have at most
+    ``grams_per_language`` (context, byte) counts together, those with the same total all or none. The model that
     the driver holds is bounded by this number times the number of languages.
     """
-    usable = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    sizes = {r[0]: r[1] for r in labelled.filter(F.col(lang).isNotNull()).groupBy(lang).count().collect()}
+    if not sizes:
+        return ContextTrees([], order)
+    below = {l: min(2**63 - 1, -(2**63) + 4 * texts_per_language * 2**64 // n) for l, n in sizes.items()}
+    limit = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])[F.col(lang)]
+    usable = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.xxhash64(doc_id) <= limit))
     by_hash = Window.partitionBy(lang).orderBy(F.xxhash64(doc_id), F.col(doc_id))
     ids = usable.select(doc_id, lang).withColumn("_n", F.row_number().over(by_hash))
     ids = ids.filter(F.col("_n") <= texts_per_language).select(doc_id).distinct()
@@ -157,15 +172,28 @@ def learn_trees(
         for label, counter in counts.items():
             keys = list(counter)
             yield pa.RecordBatch.from_pydict(
-                {"lang": [label] * len(keys), "gram": keys, "n": [counter[k] for k in keys]},
-                schema=pa.schema([("lang", pa.string()), ("gram", pa.binary()), ("n", pa.int64())]),
+                {
+                    "lang": [label] * len(keys),
+                    "context": [k[:-1] for k in keys],
+                    "symbol": [k[-1] for k in keys],
+                    "n": [counter[k] for k in keys],
+                },
+                schema=pa.schema([("lang", pa.string()), ("context", pa.binary()), ("symbol", pa.int32()), ("n", pa.int64())]),
             )
 
-    counted = sample.select(lang, text).repartition(8).mapInArrow(count, "lang string, gram binary, n long")
-    summed = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    often = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = summed.withColumn("_r", F.row_number().over(often)).filter(F.col("_r") <= grams_per_language)
-    return ContextTrees([(r["lang"], r["gram"], r["n"]) for r in kept.drop("_r").collect()], order)
+    counted = sample.select(lang, text).repartition(8).mapInArrow(count, "lang string, context binary, symbol int, n long")
+    summed = counted.groupBy("lang", "context", "symbol").agg(F.sum("n").alias("n"))
+    contexts = summed.groupBy("lang", "context").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("symbol", "n")).alias("seen")
+    )
+    with written_while(contexts, "language-contexts") as contexts:
+        # One row for each total that occurs, however many contexts have it.
+        totals = contexts.groupBy("lang", "total").agg(F.sum(F.size("seen")).alias("symbols"))
+        often = Window.partitionBy("lang").orderBy(F.desc("total"))
+        fits = totals.withColumn("sum", F.sum("symbols").over(often)).filter(F.col("sum") <= grams_per_language)
+        least = fits.groupBy("lang").agg(F.min("total").alias("least"))
+        kept = contexts.join(least, "lang").filter("total >= least").collect()
+    return ContextTrees([(r["lang"], bytes(r["context"]) + bytes([x]), n) for r in kept for x, n in r["seen"]], order)
 
 
 def predict_language(documents: DataFrame, trees: ContextTrees, text: str = "text") -> DataFrame:
