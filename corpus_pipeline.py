@@ -14,7 +14,7 @@ LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter, and those whose best language is not likelier than all others.
+    """Drops documents without a letter, and those for which the best language is not likelier than all others and none.
 
     Rows keep their columns as they are. Where nothing is labelled, nothing is learned and only texts without a letter go.
     """
