@@ -7,8 +7,8 @@ list that grows too long is pruned in the same way. A first pass prunes with alp
 alpha. Queries go to every shard, where a beam search from the shard's central point finds their neighbours; the
 shards' best are merged.
 
-A task holds one shard at a time, which has a bounded number of rows, and takes its queries in blocks. Points are
-searched and pruned many at once, in numpy.
+A task holds one shard at a time, which has a bounded number of rows; its queries pass through in Arrow batches and are
+never gathered. Vectors of one direction are one point. Points are searched and pruned many at once, in numpy.
 """
 
 import math
@@ -18,11 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grantlens.llm.minhash import groups
 from grantlens.llm.vectors import is_usable, unit
 
-SHARD_ROWS = 4000
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 256, 1.2
+SHARD_ROWS = 16_000
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 32, 1.2
 WIDTH = 4  # points of a beam that are expanded at once
 BATCH = 128
 
@@ -34,6 +33,7 @@ class PrunedGraph:
         self.points, self.degree = points.astype(np.float32), degree
         n = len(points)
         random = np.random.default_rng(seed)
+        self.visited = 0  # distances that searches computed
         self.center = int((self.points @ self.points.mean(axis=0)).argmax())
         self.edges = np.full((n, degree), -1, dtype=np.int32)
         if n > 1:
@@ -80,6 +80,7 @@ class PrunedGraph:
             seen[lanes, near] = True
             seen[:, -1] = False
             fresh = self._distances(queries, near)
+            self.visited += int((near >= 0).sum())
             ids, far = np.concatenate([ids, near], axis=1), np.concatenate([far, fresh], axis=1)
             done = np.concatenate([done, np.zeros(near.shape, dtype=bool)], axis=1)
             keep = np.argpartition(far, beam - 1, axis=1)[:, :beam]
@@ -139,6 +140,47 @@ class PrunedGraph:
                 self.edges[some[~fits]] = self._prune(some[~fits], both[~fits], stretch)
 
 
+def runs(batches, width: int):
+    """(first ``width`` values, rows) of stretches of batches in which these values are equal."""
+    for batch in batches:
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        changed[:1] = True
+        for k in range(width):
+            values = batch.column(k).to_numpy(zero_copy_only=False)
+            changed[1:] |= values[1:] != values[:-1]
+        starts = [*np.flatnonzero(changed).tolist(), batch.num_rows]
+        for a, b in zip(starts, starts[1:]):
+            yield tuple(batch.column(k)[a].as_py() for k in range(width)), batch.slice(a, b - a)
+
+
+class Shard:
+    """The graph over a shard's directions, and which ids have each of them."""
+
+    def __init__(self, ids: np.ndarray, raw: np.ndarray, most: int):
+        units = unit(raw)
+        # Multiples of a vector differ in the last bits of their unit vectors.
+        _, first, inverse = np.unique(np.round(units, 12) + 0.0, axis=0, return_index=True, return_inverse=True)
+        self.units = units[first]
+        order = np.lexsort((ids, inverse.ravel()))
+        starts = np.searchsorted(inverse.ravel()[order], np.arange(len(first)))
+        # Of a direction's ids the lowest ``most`` can ever be among the nearest.
+        self.owners = [np.unique(part)[:most].tolist() for part in np.split(ids[order], starts[1:])]
+        self.graph = PrunedGraph(self.units)
+
+    def ask(self, ids: np.ndarray, wanted: np.ndarray, k: int, beam: int):
+        """(query id, id, cosine) of each query's ``k`` nearest in the shard, ties to the lower id."""
+        found, _ = self.graph.search(wanted.astype(np.float32), min(beam, len(self.units)))
+        for query, vector, points in zip(ids.tolist(), wanted, found):
+            points = points[points >= 0]
+            scores = np.einsum("ij,j->i", self.units[points], vector)
+            # One place may be the query's own; all that tie with the last one stay.
+            near = scores >= np.sort(scores)[::-1][: k + 1][-1]
+            pairs = sorted(
+                (-s, i) for s, p in zip(scores[near].tolist(), points[near]) for i in self.owners[p] if i != query
+            )
+            yield from ((query, i, -s) for s, i in pairs[:k])
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -168,40 +210,25 @@ def nearest(
     together = placed.unionByName(sent).repartition(4 * shards, "shard", "size")
 
     def run(batches):
-        graph = owners = units = place = None
-        for group in groups(batches, 3):
-            now = tuple(group.column(c)[0].as_py() for c in (0, 1))
-            ids = group.column(3).to_numpy()
-            raw = group.column(4).combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            if group.column(2)[0].as_py() == 0:
-                different, inverse = np.unique(raw, axis=0, return_inverse=True)
-                units, place = unit(different), now
-                order = np.lexsort((ids, inverse))
-                starts = np.searchsorted(inverse.ravel()[order], np.arange(len(different)))
-                # Equal vectors are one point; of its ids the lowest k + 1 can ever be among the nearest.
-                owners = [np.unique(part)[: k + 1] for part in np.split(ids[order], starts[1:])]
-                graph = PrunedGraph(units)
+        shard, place, held = None, None, []
+        for (*now, asks), rows in runs(batches, 3):
+            if not asks:
+                if now != place:
+                    place, held, shard = now, [], None
+                held.append(rows)
                 continue
-            if place != now:
+            if now != place:
                 continue  # a shard without candidates
-            wanted = unit(raw)
-            width = min(max(beam, 2 * (k + 1)), len(units))
+            if shard is None:
+                shard = Shard(*_ids_and_vectors(pa.Table.from_batches(held)), k + 1)
+                held = []
+            ids, raw = _ids_and_vectors(pa.Table.from_batches([rows]))
             for at in range(0, len(ids), BATCH):
-                found, _ = graph.search(wanted[at : at + BATCH].astype(np.float32), width)
-                rows = []
-                for query, vector, points in zip(ids[at : at + BATCH], wanted[at : at + BATCH], found):
-                    points = points[points >= 0]
-                    scores = np.einsum("ij,j->i", units[points], vector)
-                    best = points[np.argsort(-scores, kind="stable")[: 4 * (k + 1)]]
-                    scores = np.sort(-scores, kind="stable")[: 4 * (k + 1)]
-                    pairs = sorted((s, i) for s, p in zip(scores.tolist(), best) for i in owners[p].tolist() if i != query)
-                    rows += [(int(query), i, -s) for s, i in pairs[:k]]
-                if rows:
-                    columns = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())],
-                        ["query_id", "vec_id", "score"],
-                    )
+                some = slice(at, at + BATCH)
+                found = list(shard.ask(ids[some], unit(raw[some]), k, max(beam, 2 * (k + 1))))
+                if found:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.int64(), pa.float64()))]
+                    yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
     sorted_rows = together.sortWithinPartitions("shard", "size", "asks")
     found = sorted_rows.mapInArrow(run, "query_id long, vec_id long, score double")
@@ -209,3 +236,8 @@ def nearest(
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = once.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _ids_and_vectors(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    ids = rows.column(3).to_numpy()
+    return ids, rows.column(4).combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
