@@ -8,7 +8,7 @@ spreads, bounds the cosine from above: a pair whose bound is below the threshold
 is computed again from the vectors in double precision.
 
 Candidates share a band, a stretch of their codes: a stretch has as many bits as bring about 128 vectors to
-a value, and there are as many bands as let a pair at the threshold miss all of them once in a thousand.
+a value, and there are as many bands as let a pair at the threshold miss all of them once in a million.
 Each pair is counted in the first band that its two codes share, so pairs are never put in a table to be
 made distinct: a task gives counts for each vector, and for components a tree over the vectors it
 found linked. Values shared by very many vectors are cut into blocks, a pair of blocks for a task.
@@ -33,7 +33,7 @@ BLOCK = 1024
 IN_BAND = 128
 
 
-def bands_for(count: int, threshold: float, missed: float = 1e-3) -> tuple[int, int]:
+def bands_for(count: int, threshold: float, missed: float = 1e-6) -> tuple[int, int]:
     """(bits of a band, number of bands) for so many vectors."""
     bits = min(30, max(8, round(math.log2(max(1, count) / IN_BAND))))
     together = (1 - math.acos(threshold) / math.pi) ** bits
@@ -173,7 +173,6 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
         for batch in batches:
             for place, matrix in by_length(batch.column(2)):
                 codes, factors, values = coder_of(matrix.shape[1]).encode(unit(matrix))
-                keys = values + (np.arange(bands, dtype=np.int64) << 32) + (matrix.shape[1] << 42)
                 part = batch.take(pa.array(place))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -182,7 +181,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
                         part.column(2),
                         pa.array([c.tobytes() for c in codes], pa.binary()),
                         pa.array(list(factors.astype(np.float32)), pa.list_(pa.float32())),
-                        pa.array(list(keys), pa.list_(pa.int64())),
+                        pa.array(list(values), pa.list_(pa.int64())),
                     ],
                     ["node", "copies", "_v", "code", "factors", "bands"],
                 )
@@ -192,19 +191,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
         encode, f"node long, copies long, _v {kind}, code binary, factors array<float>, bands array<long>"
     )
     encoded = written(encoded, "vector-codes")
-    counts = encoded.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    cuts = written(counts.filter(F.col("n") > BLOCK).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("g")), "vector-cuts")
-    spread = encoded.select("node", "copies", "_v", "code", "factors", F.explode("bands").alias("key"))
-    spread = spread.join(cuts, "key", "left").withColumn("g", F.coalesce("g", F.lit(1)))
+    key = ["length", "band", "value"]
+    in_bands = encoded.select("*", F.size("_v").alias("length"), F.posexplode("bands").alias("band", "value"))
+    counts = in_bands.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    cuts = written(counts.filter(F.col("n") > BLOCK).select(*key, F.ceil(F.col("n") / BLOCK).cast("int").alias("g")), "vector-cuts")
+    spread = in_bands.drop("bands").join(cuts, key, "left").withColumn("g", F.coalesce("g", F.lit(1)))
     own = F.pmod(F.xxhash64("node"), F.col("g")).cast("int")
     tasks = F.transform(
         F.sequence(F.lit(0), F.col("g") - 1),
         lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), own.alias("own")),
     )
     dealt = spread.withColumn("_t", F.explode(tasks)).select(
-        "key", F.col("_t.i").alias("i"), F.col("_t.j").alias("j"), F.col("_t.own").alias("own"), "node", "copies", "_v", "code", "factors"
+        *key, F.col("_t.i").alias("i"), F.col("_t.j").alias("j"), F.col("_t.own").alias("own"), "node", "copies", "_v", "code", "factors"
     )
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = dealt.repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j")
 
     def compare(batches):
         links, trees, most = {}, [], 100_000
@@ -219,17 +219,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
             trees.clear()
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
 
-        for group in groups(batches, 3):
+        for group in groups(batches, 5):
             if group.num_rows < 2:
                 continue
             group = group.combine_chunks()
-            key, i, j = (group.column(c)[0].as_py() for c in range(3))
-            band, length = (key >> 32) & 1023, key >> 42
-            own, node, copies = (group.column(c).to_numpy() for c in (3, 4, 5))
-            ((_, matrix),) = by_length(group.column(6).combine_chunks())
+            length, band, _, i, j = (group.column(c)[0].as_py() for c in range(5))
+            own, node, copies = (group.column(c).to_numpy() for c in (5, 6, 7))
+            ((_, matrix),) = by_length(group.column(8).combine_chunks())
             coder, units = coder_of(length), unit(matrix)
-            codes = np.frombuffer(b"".join(group.column(7).to_pylist()), dtype="<u8").reshape(len(node), -1)
-            factors = group.column(8).combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+            codes = np.frombuffer(b"".join(group.column(9).to_pylist()), dtype="<u8").reshape(len(node), -1)
+            factors = group.column(10).combine_chunks().flatten().to_numpy().reshape(len(node), -1)
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
             a, b = linked_pairs(coder, units, codes, factors, left, right, i == j, threshold)
             if not len(a):
