@@ -86,6 +86,7 @@ def mix(
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
+    size: str | None = None,
 ) -> DataFrame:
     """All rows with ``_mix_size``, ``_mix_source_size``, ``_mix_target`` and ``_mix_copies``.
 
@@ -93,12 +94,13 @@ def mix(
     a source of its own; a source of size 0 has target 0. Rows that repeat are documents of their own;
     which of two rows equal in doc_id, source and size is taken does not change the result's rows as
     far as these columns go. A null doc_id is ordered first. Other columns are kept whatever their
-    names, as long as they do not start with ``_mix_``. Two runs give the same rows.
+    names, as long as they do not start with ``_mix_``. ``size`` names a column of whole numbers from 0 that has the sizes
+    already; then ``text`` is not read, and without it each text is worked through twice. Two runs give the same rows.
     """
-    size = word_count(F.col(text))
+    counted = F.col(size).cast("long") if size else word_count(F.col(text))
     sized = documents.withColumns(
         {
-            "_mix_size": size,
+            "_mix_size": counted,
             "_mix_key": F.concat(F.when(F.col(source).isNull(), "-").otherwise("+"), F.coalesce(source, F.lit(""))),
             "_mix_share": F.coalesce(F.pmod(F.col(doc_id), F.lit(SHARES)), F.lit(0)).cast("int"),
         }

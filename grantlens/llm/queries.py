@@ -7,6 +7,7 @@ from grantlens.llm import (
     alignment, graph_search, html_extraction, language, minhash, mixing, packing, pivot_codes, positional_index, rotation_codes,
     token_shards, url_filter, warc,
 )
+from grantlens.sources.storage import written
 
 QUERIES = {}
 ORACLES = {}
@@ -26,8 +27,10 @@ def table(spark, folder, name):
 
 @register
 def op5_mixing(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", "source", "text")
-    return mixing.mix(documents).select(
+    # The words of each text are counted once; the numbers are read again in its place.
+    counted = mixing.word_count(F.col("text")).alias("words")
+    documents = written(table(spark, folder, "documents").select("doc_id", "source", counted), "mix-sizes")
+    return mixing.mix(documents, size="words").select(
         "doc_id",
         F.col("_mix_size").alias("size"),
         F.col("_mix_source_size").alias("source_size"),
