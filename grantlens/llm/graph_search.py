@@ -4,8 +4,12 @@ Vectors are dealt to shards by the hash of their id. A shard's graph starts rand
 looked for by greedy search, and of the points met on the way, and its neighbours so far, those are kept that no
 nearer kept one is ``alpha`` times closer to (Subramanya and others, 2019). Edges are added backwards too, and a
 list that grows too long is pruned in the same way. A first pass prunes with alpha 1, a second one with the relaxed
-alpha. Queries go to every shard, where a beam search from the shard's central point finds their neighbours; the
-shards' best are merged.
+alpha. Queries go to every shard, where a beam search finds their neighbours; the shards' best are merged.
+
+Searches start from landmarks, half of them dealt by chance and half each the farthest from all before it, and from one
+point of every part of the graph that these do not reach; so rows in tight groups without edges between them are found too. How
+wide a beam must be hangs on the rows: of every batch of queries some are compared with all points of the shard, and
+the batch is searched again with twice the beam while too many of their neighbours are missed.
 
 A task holds one shard at a time, which has a bounded number of rows; its queries pass through in Arrow batches and are
 never gathered. Vectors of one direction are one point. Points are searched and pruned many at once, in numpy.
@@ -22,19 +26,24 @@ from grantlens.llm.vectors import is_usable, unit
 
 SHARD_ROWS = 16_000
 DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 32, 1.2
-WIDTH = 4  # points of a beam that are expanded at once
+WIDTH = 4  # points of a beam that are expanded at once; of wide beams a sixteenth
 BATCH = 128
+LANDMARKS = 4  # times the root of the number of points
+CHECKED, REACHED = 32, 0.98  # queries of a batch that are compared with all points, and the share of neighbours to find
+AT_ONCE = 8_000_000  # components in a block of differences
 
 
 class PrunedGraph:
     """The graph over the rows of ``points``, unit vectors all different."""
 
     def __init__(self, points: np.ndarray, degree=DEGREE, beam=BUILD_BEAM, alpha=ALPHA, seed=7):
-        self.points, self.degree = points.astype(np.float32), degree
+        # Moved to their mean, so that single precision is enough for points that are close to each other.
+        self.origin = points.mean(axis=0)
+        self.points, self.degree = (points - self.origin).astype(np.float32), degree
         n = len(points)
         random = np.random.default_rng(seed)
         self.visited = 0  # distances that searches computed
-        self.center = int((self.points @ self.points.mean(axis=0)).argmax())
+        self.entries = self._landmarks(random, min(n, math.ceil(LANDMARKS * math.sqrt(n))))
         self.edges = np.full((n, degree), -1, dtype=np.int32)
         if n > 1:
             start = random.integers(0, n - 1, size=(n, min(degree, n - 1)))
@@ -44,28 +53,75 @@ class PrunedGraph:
             order = random.permutation(n)
             for at in range(0, n, BATCH):
                 self._insert(order[at : at + BATCH], beam, stretch)
+        self._reach_all()
+
+    def _landmarks(self, random, count: int) -> np.ndarray:
+        """The point nearest to the mean, some by chance, and then each time the point farthest from all so far."""
+        norms = np.einsum("ij,ij->i", self.points, self.points)
+        far = np.full(len(self.points), np.inf, dtype=np.float32)
+        found = [int(norms.argmin()), *random.permutation(len(self.points))[: count // 2].tolist()]
+        for at in range(count):
+            if at == len(found):
+                found.append(int(far.argmax()))
+            far = np.minimum(far, norms - 2 * (self.points @ self.points[found[at]]) + norms[found[at]])
+        return np.unique(found).astype(np.int32)
+
+    def _reach_all(self) -> None:
+        """Adds an entry for every part of the graph that the entries do not lead to."""
+        reached = np.zeros(len(self.points), dtype=bool)
+        added, fresh, at = [], self.entries, 0
+        while True:
+            while len(fresh):
+                reached[fresh] = True
+                near = np.unique(self.edges[fresh])
+                near = near[near >= 0]
+                fresh = near[~reached[near]]
+            while at < len(reached) and reached[at]:
+                at += 1
+            if at == len(reached):
+                break
+            added.append(at)
+            fresh = np.array([at], dtype=np.int32)
+        self.entries = np.concatenate([self.entries, np.array(added, dtype=np.int32)])
 
     def _distances(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Squared distances of each query to its row of ids; infinite for -1."""
-        found = 2 - 2 * np.einsum("bcd,bd->bc", self.points[ids], queries)
+        found = np.empty(ids.shape, dtype=np.float32)
+        step = max(1, AT_ONCE // max(1, queries.size))
+        for at in range(0, ids.shape[1], step):
+            apart = self.points[ids[:, at : at + step]]
+            apart -= queries[:, None, :]
+            np.einsum("bcd,bcd->bc", apart, apart, out=found[:, at : at + step])
         found[ids < 0] = np.inf
-        return np.maximum(found, 0)
+        return found
+
+    def find(self, queries: np.ndarray, beam: int):
+        """(ids, distances) of the beams of unit vectors, nearest first."""
+        return self.search((queries - self.origin).astype(np.float32), beam)
 
     def search(self, queries: np.ndarray, beam: int, met: bool = False):
-        """(ids, distances) of the beams, nearest first; with ``met`` the ids of all expanded points."""
+        """(ids, distances) of the beams, nearest first; with ``met`` the ids of all expanded points.
+
+        ``queries`` are moved as the points are.
+        """
         count, n = len(queries), len(self.points)
         lanes = np.arange(count)[:, None]
-        ids = np.full((count, beam), -1, dtype=np.int32)
-        ids[:, 0] = self.center
-        far = np.full((count, beam), np.inf, dtype=np.float32)
-        far[:, 0] = self._distances(queries, ids[:, :1])[:, 0]
+        starts = np.broadcast_to(self.entries, (count, len(self.entries)))
+        far = self._distances(queries, starts)
+        self.visited += far.size
+        if far.shape[1] > beam:
+            keep = np.argpartition(far, beam - 1, axis=1)[:, :beam]
+            ids, far = np.take_along_axis(starts, keep, axis=1), np.take_along_axis(far, keep, axis=1)
+        else:
+            blank = ((0, 0), (0, beam - far.shape[1]))
+            ids, far = np.pad(starts, blank, constant_values=-1), np.pad(far, blank, constant_values=np.inf)
         done = np.zeros((count, beam), dtype=bool)
         seen = np.zeros((count, n + 1), dtype=bool)  # the last column takes what -1 marks
-        seen[:, self.center] = True
+        seen[:, self.entries] = True
         expanded = []
         while True:
             waiting = np.where(done, np.inf, far)
-            width = min(WIDTH, beam)
+            width = min(max(WIDTH, beam // 16), beam)
             best = np.argpartition(waiting, width - 1, axis=1)[:, :width]
             open_ = np.isfinite(np.take_along_axis(waiting, best, axis=1))
             if not open_.any():
@@ -100,8 +156,10 @@ class PrunedGraph:
         candidates, far = (np.take_along_axis(x, order, axis=1) for x in (candidates, far))
         width = int(np.isfinite(far).sum(axis=1).max(initial=0))
         candidates, far = candidates[:, :width], far[:, :width]
-        spots = self.points[candidates]
-        between = np.maximum(2 - 2 * np.matmul(spots, spots.transpose(0, 2, 1)), 0) * stretch**2
+        spots = self.points[candidates] - self.points[rows][:, None, :]
+        between = np.matmul(spots, spots.transpose(0, 2, 1))
+        sizes = np.einsum("bcd,bcd->bc", spots, spots)
+        between = np.maximum(sizes[:, :, None] + sizes[:, None, :] - 2 * between, 0) * stretch**2
         alive, kept = np.isfinite(far), np.full((len(rows), self.degree), -1, dtype=np.int32)
         counts = np.zeros(len(rows), dtype=np.int64)
         for at in range(width):
@@ -166,10 +224,28 @@ class Shard:
         # Of a direction's ids the lowest ``most`` can ever be among the nearest.
         self.owners = [np.unique(part)[:most].tolist() for part in np.split(ids[order], starts[1:])]
         self.graph = PrunedGraph(self.units)
+        self.beam = 0  # that the queries so far needed
+
+    def _beams(self, wanted: np.ndarray, k: int, beam: int) -> np.ndarray:
+        """The points found for each query; some queries are looked at in full to see whether the beam is wide enough."""
+        n = len(self.units)
+        beam = min(max(beam, self.beam), n)
+        some = np.linspace(0, len(wanted) - 1, min(CHECKED, len(wanted))).astype(int)
+        full = wanted[some] @ self.units.T
+        least = np.partition(full, n - min(k, n), axis=1)[:, n - min(k, n)]
+        while True:
+            found, _ = self.graph.find(wanted, beam)
+            near = np.take_along_axis(full, np.maximum(found[some], 0), axis=1)
+            hits = ((near >= least[:, None] - 1e-15) & (found[some] >= 0)).sum(axis=1)
+            if beam == n or np.minimum(hits, min(k, n)).sum() >= REACHED * min(k, n) * len(some):
+                break
+            beam = min(2 * beam, n)
+        self.beam = beam
+        return found
 
     def ask(self, ids: np.ndarray, wanted: np.ndarray, k: int, beam: int):
         """(query id, id, cosine) of each query's ``k`` nearest in the shard, ties to the lower id."""
-        found, _ = self.graph.search(wanted.astype(np.float32), min(beam, len(self.units)))
+        found = self._beams(wanted, k + 1, beam)
         for query, vector, points in zip(ids.tolist(), wanted, found):
             points = points[points >= 0]
             scores = np.einsum("ij,j->i", self.units[points], vector)

@@ -53,3 +53,33 @@ def test_queries_pass_in_batches():
     assert [(key, rows.num_rows) for key, rows in graph_search.runs([batch, batch.slice(2)], 2)] == [
         ((1, 0), 1), ((1, 1), 1), ((2, 1), 1), ((2, 1), 1),
     ]
+
+
+def _recall(rows: np.ndarray, step: int = 20, k: int = 5) -> float:
+    ids, units = np.arange(len(rows)), unit(rows)
+    got = collections.defaultdict(set)
+    for query, found, _ in graph_search.Shard(ids, rows, k + 1).ask(ids[::step], units[::step], k, graph_search.SEARCH_BEAM):
+        got[query].add(found)
+    cosines = units[::step] @ units.T
+    cosines[np.arange(len(cosines)), ids[::step]] = -2
+    best = np.argsort(-cosines, axis=1)[:, :k].tolist()
+    return np.mean([len(got[q] & set(b)) / k for q, b in zip(ids[::step].tolist(), best)])
+
+
+def test_groups_far_apart_are_found():
+    random = np.random.default_rng(1)
+    centers = random.standard_normal((10, 64))
+    assert _recall(centers[random.integers(0, 10, 2000)] + 0.3 * random.standard_normal((2000, 64))) >= 0.95
+
+
+def test_rows_about_a_common_direction_are_told_apart():
+    random = np.random.default_rng(2)
+    assert _recall(100 + 0.05 * random.standard_normal((2000, 64))) >= 0.95
+
+
+def test_every_point_is_reached():
+    random = np.random.default_rng(3)
+    rows = np.repeat(random.standard_normal((40, 16)), 50, axis=0) + 1e-4 * random.standard_normal((2000, 16))
+    graph = graph_search.PrunedGraph(unit(rows))
+    found, far = graph.find(unit(rows[:4]), len(rows))
+    assert np.isfinite(far).all() and (np.sort(found, axis=1) == np.arange(len(rows))).all()
