@@ -11,6 +11,25 @@ def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_words_are_counted_row_by_row(spark):
+    docs = spark.createDataFrame([("1", "A b, a", "b É c_c"), ("2", None, ""), ("3", "x", None), (None, "y", "y")], DOCS)
+    index = S.build_index(docs)
+    plan = plan_of(index.postings)
+    assert "Aggregate" not in plan and "Sort" not in plan
+    got = {(r.patent_id, r.term): (r.tf, r.doc_len, r.positions) for r in index.postings.collect()}
+    assert got == {
+        ("1", "a"): (2, 7, [0, 2]), ("1", "b"): (2, 7, [1, 4]), ("1", "É"): (1, 7, [5]), ("1", "c"): (2, 7, [6, 7]),
+        ("3", "x"): (1, 1, [0]), (None, "y"): (2, 2, [0, 2]),
+    }
+
+
+def test_rows_that_share_an_id_are_put_together(spark):
+    docs = spark.createDataFrame([("1", "a b", "c"), ("1", "b", "c d"), ("2", "a", "a"), (None, "z", ""), (None, "z", "")], DOCS)
+    index, plain = S.build_index(docs), S.make_postings(docs)
+    rows = lambda frame: sorted(map(repr, frame.select("term", "patent_id", "tf", "doc_len", "positions").collect()))
+    assert rows(index.postings) == rows(plain) == rows(S.flat_postings(index.by_patent))
+
+
 def test_grams_walk_a_title_once(spark):
     docs = spark.createDataFrame([("1", "Abcab"), ("2", "é\U0001f600x"), ("3", "ab"), ("4", "q"), ("5", ""), ("6", None)], "patent_id string, title string")
     grams = S.title_grams(docs)
