@@ -41,3 +41,10 @@ def test_grams_walk_a_title_once(spark):
         "1": ["", "ab", "abc", "bc", "bca", "ca", "cab"], "2": ["", "é\U0001f600", "é\U0001f600x", "\U0001f600x"],
         "3": ["", "ab"], "4": [""], "5": [""],
     }
+
+
+def test_raw_files_are_written_by_many_tasks(spark, monkeypatch):
+    plans, write = [], R._write_tsv
+    monkeypatch.setattr(R, "_write_tsv", lambda frame, path: (plans.append(plan_of(frame)), write(frame, path)))
+    assert R.src_raw_tsv(DriverTables(spark, "/root/testdata/sf0.001")).count() == 1500
+    assert "Coalesce" not in plans[0]
