@@ -48,3 +48,10 @@ def test_raw_files_are_written_by_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(R, "_write_tsv", lambda frame, path: (plans.append(plan_of(frame)), write(frame, path)))
     assert R.src_raw_tsv(DriverTables(spark, "/root/testdata/sf0.001")).count() == 1500
     assert "Coalesce" not in plans[0]
+
+
+def test_the_second_format_comes_from_the_first(spark, monkeypatch):
+    plans, write = [], R.store.write_model
+    monkeypatch.setattr(R.store, "write_model", lambda model, *a: write(model, *a) if plans.extend(plan_of(model[n]) for n in model if n == "patents") is None else None)
+    R.src_clean_tables(DriverTables(spark, "/root/testdata/sf0.001"))
+    assert "Join" in plans[0] and "Join" not in plans[1]
