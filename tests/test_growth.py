@@ -3,6 +3,7 @@
 from grantlens.operators import search as S
 from grantlens.plans import registry as R
 from grantlens.plans.driver_tables import DriverTables
+from grantlens.sources import index_store, storage
 
 DOCS = "patent_id string, title string, abstract string"
 
@@ -55,3 +56,27 @@ def test_the_second_format_comes_from_the_first(spark, monkeypatch):
     monkeypatch.setattr(R.store, "write_model", lambda model, *a: write(model, *a) if plans.extend(plan_of(model[n]) for n in model if n == "patents") is None else None)
     R.src_clean_tables(DriverTables(spark, "/root/testdata/sf0.001"))
     assert "Join" in plans[0] and "Join" not in plans[1]
+
+
+def test_tasks_of_an_index_follow_its_texts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "TEXT_PER_TASK", 50, raising=False)
+    monkeypatch.setattr(index_store, "WORDS_PER_TASK", 10, raising=False)
+    docs = spark.createDataFrame([(str(n), "a b", f"c d e w{n}") for n in range(40)] + [("none", None, " ")], DOCS)
+    index = S.build_index(docs)
+    assert index.postings.rdd.getNumPartitions() >= 8
+    index_store.write_index(index, str(tmp_path), buckets=1, slots=4)
+    assert len(list(tmp_path.glob("postings/segment=0/bucket=0/*.parquet"))) >= 20
+    rows = lambda found: sorted(map(repr, S.index_rows(found).collect()))
+    stored = index_store.read_index(spark, str(tmp_path))
+    assert rows(stored) == rows(index) and stored.documents.count() == 41
+    assert stored.blocks.groupBy("bucket", "term", "band").count().filter("count > 1").isEmpty()
+
+
+def test_splits_are_small_only_within_the_block(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with storage.small_splits(spark, 1000):
+        assert spark.conf.get(name) == "1000"
+        with storage.small_splits(spark, 5000):
+            assert spark.conf.get(name) == "1000"
+    assert spark.conf.get(name) == before
