@@ -1,5 +1,7 @@
 """Steps that must grow no faster than their input: no gathering of words, no walk up to every character, no single task."""
 
+from pyspark.sql import functions as F
+
 from grantlens.operators import search as S
 from grantlens.plans import registry as R
 from grantlens.plans.driver_tables import DriverTables
@@ -80,3 +82,14 @@ def test_splits_are_small_only_within_the_block(spark):
         with storage.small_splits(spark, 5000):
             assert spark.conf.get(name) == "1000"
     assert spark.conf.get(name) == before
+
+
+def test_tokens_are_counted_within_their_row(spark):
+    docs = spark.createDataFrame([("1", "A b, a", "b É c_c"), ("2", None, ""), ("3", "x", None), (None, "y", "y")], DOCS)
+    got = S.tokenize(docs)
+    assert "Aggregate" not in plan_of(got)
+    rows = lambda frame: sorted(map(repr, frame.select("patent_id", "term", "tf").collect()))
+    plain = lambda d: S._words(d, "ascii").groupBy("patent_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    assert rows(got) == rows(plain(docs))
+    twice = docs.union(docs.filter("patent_id = '1' OR patent_id IS NULL"))
+    assert rows(S.tokenize(twice)) == rows(plain(twice))
