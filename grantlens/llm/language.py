@@ -12,6 +12,7 @@ have, or have not, are equally likely. The score is the share that the best lang
 text: texts in a script or a language that was not learned, and noise, cost more bits in every tree than there, and score low.
 """
 
+import uuid
 from collections import Counter
 from math import log2
 
@@ -21,6 +22,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grantlens.llm.kept import kept
 from grantlens.sources.storage import written_while
 
 UNDETERMINED = "und"
@@ -48,12 +50,11 @@ class ContextTrees:
         seen = {gram[-1] for _, gram, _ in rows if len(gram) == 1}
         self.plain = [1 + log2(len(seen) if s in seen else 256 - len(seen)) for s in range(256)]
         self.lengths: dict[bytes, tuple[float, ...]] = {}
-        self._scorer = None
+        self.name = uuid.uuid4().hex
 
     def scorer(self) -> "Scorer":
-        """One scorer, and so one cache of words, for all tasks of a Python worker."""
-        self._scorer = self._scorer or Scorer(self)
-        return self._scorer
+        """One scorer, and so one cache of words, for all tasks of a Python worker, until it needs something else."""
+        return kept(("language", self.name), lambda: Scorer(self))
 
     def _bits(self, tree, gram: bytes) -> float:
         context, symbol = gram[:-1], gram[-1]

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlens.llm.components import components
+from grantlens.llm.kept import kept
 from grantlens.sources.storage import written
 
 SHINGLE = 5
@@ -109,6 +110,7 @@ def sketch(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     names = ["doc_id", "text_key", "n_shingles", "digest", "bands", *WORD_NAMES]
 
     def run(batches):
+        kept("minhash", object)  # gives up the caches of other operators
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)

@@ -9,6 +9,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from tokenizers import Tokenizer
 
+from grantlens.llm.kept import kept
+
 WORD_END = "</w>"
 MARKS = ".,;:!?"
 
@@ -90,14 +92,9 @@ class WordEncoder:
         return [b"".join(map(ids_of, words)) for words in split]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder_for(path: str) -> WordEncoder:
-    """One encoder for each Python worker and tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    """One encoder for each Python worker, kept until the worker needs something else."""
+    return kept(("words", path), lambda: WordEncoder(path))
 
 
 def encoded(path: str, batches, key: int, text: int, characters: int = 2_000_000) -> Iterator[tuple]:
