@@ -12,12 +12,16 @@ have, or have not, are equally likely. The score is the share that the best lang
 text: texts in a script or a language that was not learned, and noise, cost more bits in every tree than there, and score low.
 """
 
+import string
 import uuid
 from collections import Counter
+from collections.abc import Iterator
+from itertools import chain, repeat
 from math import log2
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +30,7 @@ from grantlens.llm.kept import kept
 from grantlens.sources.storage import written_while
 
 UNDETERMINED = "und"
+MARKS = string.punctuation
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
@@ -48,8 +53,9 @@ class ContextTrees:
         for lang, gram, n in rows:
             self.trees[number[lang]].setdefault(bytes(gram[:-1]), {})[gram[-1]] = n
         seen = {gram[-1] for _, gram, _ in rows if len(gram) == 1}
-        self.plain = [1 + log2(len(seen) if s in seen else 256 - len(seen)) for s in range(256)]
-        self.lengths: dict[bytes, tuple[float, ...]] = {}
+        self.seen = np.isin(np.arange(256), list(seen))
+        self.plain = [1 + log2(max(1, n)) for n in (256 - len(seen), len(seen))]  # of a byte labelled texts have not, or have
+        self.packed, self.bits = np.zeros(0, dtype=np.uint64), np.zeros((0, len(self.languages)))  # of grams met so far
         self.name = uuid.uuid4().hex
 
     def scorer(self) -> "Scorer":
@@ -79,51 +85,122 @@ class ContextTrees:
         total = [0.0] * len(self.languages)
         for at in range(1, len(coded)):
             gram = coded[max(0, at - self.order) : at + 1]
-            bits = self.lengths.get(gram)
-            if bits is None:
-                if len(self.lengths) > 200_000:
-                    self.lengths.clear()
-                bits = self.lengths[gram] = tuple(self._bits(tree, gram) for tree in self.trees)
-            total = [a + b for a, b in zip(total, bits)]
-        return [*total, sum(self.plain[s] for s in coded[1:])]
+            total = [bits + self._bits(tree, gram) for bits, tree in zip(total, self.trees)]
+        return [*total, sum(self.plain[int(self.seen[s])] for s in coded[1:])]
+
+    def _rows(self, grams: np.ndarray) -> np.ndarray:
+        """Bits in each language of ascending packed grams; at most 200,000 are kept beside those asked for."""
+        missing = grams[~np.isin(grams, self.packed, assume_unique=True)]
+        if len(missing):
+            raw = [x[-(x[0] + 1) :] for x in map(int.to_bytes, missing.tolist(), repeat(8))]
+            rows = np.array([[self._bits(tree, gram) for tree in self.trees] for gram in raw])
+            if len(self.packed) > 200_000:
+                stay = np.isin(self.packed, grams, assume_unique=True)
+                self.packed, self.bits = self.packed[stay], self.bits[stay]
+            packed = np.concatenate([self.packed, missing])
+            order = np.argsort(packed)
+            self.packed, self.bits = packed[order], np.concatenate([self.bits, rows])[order]
+        return self.bits[np.searchsorted(self.packed, grams)]
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """``word`` of each word: the bits of its bytes, added up from the first to the last.
+
+        A byte and its context are packed into one number, the context's length in front; longer contexts are coded word by word.
+        """
+        if self.order > 6:
+            return np.array([self.word(word) for word in words])
+        raw = [b" " + word.encode("utf-8", "replace") + b" " for word in words]
+        size = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        order = np.argsort(-size, kind="stable")
+        raw, size = [raw[n] for n in order.tolist()], size[order]
+        text = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        starts = np.cumsum(size) - size
+        at = np.arange(len(text)) - np.repeat(starts, size)
+        packed = np.zeros(len(text), dtype=np.uint64)
+        for back in range(self.order, -1, -1):
+            before = np.concatenate([np.zeros(back, dtype=np.uint8), text])[: len(text)]
+            packed = packed << np.uint64(8) | np.where(at >= back, before, 0).astype(np.uint64)
+        packed |= np.minimum(at, self.order).astype(np.uint64) << np.uint64(56)
+        grams, place = np.unique(packed[at > 0], return_inverse=True)
+        bits = self._rows(grams)
+        total = np.zeros((len(raw), len(self.languages) + 1))
+        starts -= np.arange(len(raw))  # the first byte of a word is only context
+        for n in range(int(size[0]) - 1):
+            long = int(np.searchsorted(-size, -(n + 1)))
+            total[:long, :-1] += bits[place[starts[:long] + n]]
+        known = np.add.reduceat((self.seen[text] & (at > 0)).astype(np.int64), np.cumsum(size) - size)
+        of_none = known * np.longdouble(self.plain[1]) + (size - 1 - known) * np.longdouble(self.plain[0])
+        total[:, -1] = of_none.astype(np.float64)
+        found = np.empty_like(total)
+        found[order] = total
+        return found
 
 
 class Scorer:
-    """Sums words' code lengths; the words are cached up to ``most_words``."""
+    """Sums words' code lengths; the words are cached up to ``most_words``. Of a full cache those that came again stay, the
+    commonest first, and at most half."""
 
-    def __init__(self, trees: ContextTrees, most_words: int = 450_000):
+    def __init__(self, trees: ContextTrees, most_words: int = 400_000):
         self.trees, self.most_words = trees, most_words
-        self.width = len(trees.languages) + 2  # the last two columns are for no language and count letters
-        self._clear()
-
-    def _clear(self):
         self.known: dict[str, int] = {}
-        self.table = np.zeros((1024, self.width))
-
-    def _learn(self, token: str) -> int:
-        at = len(self.known)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        row = np.zeros(self.width)
-        for word in LETTERS.findall(token):
-            row[:-1] += self.trees.word(word)
-            row[-1] += len(word)
-        self.table[at] = row
-        self.known[token] = at
-        return at
+        self.table = np.zeros((0, len(trees.languages) + 2))  # the last two columns are for no language and count letters
+        self.uses = np.zeros(0, dtype=np.int64)
+
+    def _learn(self, tokens: list[str]) -> None:
+        """Adds tokens: the sums of their words, the first words of all tokens first, then the second ones."""
+        cut = []
+        for token in tokens:
+            base = token.rstrip(MARKS)
+            cut.append([base] if base.isascii() and base.isalpha() else LETTERS.findall(token))
+        number = {word: n for n, word in enumerate(dict.fromkeys(chain.from_iterable(cut)))}
+        rows = np.zeros((len(tokens), self.table.shape[1]))
+        if number:
+            bits, letters = self.trees.words(list(number)), np.fromiter(map(len, number), dtype=np.int64, count=len(number))
+            for depth in range(max(map(len, cut))):
+                at = [n for n, words in enumerate(cut) if len(words) > depth]
+                words = np.fromiter((number[cut[n][depth]] for n in at), dtype=np.int64, count=len(at))
+                rows[at, :-1] += bits[words]
+                rows[at, -1] += letters[words]
+        self.known.update(zip(tokens, range(len(self.table), len(self.table) + len(tokens))))
+        self.table = np.concatenate([self.table, rows])
+        self.uses = np.concatenate([self.uses, np.zeros(len(tokens), dtype=np.int64)])
+
+    def _shrink(self) -> None:
+        again = np.flatnonzero(self.uses > 1)
+        stay = np.sort(again[np.argsort(-self.uses[again], kind="stable")[: self.most_words // 2]])
+        new = np.full(len(self.uses), -1, dtype=np.int64)
+        new[stay] = np.arange(len(stay))
+        self.known = {token: n for token, old in self.known.items() if (n := int(new[old])) >= 0}
+        self.table, self.uses = self.table[stay], np.ones(len(stay), dtype=np.int64)
+
+    def predict_all(self, texts: pa.Array, characters: int = 2_000_000) -> Iterator[tuple[str, float]]:
+        """``predict`` of each text, learning the words of about ``characters`` bytes of texts at once."""
+        stretch = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // characters
+        cuts = [*np.flatnonzero(np.diff(stretch, prepend=-1)).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            split = [(text or "").lower().split() for text in texts.slice(a, b - a).to_pylist()]
+            if not self.trees.languages:
+                split = [[] for _ in split]
+            if len(self.known) > self.most_words:
+                self._shrink()
+            unseen = list(set().union(*split).difference(self.known))
+            if unseen:
+                self._learn(unseen)
+            for words in split:
+                yield self._best(words)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the probability that all models, that of no language too, give the text.
 
         Without a letter, or without a model, it is ``und`` and 0. Ties go to the first by name.
         """
-        words = (text or "").lower().split()
-        if not words or not self.trees.languages:
+        return next(self.predict_all(pa.array([text and text.encode("utf-8", "replace").decode()], pa.string())))
+
+    def _best(self, words: list[str]) -> tuple[str, float]:
+        if not words:
             return UNDETERMINED, 0.0
-        if len(self.known) > self.most_words:
-            self._clear()
-        get, learn = self.known.get, self._learn
-        places = [at if (at := get(w)) is not None else learn(w) for w in words]
+        places = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        self.uses[places] += 1  # once for each text
         total = self.table[places].sum(axis=0)
         if not total[-1]:
             return UNDETERMINED, 0.0
@@ -211,7 +288,7 @@ def predict_language(documents: DataFrame, trees: ContextTrees, text: str = "tex
     def run(batches):
         scorer = shared.value.scorer()
         for batch in batches:
-            found = [scorer.predict(t.as_py()) for t in batch.column(at)]
+            found = list(scorer.predict_all(batch.column(at)))
             columns = [
                 *batch.columns,
                 pa.array([f[0] for f in found], pa.string()),
