@@ -21,23 +21,22 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Links are two columns of whole numbers, in either direction, repeated or not; links with null are left
     out. Each round hangs a node's higher neighbours, then the node and its lower ones, under the lowest
-    neighbour (the large-star and small-star steps of Kiveris and others, 2014), and ends when
-    nothing moves. Rounds grow with the logarithm of the number of nodes. Every round is a stored table.
+    neighbour (the large-star and small-star steps of Kiveris and others, 2014), and it ends when every node either hangs
+    once or has nodes hung under it. Rounds grow with the logarithm of the number of nodes. Every round is a stored table.
     """
     one, other = F.greatest(a, b).cast("long"), F.least(a, b).cast("long")
     links = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     tree = written(links.select(one.alias("u"), other.alias("v")).distinct(), "components")
-    before = None
     while True:
-        state = tree.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
-        if state == before or state[0] == 0:
+        ends = tree.select(F.col("u").alias("node"), F.lit(1).alias("hangs")).union(tree.select("v", F.lit(0)))
+        places = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.count(F.lit(1)).alias("links"))
+        if not places.filter("hangs > 0 AND links > 1").count():
             return tree.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 tree.select("v", "v").distinct()
             )
-        before = state
         both = tree.union(tree.select("v", "u"))
         large = both.join(_lowest(both), F.col("u") == F.col("node"))
-        large = large.filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+        large = large.filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         small = large.join(_lowest(large), F.col("u") == F.col("node"))
         hung = small.select(
             F.explode(

@@ -396,7 +396,8 @@ def near_duplicates(documents: DataFrame, percent: int = 75, doc_id: str = "doc_
     trees = written(candidate_trees(kinds, percent), "minhash-trees")
     if not trees.isEmpty():
         # Clusters of components that likely pairs connect; within them components are compared in full.
-        clusters = components(trees.union(links)).select(F.col("node").alias("_in"), F.col("component").alias("cluster"))
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))  # join what the links join
+        clusters = components(trees.union(stars)).select(F.col("node").alias("_in"), F.col("component").alias("cluster"))
         open_clusters = clusters.join(trees.select("a"), F.col("_in") == F.col("a"), "left_semi").select(
             F.col("cluster").alias("_cluster")
         )
@@ -405,8 +406,9 @@ def near_duplicates(documents: DataFrame, percent: int = 75, doc_id: str = "doc_
         grouped = grouped.join(now, F.col("node") == F.col("_node"), "left").drop("_node")
         grouped = written(grouped.withColumn("component", F.coalesce("component", "node")), "minhash-clusters")
         sets = full_sets(grouped.select("node"), classes, documents, doc_id, text)
-        links = links.union(written(exact_trees(grouped, sets, percent), "minhash-links"))
-        joined = components(links)
+        found = written(exact_trees(grouped, sets, percent), "minhash-links")
+        if not found.isEmpty():
+            joined = components(found.union(stars))
 
     named = classes.select("node", "digest", "first_id").join(joined, "node", "left")
     lowest = joined.join(classes.select("node", "first_id"), "node").groupBy("component").agg(
