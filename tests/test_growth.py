@@ -1,5 +1,6 @@
 """Steps that must grow no faster than their input: no gathering of words, no walk up to every character, no single task."""
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from grantlens.operators import search as S
@@ -93,3 +94,33 @@ def test_tokens_are_counted_within_their_row(spark):
     assert rows(got) == rows(plain(docs))
     twice = docs.union(docs.filter("patent_id = '1' OR patent_id IS NULL"))
     assert rows(S.tokenize(twice)) == rows(plain(twice))
+
+
+def test_an_index_is_written_without_shuffles_that_its_order_spares(spark, tmp_path, monkeypatch):
+    """Only postings, terms' counts and states are dealt again: blocks are counted file by file, forward rows lie by slot."""
+    rows = [(str(i), f"w{i % 7} the", f"the a{i % 50} " * (i % 9)) for i in range(300)] + [(None, "the", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    plans, write = {}, DataFrameWriter.parquet
+    frames = lambda writer, path: plans.update({path.split("/segment")[0].split("/")[-1]: plan_of(writer._df)})
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (frames(self, path), write(self, path, *a, **k))[1])
+    index = S.build_index(docs)
+    index_store.write_index(index, str(tmp_path), buckets=4, slots=8)
+    assert "Exchange" in plans["postings"]
+    assert "Exchange" not in plans["forward"] and "Exchange" not in plans["blocks"] and "FileScan" in plans["terms"]
+    assert "blocks" in plans["terms"]
+    stored = index_store.read_index(spark, str(tmp_path))
+    keep = lambda frame: sorted(map(repr, frame.collect()))
+    assert keep(S.index_rows(stored)) == keep(S.index_rows(index))
+    flat = S.flat_postings(index.by_patent).groupBy("term", S.band_of())
+    counts = [F.count("*").alias("n"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")]
+    assert keep(stored.blocks.drop("bucket")) == keep(flat.agg(*counts))
+    slots = spark.read.parquet(f"{tmp_path}/forward/segment=0")
+    assert keep(slots.select("slot")) == keep(slots.select(index_store.slot_of(8)))
+
+
+def test_documents_are_spread_in_the_order_of_their_hash(spark):
+    docs = spark.range(5000).select(F.col("id").cast("string").alias("patent_id"), F.lit("a").alias("title"), F.lit("b").alias("abstract"))
+    spread = S._spread_in_order(docs, 40 * S.TEXT_PER_TASK).withColumn("task", F.spark_partition_id())
+    tasks = spread.groupBy("task").agg(F.countDistinct(F.pmod(S.hash_of(), F.lit(64))).alias("n"), F.count("*").alias("rows")).collect()
+    assert len(tasks) == 41 and sum(r.rows for r in tasks) == 5000
+    assert max(r.n for r in tasks) <= 3 and max(r.rows for r in tasks) < 250
