@@ -124,3 +124,14 @@ def test_documents_are_spread_in_the_order_of_their_hash(spark):
     tasks = spread.groupBy("task").agg(F.countDistinct(F.pmod(S.hash_of(), F.lit(64))).alias("n"), F.count("*").alias("rows")).collect()
     assert len(tasks) == 41 and sum(r.rows for r in tasks) == 5000
     assert max(r.n for r in tasks) <= 3 and max(r.rows for r in tasks) < 250
+
+
+def test_keys_are_counted_in_small_tasks(spark, folder, monkeypatch):
+    parts, advised = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, seen, write = (spark.conf.get(parts), spark.conf.get(advised)), [], R.written
+    monkeypatch.setattr(R, "written", lambda *a: (seen.append((spark.conf.get(parts), spark.conf.get(advised))), write(*a))[1])
+    assert R.REGISTRY["v_key_unique"](spark, folder).count() == 11
+    assert seen == [(before[0], "8000000")] and (spark.conf.get(parts), spark.conf.get(advised)) == before
+    with storage.small_tasks(spark, 36_000_000):
+        assert spark.conf.get(parts) == "73"
+    assert spark.conf.get(parts) == before[0]
