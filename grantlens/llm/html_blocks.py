@@ -62,6 +62,12 @@ class Above:
     def __contains__(self, name: str) -> bool:
         return any(name == n for n in self)
 
+    def __eq__(self, other) -> bool:
+        """Equal to a set of the same names; elements are told apart."""
+        return set(self) == other if isinstance(other, (set, frozenset)) else self is other
+
+    __hash__ = object.__hash__
+
 
 class Block(NamedTuple):
     text: str
